@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colophon.llm import mixing, tokens
+from colophon.llm import garbled, lookalike, mixing, spans, tokens
 from colophon.session import table
 
 
@@ -21,6 +21,34 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(*mixing.mix(mixing.sized_documents(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_target")))
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares}
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled.garbled_values(table(spark, sf_dir, "lemma"))
+
+
+def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled.restored_values(table(spark, sf_dir, "lemma"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.disguised_values(table(spark, sf_dir, "lemma"))
+
+
+def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.unified_values(table(spark, sf_dir, "lemma"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.shared_spans(table(spark, sf_dir, "documents"))
+
+
+def p9_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spans.shared_amount(docs, spans.shared_spans(docs))
+
+
+QUERIES = {
+    "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_unified": p3_unified,
+    "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_amount": p9_amount,
+}
 
 SQL: dict[str, str] = {}
