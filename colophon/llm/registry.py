@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colophon.llm import garbled, lookalike, mixing, spans, tokens
+from colophon.llm import garbled, lookalike, mixing, ocr, spans, tokens
 from colophon.session import table
 
 
@@ -37,6 +37,14 @@ def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.unified_values(table(spark, sf_dir, "lemma"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr.scan_noise(table(spark, sf_dir, "lemma"))
+
+
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr.clean_paragraphs(table(spark, sf_dir, "lemma"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_spans(table(spark, sf_dir, "documents"))
 
@@ -47,7 +55,7 @@ def p9_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_unified": p3_unified,
+    "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_unified": p3_unified, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs,
     "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_amount": p9_amount,
 }
 
