@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colophon.llm import garbled, lookalike, mixing, ocr, spans, tokens
+from colophon.llm import garbled, lookalike, mixing, names, ocr, spans, tokens
 from colophon.session import table
 
 
@@ -45,6 +45,14 @@ def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ocr.clean_paragraphs(table(spark, sf_dir, "lemma"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.linked_pairs(table(spark, sf_dir, "lemma"))
+
+
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.linked_groups(table(spark, sf_dir, "lemma"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_spans(table(spark, sf_dir, "documents"))
 
@@ -55,7 +63,7 @@ def p9_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_unified": p3_unified, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs,
+    "p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_unified": p3_unified, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_found": p6_found, "p6_groups": p6_groups,
     "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_amount": p9_amount,
 }
 
