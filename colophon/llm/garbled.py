@@ -196,8 +196,8 @@ def learn(contexts: pd.DataFrame, bigrams: dict[tuple[str, str], int], rounds: i
     lone = {c: n / total for c, n in firsts.items()}
 
     def step(a: str, b: str) -> float:
-        # interpolated with the frequency of the letter alone
-        return 0.9 * bigrams.get((a, b), 0) / firsts[a] + 0.1 * lone.get(b, _FLOOR) if firsts.get(a) else lone.get(b, _FLOOR)
+        # interpolated with the frequency of the letter alone; a letter the language does not have is dear on both its sides
+        return 0.9 * bigrams.get((a, b), 0) / firsts[a] + 0.1 * lone.get(b, _FLOOR) if firsts.get(a) else _FLOOR
 
     score: dict[tuple[str, str], list[tuple[float, float]]] = {}
     for unit, prev, nxt, n in contexts[["unit", "prev", "next", "n"]].itertuples(index=False):
