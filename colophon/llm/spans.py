@@ -1,15 +1,19 @@
 """Long exact spans shared between documents (problem 9).
 
-A character is shared if it lies in a window of ``length`` code points that also occurs in another document.  Every window is
-owned by one anchor: the k-gram of least hash inside it, the leftmost of equals.  Equal windows own equal anchors at the same
-place, so windows need to be compared only under equal anchors, and each window is compared once.
+A character is shared if it lies in a window of ``length`` code points that also occurs in another document.  One suffix automaton of
+a whole corpus, or of shards that every document is streamed against, grows with the square of the corpus; so documents are
+first led to small shards in which all that they can share is found.
 
-1. Each document gives one row per anchor: the anchor's hash and the hash of the whole region its windows cover.  Anchors of one
-   document only are dropped; about two of a hundred positions are anchors.
+1. Every window is owned by one anchor: the k-gram of least hash inside it, the leftmost of equals.  Equal windows own equal anchors
+   at the same place.  Each document gives one row an anchor: its hash, and the hash of the region its windows cover.  Anchors
+   of one document only are dropped; about two of a hundred positions are anchors.
 2. Regions that occur in two documents are shared whole.  A region under a shared anchor that no other document repeats holds
-   the end of a span: only its windows, and those of one representative of each repeated region under the same anchor, are
-   compared one by one, by hash and with the least and the greatest document id.
-3. Intervals are merged to the longest unbroken stretches.
+   the end of a span.
+3. The regions under such an anchor, one representative of each repeated one, are a shard: a suffix automaton of them, whose states
+   know the least and the greatest document, gives every region's matching statistics against the other documents; stretches of
+   the threshold and more are kept.  An anchor with more than ``SHARD`` different regions is no shard: its windows are compared one by
+   one, by hash and with the least and the greatest document, so no group is ever gathered that is not bounded.
+4. Intervals are merged to the longest unbroken stretches.
 
 A passage that a third of all documents hold costs one row a document and anchor, combined before the shuffle; pairs of documents
 are never formed.  Hashes have 64 bits over code points that are scrambled first.
@@ -31,6 +35,7 @@ from colophon.session import cut
 
 LENGTH = 200
 GRAM = 100
+SHARD = 64
 SEGMENT = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -114,54 +119,177 @@ def _anchor_rows(it: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs).view(np.int64))], names=["doc_id", "h", "c"])
 
 
+class SuffixAutomaton:
+    """All substrings of several texts, each state with the least and the greatest document that has them."""
+
+    def __init__(self) -> None:
+        self.next: list[dict[str, int]] = [{}]
+        self.link, self.length, self.low, self.high = [-1], [0], [_NO_DOC], [-_NO_DOC]
+
+    def _state(self, length: int, following: dict[str, int], link: int) -> int:
+        self.next.append(following)
+        self.length.append(length)
+        self.link.append(link)
+        self.low.append(_NO_DOC)
+        self.high.append(-_NO_DOC)
+        return len(self.link) - 1
+
+    def _split(self, p: int, c: str, q: int) -> int:
+        """A copy of state q for the shorter strings that reach it from p."""
+        nxt, link = self.next, self.link
+        copy = self._state(self.length[p] + 1, dict(nxt[q]), link[q])
+        while p >= 0 and nxt[p].get(c) == q:
+            nxt[p][c] = copy
+            p = link[p]
+        link[q] = copy
+        return copy
+
+    def add(self, text: str, low: int, high: int) -> None:
+        """Add a text that documents ``low`` and ``high`` hold."""
+        nxt, link, length = self.next, self.link, self.length
+        last = 0
+        for c in text:
+            q = nxt[last].get(c)
+            if q is not None:
+                last = q if length[q] == length[last] + 1 else self._split(last, c, q)
+            else:
+                new, p = self._state(length[last] + 1, {}, 0), last
+                while p >= 0 and c not in nxt[p]:
+                    nxt[p][c] = new
+                    p = link[p]
+                if p >= 0:
+                    q = nxt[p][c]
+                    link[new] = q if length[q] == length[p] + 1 else self._split(p, c, q)
+                last = new
+            self.low[last] = min(self.low[last], low)
+            self.high[last] = max(self.high[last], high)
+
+    def close(self) -> None:
+        """Hand the documents of every state on to the suffixes of its strings."""
+        for v in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
+            u = self.link[v]
+            self.low[u] = min(self.low[u], self.low[v])
+            self.high[u] = max(self.high[u], self.high[v])
+
+    def matches(self, text: str, doc: int) -> Iterator[int]:
+        """For each end in the text the length of the longest stretch that another document has too."""
+        nxt, link, length, low, high = self.next, self.link, self.length, self.low, self.high
+        v = held = 0
+        for c in text:
+            while v and c not in nxt[v]:
+                v = link[v]
+                held = length[v]
+            v = nxt[v].get(c, 0)
+            held = held + 1 if v else 0
+            u, n = v, held
+            while u and low[u] == doc and high[u] == doc:
+                u = link[u]
+                n = length[u]
+            yield n if u else 0
+
+
+_NO_DOC = 1 << 63
+
+
+def _shard_spans(it: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Shared stretches of the regions under one anchor, for anchor after anchor; rows come sorted by anchor."""
+
+    def solve(shard: list[tuple]) -> Iterator[tuple[int, int, int]]:
+        automaton = SuffixAutomaton()
+        for _, doc, _, _, other, text in shard:
+            automaton.add(text, min(doc, other), max(doc, other))
+        automaton.close()
+        for kind, doc, a, _, _, text in shard:
+            if kind == 3:
+                start = end = None
+                for e, n in enumerate(automaton.matches(text, doc), 1):
+                    if n >= length:
+                        if start is not None and e - n <= end:
+                            start, end = min(start, e - n), e
+                            continue
+                        if start is not None:
+                            yield doc, a + start, a + end
+                        start, end = e - n, e
+                if start is not None:
+                    yield doc, a + start, a + end
+
+    now, shard = None, []
+    for batch in it:
+        out: list[tuple[int, int, int]] = []
+        for h, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if h != now and shard:
+                out.extend(solve(shard))
+                shard = []
+            now = h
+            shard.append(tuple(row))
+        yield _spans_batch(out)
+    if shard:
+        yield _spans_batch(list(solve(shard)))
+
+
+def _spans_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["doc_id", "a", "b"])
+
+
+_PARTS = "kind bigint, doc_id bigint, a bigint, b bigint, w bigint, other bigint, h bigint, region string"
+
+
 def _interval_rows(it: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """kind 0: a stretch shared whole; 1: a window to compare; 2: a window of a representative, with another document that has it."""
-    names = ["kind", "doc_id", "a", "b", "w", "other"]
+    """kind 0: a stretch shared whole; 1 and 2: a window to compare, of the document or of a representative; 3 and 4: a region to compare, alike."""
+    names = ["kind", "doc_id", "a", "b", "w", "other", "h", "region"]
     for batch in it:
-        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names]
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names[:-1]]
+        regions: list[str | None] = []
 
-        def put(kind: int, doc: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, other: int) -> None:
-            for column, part in zip(out, (np.full(len(a), kind), np.full(len(a), doc), a, b, w, np.full(len(a), other))):
+        def put(kind: int, doc: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, other: int, h: int = 0, region: str | None = None) -> None:
+            for column, part in zip(out, (np.full(len(a), kind), np.full(len(a), doc), a, b, w, np.full(len(a), other), np.full(len(a), h))):
                 column.append(part.astype(np.int64))
+            regions.extend([region] * len(a))
 
         for doc, text, known in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            states = {x["c"]: (x["kind"], x["other"]) for x in known}
-            for offset, hashes, first, last, _, c in anchors(text, length, gram):
-                c = c.view(np.int64)
+            states = {x["c"]: (x["kind"], x["other"], x["many"]) for x in known}
+            for offset, hashes, first, last, h, c in anchors(text, length, gram):
+                c, h = c.view(np.int64), h.view(np.int64)
                 hit = np.flatnonzero(np.isin(c, np.fromiter(states, dtype=np.int64, count=len(states))))
                 whole = []
                 for x in hit.tolist():
-                    kind, other = states[int(c[x])]
+                    kind, other, many = states[int(c[x])]
                     if kind:
                         whole.append(x)
-                    if kind != 1:
+                    if kind != 1 and many:
                         s = np.arange(first[x], last[x] + 1)
                         put(2 if kind else 1, doc, s + offset, s + offset + length, hashes.of(s, s + length).view(np.int64), other)
+                    elif kind != 1:
+                        a, b = int(first[x]) + offset, int(last[x]) + offset + length
+                        put(4 if kind else 3, doc, np.array([a]), np.array([b]), np.zeros(1), other, int(h[x]), text[a:b])
                 if whole:
                     a, b = first[whole] + offset, last[whole] + offset + length
                     cutat = np.flatnonzero(a[1:] > b[:-1]) + 1
                     a, b = a[np.concatenate(([0], cutat))], b[np.concatenate((cutat - 1, [len(b) - 1]))]
                     put(0, doc, a, b, np.zeros(len(a), np.int64), doc)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in out), pa.array(regions, pa.string())], names=names)
 
 
-def shared_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def shared_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """doc_id, span_start, span_end of the longest unbroken stretches of shared characters."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(f"text is not null and length(text) >= {length}")
     rows = docs.mapInArrow(lambda it: _anchor_rows(it, length, gram), "doc_id bigint, h bigint, c bigint")
     shared = rows.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x <> y").select("h")
     rows = cut(rows.join(shared, "h", "left_semi"))
     regions = rows.groupBy("h", "c").agg(F.min("doc_id").alias("dmin"), F.max("doc_id").alias("dmax"))
-    ends = regions.where("dmin = dmax").select("h").distinct().withColumn("ends", F.lit(True))
-    states = regions.join(ends, "h", "left").withColumn("kind", F.when(F.col("dmin") == F.col("dmax"), 0).when(F.col("ends"), 2).otherwise(1))
+    under = regions.groupBy("h").agg(F.count("*").alias("n"), F.max(F.col("dmin") == F.col("dmax")).alias("ends"))
+    kind = F.when(F.col("dmin") == F.col("dmax"), 0).when(F.col("ends"), 2).otherwise(1)
+    states = regions.join(under, "h").select("h", "c", "dmin", "dmax", kind.alias("kind"), (F.col("n") > shard).alias("many"))
     # of a repeated region that ends elsewhere only the first document stands for the region
-    mine = rows.join(states, ["h", "c"]).select("doc_id", F.struct("c", F.when((F.col("kind") == 2) & (F.col("doc_id") != F.col("dmin")), 1).otherwise(F.col("kind")).alias("kind"), F.col("dmax").alias("other")).alias("one"))
+    mine = rows.join(states, ["h", "c"]).select("doc_id", F.struct("c", F.when((F.col("kind") == 2) & (F.col("doc_id") != F.col("dmin")), 1).otherwise(F.col("kind")).alias("kind"), F.col("dmax").alias("other"), "many").alias("one"))
     mine = mine.groupBy("doc_id").agg(F.collect_list("one").alias("known"))
     parts = docs.join(mine.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "known")
-    parts = cut(parts.mapInArrow(lambda it: _interval_rows(it, length, gram), "kind bigint, doc_id bigint, a bigint, b bigint, w bigint, other bigint"))
-    windows = parts.where("kind > 0")
+    parts = cut(parts.mapInArrow(lambda it: _interval_rows(it, length, gram), _PARTS))
+    shards = parts.where("kind >= 3").select("h", "kind", "doc_id", "a", "b", "other", "region").repartition("h").sortWithinPartitions("h")
+    ends = shards.mapInArrow(lambda it: _shard_spans(it, length), "doc_id bigint, a bigint, b bigint")
+    windows = parts.where("kind in (1, 2)")
     twice = windows.groupBy("w").agg(F.min(F.least("doc_id", "other")).alias("x"), F.max(F.greatest("doc_id", "other")).alias("y")).where("x <> y").select("w")
-    found = parts.where("kind = 0").select("doc_id", "a", "b").unionByName(windows.where("kind = 1").join(twice, "w", "left_semi").select("doc_id", "a", "b"))
+    found = parts.where("kind = 0").select("doc_id", "a", "b").unionByName(windows.where("kind = 1").join(twice, "w", "left_semi").select("doc_id", "a", "b")).unionByName(ends)
     own = Window.partitionBy("doc_id").orderBy("a", "b")
     reach = F.max("b").over(own.rowsBetween(Window.unboundedPreceding, -1))
     islands = found.withColumn("new", F.when(reach >= F.col("a"), 0).otherwise(1)).withColumn("island", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))

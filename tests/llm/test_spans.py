@@ -25,18 +25,34 @@ def brute(docs, length):
     return sorted(out)
 
 
-def run(spark, docs, length, gram):
+def run(spark, docs, length, gram, shard=spans.SHARD):
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
-    return sorted(tuple(r) for r in spans.shared_spans(df, length, gram).collect())
+    return sorted(tuple(r) for r in spans.shared_spans(df, length, gram, shard).collect())
+
+
+def test_automaton_against_all_substrings():
+    rng = random.Random(4)
+    for _ in range(150):
+        texts = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 25))) for _ in range(rng.randrange(1, 6))]
+        docs = [rng.randrange(4) for _ in texts]
+        automaton = spans.SuffixAutomaton()
+        for t, d in zip(texts, docs):
+            automaton.add(t, d, d)
+        automaton.close()
+        for t, d in zip(texts, docs):
+            others = [x for x, e in zip(texts, docs) if e != d]
+            want = [max((n for n in range(1, e + 1) if any(t[e - n : e] in o for o in others)), default=0) for e in range(1, len(t) + 1)]
+            assert list(automaton.matches(t, d)) == want
 
 
 def test_against_every_window(spark):
-    for seed in range(6):
+    for seed in range(4):
         rng = random.Random(seed)
         pieces = ["".join(rng.choice("ab ") for _ in range(rng.randrange(5, 60))) for _ in range(12)] + ["é" * 50, "xyz" * 30]
         docs = [(i, "".join(rng.choice(pieces)[rng.randrange(4) :] for _ in range(rng.randrange(9)))) for i in range(40)]
         docs += [(100, None), (101, ""), (102, docs[3][1]), (103, docs[3][1]), (3, docs[3][1])]
-        assert run(spark, docs, 24, 12) == brute(docs, 24), seed
+        for shard in (2, 64):
+            assert run(spark, docs, 24, 12, shard) == brute(docs, 24), (seed, shard)
 
 
 def test_segments_and_empty_table(spark, monkeypatch):
