@@ -36,7 +36,7 @@ from colophon.session import cut
 LENGTH = 200
 GRAM = 100
 SHARD = 64
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -88,35 +88,62 @@ def sliding_least(keys: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[: n - w + 1], ahead[w - 1 : n])
 
 
-def anchors(text: str, length: int, gram: int) -> Iterator[tuple[int, Hashes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per segment: its offset, its hashes, and of every anchor the first and last window, its hash and that of its region."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    for offset in range(0, max(0, len(codes) - length + 1), SEGMENT):
-        part = codes[offset : offset + SEGMENT + length - 1]
-        hashes = Hashes(part)
-        grams = hashes.grams(gram)
+class Group:
+    """Anchors of a group of texts that are hashed as one: of every anchor its text, first and last window, hash and region's hash.
+
+    Windows that would reach from one text into the next are none.  ``place`` turns a position into one within its text.
+    """
+
+    def __init__(self, pieces: list[tuple[int, int, np.ndarray]], length: int, gram: int) -> None:
+        sizes = np.fromiter((len(p[2]) for p in pieces), dtype=np.int64, count=len(pieces))
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        self.hashes = Hashes(np.concatenate([p[2] for p in pieces]))
+        grams = self.hashes.grams(gram)
         keys = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
         place = (sliding_least(keys, length - gram + 1) & _PLACE).astype(np.int64)
-        turn = np.flatnonzero(np.diff(place)) + 1
-        first = np.concatenate(([0], turn))
-        last = np.concatenate((turn, [len(place)])) - 1
-        at = place[first]
-        shape = _scramble(((at - first).astype(np.uint64) << np.uint64(32)) | (last - first).astype(np.uint64))
-        yield offset, hashes, first, last, grams[at], _scramble(hashes.of(first, last + length) ^ shape)
+        window = np.concatenate([np.arange(s, s + n - length + 1) for s, n in zip(starts, sizes)])
+        piece = np.repeat(np.arange(len(pieces)), sizes - length + 1)
+        at = place[window]
+        turn = np.flatnonzero((np.diff(at) != 0) | (np.diff(piece) != 0)) + 1
+        self.first, self.last = window[np.concatenate(([0], turn))], window[np.concatenate((turn, [len(window)])) - 1]
+        own = piece[np.concatenate(([0], turn))]
+        at = at[np.concatenate(([0], turn))]
+        shape = _scramble(((at - self.first).astype(np.uint64) << np.uint64(32)) | (self.last - self.first).astype(np.uint64))
+        self.text = np.fromiter((p[0] for p in pieces), dtype=np.int64, count=len(pieces))[own]
+        self.shift = (np.fromiter((p[1] for p in pieces), dtype=np.int64, count=len(pieces)) - starts)[own]
+        self.h, self.c = grams[at].view(np.int64), _scramble(self.hashes.of(self.first, self.last + length) ^ shape).view(np.int64)
+
+
+def groups(texts: list[str | None], length: int, gram: int) -> Iterator[Group]:
+    """Anchors of all texts, in groups of about ``SEGMENT`` windows; a longer text is cut into segments that overlap."""
+    pieces: list[tuple[int, int, np.ndarray]] = []
+    total = 0
+    for k, text in enumerate(texts):
+        if text is None or len(text) < length:
+            continue
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        for offset in range(0, len(codes) - length + 1, SEGMENT):
+            part = codes[offset : offset + SEGMENT + length - 1]
+            if pieces and total + len(part) > SEGMENT:
+                yield Group(pieces, length, gram)
+                pieces, total = [], 0
+            pieces.append((k, offset, part))
+            total += len(part)
+    if pieces:
+        yield Group(pieces, length, gram)
 
 
 def _anchor_rows(it: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in it:
-        ids, hs, cs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if doc is None or text is None or len(text) < length:
-                continue
-            for *_, h, c in anchors(text, length, gram):
-                c, at = np.unique(c, return_index=True)
-                ids.append(np.full(len(c), doc, dtype=np.int64))
-                hs.append(h[at])
-                cs.append(c)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs).view(np.int64))], names=["doc_id", "h", "c"])
+        known = batch.filter(batch.column(0).is_valid())
+        ids = known.column(0).to_numpy()
+        for g in groups(known.column(1).to_pylist(), length, gram):
+            doc = ids[g.text]
+            order = np.lexsort((g.c, doc))
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (np.diff(doc[order]) != 0) | (np.diff(g.c[order]) != 0)
+            once = order[new]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[once]), pa.array(g.h[once]), pa.array(g.c[once])], names=["doc_id", "h", "c"])
 
 
 class SuffixAutomaton:
@@ -246,27 +273,30 @@ def _interval_rows(it: Iterator[pa.RecordBatch], length: int, gram: int) -> Iter
                 column.append(part.astype(np.int64))
             regions.extend([region] * len(a))
 
-        for doc, text, known in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            states = {x["c"]: (x["kind"], x["other"], x["many"]) for x in known}
-            for offset, hashes, first, last, h, c in anchors(text, length, gram):
-                c, h = c.view(np.int64), h.view(np.int64)
-                hit = np.flatnonzero(np.isin(c, np.fromiter(states, dtype=np.int64, count=len(states))))
-                whole = []
-                for x in hit.tolist():
-                    kind, other, many = states[int(c[x])]
-                    if kind:
-                        whole.append(x)
-                    if kind != 1 and many:
-                        s = np.arange(first[x], last[x] + 1)
-                        put(2 if kind else 1, doc, s + offset, s + offset + length, hashes.of(s, s + length).view(np.int64), other)
-                    elif kind != 1:
-                        a, b = int(first[x]) + offset, int(last[x]) + offset + length
-                        put(4 if kind else 3, doc, np.array([a]), np.array([b]), np.zeros(1), other, int(h[x]), text[a:b])
-                if whole:
-                    a, b = first[whole] + offset, last[whole] + offset + length
-                    cutat = np.flatnonzero(a[1:] > b[:-1]) + 1
-                    a, b = a[np.concatenate(([0], cutat))], b[np.concatenate((cutat - 1, [len(b) - 1]))]
-                    put(0, doc, a, b, np.zeros(len(a), np.int64), doc)
+        ids, texts, known = (batch.column(i).to_pylist() for i in range(3))
+        states = [{x["c"]: (x["kind"], x["other"], x["many"]) for x in own} for own in known]
+        listed = np.fromiter((c ^ k for k, own in enumerate(states) for c in own), dtype=np.int64)
+        for g in groups(texts, length, gram):
+            hit = np.flatnonzero(np.isin(g.c ^ g.text, listed))
+            whole: dict[int, list[tuple[int, int]]] = {}
+            for x, k, c, h, first, last, shift in zip(hit.tolist(), *(v[hit].tolist() for v in (g.text, g.c, g.h, g.first, g.last, g.shift))):
+                kind, other, many = states[k].get(c, (None, 0, False))
+                if kind is None:
+                    continue
+                a, b = first + shift, last + shift + length
+                if kind:
+                    own = whole.setdefault(k, [])
+                    if own and a <= own[-1][1]:
+                        own[-1] = (own[-1][0], b)
+                    else:
+                        own.append((a, b))
+                if kind != 1 and many:
+                    s = np.arange(first, last + 1)
+                    put(2 if kind else 1, ids[k], s + shift, s + shift + length, g.hashes.of(s, s + length).view(np.int64), other)
+                elif kind != 1:
+                    put(4 if kind else 3, ids[k], np.array([a]), np.array([b]), np.zeros(1), other, h, texts[k][a:b])
+            for k, own in whole.items():
+                put(0, ids[k], np.array([x[0] for x in own]), np.array([x[1] for x in own]), np.zeros(len(own), np.int64), ids[k])
         yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in out), pa.array(regions, pa.string())], names=names)
 
 

@@ -61,10 +61,11 @@ def test_segments_and_empty_table(spark, monkeypatch):
     docs = [(1, base), (2, base[700:1900] + "zz"), (3, "q" + base[2500:] + base[:40])]
     whole = run(spark, docs, 200, 100)
     assert whole == brute(docs, 200)
-    got = {}
-    for i, t in docs:
-        for size in (257, 1 << 22):
-            monkeypatch.setattr(spans, "SEGMENT", size)
-            got[i, size] = sorted(set(range(0)) | {int(a + o + k) for o, _, f, l, _, _ in spans.anchors(t, 200, 100) for a, b in zip(f, l) for k in range(b - a + 1)})
-        assert got[i, 257] == got[i, 1 << 22] == list(range(max(0, len(t) - 199)))
+    texts = [t for _, t in docs] + [None, "short"]
+    seen = {}
+    for size in (257, 1 << 20):
+        monkeypatch.setattr(spans, "SEGMENT", size)
+        found = [(int(k), int(a + s), int(h)) for g in spans.groups(texts, 200, 100) for k, f, l, s, h in zip(g.text, g.first, g.last, g.shift, g.h) for a in range(f, l + 1)]
+        seen[size] = sorted(set(found))
+    assert seen[257] == seen[1 << 20] and len(seen[257]) == sum(len(t) - 199 for _, t in docs)
     assert run(spark, [], 200, 100) == []
