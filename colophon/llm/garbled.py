@@ -54,7 +54,13 @@ _LEAD = "".join(sorted({c for t in TABLES for c, b in t.items() if 0xC2 <= b <=
 _NEXT = "".join(sorted({c for t in TABLES for c, b in t.items() if 0x80 <= b <= 0xBF}))
 _SKIP = f"[{ZERO_WIDTH}]?"
 _PAIR = re.compile(f"[{re.escape(_LEAD)}]{_SKIP}[{re.escape(_NEXT)}]")
-_BETWEEN = str.maketrans("", "", ZERO_WIDTH)
+# lead characters whose accent was split off later
+_SPLIT = re.compile("[AaEeUuOo][\u0300-\u030a]")
+
+
+def composed(text: str) -> str:
+    """The text with split accents joined again, so that units show."""
+    return _SPLIT.sub(lambda m: unicodedata.normalize("NFC", m.group()), text)
 
 
 def _decode(chars: str) -> set[str]:
@@ -158,7 +164,10 @@ def substitute(text: str, mapping: dict[str, str]) -> tuple[str, int]:
 
 def repair(text: str | None, mapping: dict[str, str]) -> tuple[str | None, int]:
     """The text with its garbled symbols restored, and how many there were."""
-    return (text, 0) if text is None or text.isascii() else substitute(text, mapping)
+    if text is None or text.isascii():
+        return text, 0
+    out, n = substitute(composed(text), mapping)
+    return (out, n) if n else (text, 0)
 
 
 def _evidence(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +183,7 @@ def _evidence(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if text.isascii():
                     bigrams.update(zip(text, text[1:]))
                     continue
-                at = 0
+                at, text = 0, composed(text)
                 for start, end, symbol in units(text):
                     contexts[src, symbol, text[start - 1 : start] or "\n", text[end : end + 1] or "\n"] += 1
                     part = text[at:start]

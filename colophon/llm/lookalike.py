@@ -96,22 +96,18 @@ def unify(text: str, bigrams: dict[tuple[str, str], float]) -> tuple[str, bool]:
     return (folded, False) if folded.isascii() else (_WORD.sub(word, folded), hit)
 
 
-def plain_of(text: str, mapping: dict[str, str]) -> str:
-    """The text without what wrong decoding left; a restored character that is itself a disguise counts as none."""
-    if text.isascii():
-        return text
-    quiet = {k: (v if k == v or not (_WIDE.search(v) or _MARK.search(v) or _ZERO.search(v) or _HARD.search(v)) else " ") for k, v in mapping.items()}
-    inside = [m.group() for s, e, u in garbled.units(text) if quiet.get(u, u) != u for m in _ZERO.finditer(text[s:e])]
-    return garbled.substitute(text, quiet)[0] + "".join(inside)
-
-
 def disguised(text: str | None, mapping: dict[str, str], bigrams: dict[tuple[str, str], float]) -> bool:
+    """Whether a value holds one of the forms above.
+
+    No code page has full-width forms, combining accents or zero-width characters, so these are never products of wrong decoding; a hard space or
+    a foreign letter may be, and is looked for in what is left once such symbols are restored.
+    """
     if not text or text.isascii():
         return False
-    plain = plain_of(text, mapping)
-    if _WIDE.search(plain) or _MARK.search(plain) or _ZERO.search(plain) or _HARD.search(plain):
+    if _WIDE.search(text) or _MARK.search(text) or _ZERO.search(text):
         return True
-    return unify(plain, bigrams)[1]
+    plain = garbled.substitute(text, {k: " " if k != v and _HARD.search(v) else v for k, v in mapping.items()})[0] if mapping else text
+    return bool(_HARD.search(plain)) or unify(plain, bigrams)[1]
 
 
 def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
