@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from colophon.functions import text as T
 from colophon.operators import carry, features, joins, records, refs, roles, rules, shred
-from colophon.session import table
-from colophon.sources import pages, sinks
+from colophon.session import table, work_folder
+from colophon.sources import metadata, pages, sinks
+from colophon.streaming import ingest
 
 # what the tables hold once; of re-deliveries all is equal but the time of arrival
 
@@ -403,13 +404,36 @@ def repaired_rounds(spark, d):
     return df.select("lemma_id", F.when(F.col("name").rlike(r"[^\x00-\x7f]"), T.repair_rounds("name")).otherwise(F.col("name")).alias("name"), F.length(T.garble(T.garble("name"))).alias("garbled_length"))
 
 
+def streamed_pages(spark, d):
+    """Pages through the incremental ingest: a second run finds nothing new."""
+    folder = work_folder(spark, "pages")
+    for _ in range(2):
+        ingest.stream_new_rows(spark, f"{d}/page_html.parquet", f"{folder}/out", f"{folder}/state")
+    return spark.read.parquet(f"{folder}/out").groupBy("corpus").agg(F.count("*").alias("n"), F.max("page_nr").alias("last_page"))
+
+
+def metadata_rows(spark, d):
+    """Entries written as a sheet of text, shaped again; later rows of an entry win."""
+    df = entries(spark, d, "corpus", "schutte_nr", "name", "givenname", "beginjaar", "eindjaar", "functie", "category")
+    sheet = df.select("corpus", F.col("lemma_id").alias("row_seq"), F.concat(F.col("schutte_nr").cast("string"), F.lit(".0")).alias("schuttenr"), "name", "givenname", F.col("beginjaar").cast("string").alias("schutte_beginjaar"), F.lit("0").alias("derived_beginjaar"), F.col("eindjaar").cast("string").alias("derived_eindjaar"), F.col("functie").alias("schutte_functie"), "category")
+    shaped = joins.last_wins(metadata.shape_metadata(sheet, "derived"), ["corpus", "schutte_nr"], ["row_seq"])
+    return shaped.select("corpus", "schutte_nr", "name", "givenname", "beginjaar", "eindjaar", "functie", "category")
+
+
+def new_pages(spark, d):
+    """Pages that the index names and that are not there yet."""
+    wanted = index_once(spark, d).select("corpus", F.explode("pages").alias("page")).distinct().select("corpus", F.concat_ws("/", "corpus", T.four_digits(F.col("page"))).alias("file"))
+    present = pages_once(spark, d).select(F.concat_ws("/", "corpus", T.four_digits(F.col("page_nr"))).alias("file"))
+    return ingest.not_yet_present(wanted, present, "file").select("corpus", "file")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         page_lines, page_text, page_zones, line_zones, record_lines, record_periods, record_notes, records_nested, zone_carry, lookahead_reclass, carry_two_level, islands, display_blocks, trim_trailing, line_types, prev_next,
         toc_chapters, toc_levels, toc_join, overlay, meta_last_wins, year_precedence, page_refs, mentioned_in, ordered_distinct, person_lines, place_lines, role_index, chapters, search_index, timeline, decade_grid, corpus_counts,
         indent_histogram, page_tails, first_by_year, verify_status, verify_report, title_lookup, assembled_names, roman_links, loose_links, inline_markup, inline_notes, page_hyphens, entry_xml, corpus_pages, start_locations, segments,
-        hocr_lines, ocr_quality, repaired_rounds,
+        hocr_lines, ocr_quality, repaired_rounds, streamed_pages, metadata_rows, new_pages,
     )
 }
 
@@ -511,4 +535,7 @@ SQL = {
         m as (select lemma_id, list_sort(list(x)) as xs from k group by lemma_id)
         select k.lemma_id, line_no::int as line_no, x, case when x - mg < 30 then 0 when x - mg < 130 then 5 else 10 end as indent, array_to_string(ws, ' ') as text, len(list_filter(ws, lambda s: 60 + (length(s) * 7) % 40 < 80)) as low
         from k join (select lemma_id, xs[greatest(floor(len(xs) * 0.05)::int - 1, 0) + 1] as mg from m) g on k.lemma_id = g.lemma_id""",
+    "streamed_pages": "select corpus, count(*) as n, max(page_nr) as last_page from page_html group by all",
+    "metadata_rows": _with(_ONCE) + "select corpus, schutte_nr, coalesce(nullif(trim(name), ''), '') as name, coalesce(nullif(trim(givenname), ''), '') as givenname, nullif(beginjaar, 0) as beginjaar, nullif(eindjaar, 0) as eindjaar, coalesce(nullif(trim(functie), ''), '') as functie, coalesce(nullif(trim(category), ''), '') as category from lem qualify row_number() over (partition by corpus, schutte_nr order by lemma_id desc) = 1",
+    "new_pages": _with(_ONCE) + "select corpus, corpus || '/' || lpad(page::varchar, greatest(4, length(page::varchar))::int, '0') as file from (select distinct corpus, unnest(pages) as page from idx) w where page is not null and not exists (select 1 from page_html p where p.corpus = w.corpus and p.page_nr = w.page)",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: a result used by several branches is computed once and survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, beside the checkpoints."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"

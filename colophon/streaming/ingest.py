@@ -20,3 +20,12 @@ def ingest_pages(spark: SparkSession, folder: str, out: str, checkpoint: str, co
 def not_yet_present(wanted, present, key: str):
     """Rows of ``wanted`` without a row in ``present``: work that is still to be done."""
     return wanted.join(present.select(key).distinct(), key, "left_anti")
+
+
+def stream_new_rows(spark: SparkSession, table_path: str, out: str, checkpoint: str):
+    """Copy rows of a Parquet table that arrived since the last call; the schema is that of the table."""
+    schema = spark.read.parquet(table_path).schema
+    # a table is a file or a folder of files; the pattern finds either
+    query = spark.readStream.schema(schema).parquet(f"{table_path}*").writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query

@@ -243,3 +243,20 @@ def test_every_query_is_registered_with_its_columns(spark):
 
     q, sql = e.queries(), e.oracle_sql()
     assert set(sql) <= set(q) and e.entry(spark).limit(1).count() == 1
+
+
+def test_metadata(spark, tmp_path):
+    from colophon.sources import metadata
+
+    (tmp_path / "m.csv").write_text(" schuttenr ,schutte_nr,name,Intraposition,schutte_beginjaar,derived_beginjaar,derived_eindjaar,url,hyperlink\n5.0,9, Berg ,van,1598.9,1600,0,,h\n,7,x,,,,,,\nca. 3,3,y,,,,,,\n6,,,,0,1610,1620,u,h\n", encoding="utf-8")
+    raw = metadata.read_metadata(spark, str(tmp_path / "m.csv"), "nl")
+    got = [(r.schutte_nr, r.name, r.intraposition, r.beginjaar, r.eindjaar, r.url, r.givenname) for r in metadata.shape_metadata(raw).orderBy("schutte_nr").collect()]
+    assert got == [(5, "Berg", "van", 1598, None, "h", ""), (6, "", "", 1610, 1620, "u", "")]
+    assert [r.beginjaar for r in metadata.shape_metadata(raw, "derived").orderBy("schutte_nr").collect()] == [1600, 1610]
+
+
+def test_command_line_registers_every_query():
+    from colophon import __main__ as cli
+    from colophon.plans import structure
+
+    assert set(cli.STEPS.values()) <= set(structure.QUERIES)
