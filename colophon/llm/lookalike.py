@@ -37,6 +37,7 @@ _MARK = re.compile("[̀-ͯ᪰-᫿᷀-᷿]")
 _ZERO = re.compile(f"[{ZERO_WIDTH}]")
 _HARD = re.compile("[   ]")
 _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ][^\W\d_]*)*")
+_SPACES = str.maketrans(dict.fromkeys(HARD_SPACES, " "))
 _FLOOR = math.log(1e-6)
 _SWITCH = math.log(1e-9)
 
@@ -59,8 +60,7 @@ def fold(text: str) -> str:
         return text
     text = _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m.group()), text)
     text = _ZERO.sub("", text)
-    text = "".join(" " if c in HARD_SPACES else c for c in text)
-    return unicodedata.normalize("NFC", text)
+    return unicodedata.normalize("NFC", text.translate(_SPACES))
 
 
 def mixed(word: str) -> bool:
