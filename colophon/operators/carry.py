@@ -21,15 +21,23 @@ def look_ahead(df: DataFrame, value: Column, name: str, part: list[str], order:
     return df.withColumn(name, F.first(value, ignorenulls=True).over(_over(part, order).rowsBetween(1, Window.unboundedFollowing)))
 
 
-def two_level_carry(df: DataFrame, value: Column, name: str, part: list[str], page: list[str], order: list[str]) -> DataFrame:
+def two_level_carry(df: DataFrame, value: Column, name: str, part: list[str], page: list[str], order: list[str], chunk: Column | None = None) -> DataFrame:
     """``carry_forward`` over a whole part without sorting it in one task.
 
-    The last value of each page is carried over the pages, which are few, and each page starts from what it is handed.  "The
-    last value that is not null" is associative, so the result is that of one long scan.  ``page`` orders within ``part``.
+    The last value of each page is carried over the pages, and each page starts from what it is handed.  Where pages are many
+    themselves, ``chunk`` (an expression of the page that does not fall as pages go on) adds a level between: pages are carried within chunks, and
+    chunks within the part.  "The last value that is not null" is associative, so the result is that of one long scan.
     """
     marked = df.withColumn("_own", value)
     ends = marked.groupBy(*part, *page).agg(F.max_by("_own", F.when(F.col("_own").isNotNull(), F.struct(*order))).alias("_end"))
-    handed = carry_forward(ends, F.col("_end"), "_handed", part, page, own=False).drop("_end")
+    if chunk is None:
+        handed = carry_forward(ends, F.col("_end"), "_handed", part, page, own=False).drop("_end")
+    else:
+        ends = ends.withColumn("_chunk", chunk)
+        last = ends.groupBy(*part, "_chunk").agg(F.max_by("_end", F.when(F.col("_end").isNotNull(), F.struct(*page))).alias("_last"))
+        outer = carry_forward(last, F.col("_last"), "_outer", part, ["_chunk"], own=False).drop("_last")
+        inner = carry_forward(ends, F.col("_end"), "_inner", [*part, "_chunk"], page, own=False).drop("_end")
+        handed = inner.join(outer, [*part, "_chunk"], "left").withColumn("_handed", F.coalesce("_inner", "_outer")).drop("_inner", "_outer", "_chunk")
     local = carry_forward(marked, F.col("_own"), "_local", [*part, *page], order)
     return local.join(handed, [*part, *page], "left").withColumn(name, F.coalesce("_local", "_handed")).drop("_own", "_local", "_handed")
 

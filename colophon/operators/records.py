@@ -18,14 +18,18 @@ def mark_entries(lines: DataFrame, toc: DataFrame) -> DataFrame:
     return numbered.join(known, ["corpus", "entry_nr"], "left").withColumn("entry_nr", F.when(F.col("_known"), F.col("entry_nr"))).drop("_known")
 
 
+PAGES_A_CHUNK = 1024
+
+
 def sessionize(marked: DataFrame, page: list[str], order: list[str]) -> DataFrame:
-    """Every line with the record it belongs to and the period in force; lines before the first entry are dropped.
+    """Every line with the record it belongs to and the period in force; lines before the first entry have none.
 
-    Both are carried in two levels, so a corpus is never sorted in one task.  An entry that is not announced is a line of the record
+    Both are carried within pages, over the pages of a chunk, and over chunks, so neither the lines nor the pages of a corpus are sorted in one task.  An entry that is not announced is a line of the record
     before it.
     """
-    df = carry.two_level_carry(marked, F.col("entry_nr"), "record_nr", ["corpus"], page, order)
-    df = carry.two_level_carry(df, F.when(F.col("zone") == "period_header", F.col("text")), "period_now", ["corpus"], page, order)
+    chunk = F.floor(F.col(page[0]) / PAGES_A_CHUNK)
+    df = carry.two_level_carry(marked, F.col("entry_nr"), "record_nr", ["corpus"], page, order, chunk)
+    df = carry.two_level_carry(df, F.when(F.col("zone") == "period_header", F.col("text")), "period_now", ["corpus"], page, order, chunk)
     shown = F.when(F.col("entry_nr").isNotNull(), "entry").when(F.col("zone") == "genealogy", "genealogy").when(F.col("zone") == "sub_note", "sub_note").otherwise("body")
     return df.withColumn("record_zone", shown)
 

@@ -145,7 +145,7 @@ def lookahead_reclass(spark, d):
 
 def carry_two_level(spark, d):
     df = table(spark, d, "events").select("event_id", "ts", "event_type", F.to_date("ts").alias("day"), F.lit(1).alias("all"))
-    out = carry.two_level_carry(df, F.when(F.col("event_type") == "signup", F.col("event_id")), "record_id", ["all"], ["day"], ["ts", "event_id"])
+    out = carry.two_level_carry(df, F.when(F.col("event_type") == "signup", F.col("event_id")), "record_id", ["all"], ["day"], ["ts", "event_id"], F.trunc("day", "month"))
     return out.select("event_id", "record_id")
 
 

@@ -152,7 +152,8 @@ def serial(lines, toc):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_records_against_the_serial_scan(spark, seed):
+def test_records_against_the_serial_scan(spark, seed, monkeypatch):
+    monkeypatch.setattr(records, "PAGES_A_CHUNK", 3)
     rng = random.Random(seed)
     lines = []
     for corpus in ("nl", "bl"):
@@ -176,8 +177,9 @@ def test_two_level_carry_equals_one_scan(spark):
     df = spark.createDataFrame(rows, "part string, page int, k int, v int")
     one = carry.carry_forward(df, F.col("v"), "x", ["part"], ["page", "k"])
     two = carry.two_level_carry(df, F.col("v"), "x", ["part"], ["page"], ["k"])
+    three = carry.two_level_carry(df, F.col("v"), "x", ["part"], ["page"], ["k"], F.floor(F.col("page") / 4))
     key = lambda d: sorted(map(tuple, d.select("part", "page", "k", F.coalesce("x", F.lit(-1))).collect()))
-    assert key(one) == key(two)
+    assert key(one) == key(two) == key(three)
 
 
 def test_islands_never_merge_preformatted(spark):
