@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colophon.llm import garbled, lookalike, mixing, names, ocr, spans, tokens
+from colophon.llm import garbled, lookalike, lost, mixing, names, ocr, spans, tokens
 from colophon.session import table
 
 
@@ -26,7 +26,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return garbled.restored_values(table(spark, sf_dir, "lemma"))
+    return lost.filled_values(garbled.restored_values(table(spark, sf_dir, "lemma")))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
