@@ -262,3 +262,33 @@ def test_command_line_registers_every_query():
     from colophon.plans import structure
 
     assert set(cli.STEPS.values()) <= set(structure.QUERIES)
+
+
+def test_contents_tables(spark, tmp_path):
+    import datetime as dt
+
+    from colophon.plans import structure
+
+    xml = (
+        "<toc><item level='0'><title>I. Land &amp; zee</title><item level='1' schutte_nr='3'><title>3. Berg, A.</title><page number='7' source='12'/></item></item>"
+        "<item level='1' schutte_nr=' 4 '><title>4. Dal</title><page number='x'/></item><item level='0'><title/></item><item level='2' schutte_nr='5'><title>Los</title></item><item level='1' schutte_nr='6a'/></toc>"
+    )
+    rows = [(1, "nl", None, "xml", xml, dt.datetime(2020, 1, 1)), (1, "nl", None, "xml", xml, dt.datetime(2020, 1, 2)), (2, "nl", None, "json", None, None)]
+    spark.createDataFrame(rows, "toc_id bigint, corpus string, volume string, item_format string, item string, received_at timestamp_ntz").write.parquet(str(tmp_path / "toc.parquet"))
+    got = sorted((r.item_seq, r.schutte_nr, r.title, r.chapter, r.page_nr, r.source_file) for r in structure.toc_chapters(spark, str(tmp_path)).collect())
+    # an item whose number is none has number 0, so it names the chapter if it has a title
+    assert got == [(2, 3, "Berg, A.", "I. Land & zee", 7, "0012"), (3, 4, "Dal", "I. Land & zee", 0, "0000"), (5, 5, "Los", "I. Land & zee", 0, "0000")]
+    levels = sorted((r.item_seq, r.schutte_nr, r.chapter_seq, r.chapter, r.slug) for r in structure.toc_levels(spark, str(tmp_path)).collect())
+    assert levels == [(2, 3, 1, "I. Land & zee", "land-zee"), (3, 4, 1, "I. Land & zee", "land-zee")]
+    direct = sorted((r.item_seq, r.schutte_nr) for r in structure.toc_levels(spark, str(tmp_path), direct=True).collect())
+    assert direct == [(3, 4)]
+
+
+def test_two_readings_side_by_side(spark):
+    import difflib
+
+    a, b = "een\ntwee\ndrie\nvier", "een\ntwec\ndrie\nvijf\nzes"
+    df = spark.createDataFrame([(a, b), (a, a), (None, b)], "a string, b string")
+    rows = df.select(T.similarity("a", "b").alias("s"), T.line_difference("a", "b").alias("d")).collect()
+    assert abs(rows[0].s - difflib.SequenceMatcher(None, a, b).ratio()) < 1e-12 and rows[1].s == 1.0 and rows[2].s is None
+    assert (rows[0].d.only_left, rows[0].d.only_right) == (["twee", "vier"], ["twec", "vijf", "zes"]) and rows[1].d.only_left == []
