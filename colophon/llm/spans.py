@@ -313,7 +313,7 @@ def shared_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard:
     # of a repeated region that ends elsewhere only the first document stands for the region
     mine = rows.join(states, ["h", "c"]).select("doc_id", F.struct("c", F.when((F.col("kind") == 2) & (F.col("doc_id") != F.col("dmin")), 1).otherwise(F.col("kind")).alias("kind"), F.col("dmax").alias("other"), "many").alias("one"))
     mine = mine.groupBy("doc_id").agg(F.collect_list("one").alias("known"))
-    parts = docs.join(mine.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "known")
+    parts = docs.join(mine, "doc_id").select("doc_id", "text", "known")
     parts = cut(parts.mapInArrow(lambda it: _interval_rows(it, length, gram), _PARTS))
     shards = parts.where("kind >= 3").select("h", "kind", "doc_id", "a", "b", "other", "region").repartition("h").sortWithinPartitions("h")
     ends = shards.mapInArrow(lambda it: _shard_spans(it, length), "doc_id bigint, a bigint, b bigint")
