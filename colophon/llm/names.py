@@ -1,7 +1,8 @@
 """Variant spellings of names typed by people (problem 6).
 
 1. Names are brought to a bare form: garbled and disguised letters undone, case, accents and the spellings ae/oe/ue/ij dropped, titles and
-   particles set aside.  An entry has a key, its surname or the proper name of a body, and the tokens beside it.
+   particles set aside.  An entry has a key, its surname or the proper name of a body, and the tokens beside it.  Where name parts
+   may stand in another order, it has further readings with another key (``exchanged``).
 2. Entries alike in all that is compared form one class; all later steps work on classes.
 3. The symmetric-delete index: every distinct key is stored under its beginning with up to two letters left out, and keys that meet under
    one such form are verified by their edit distance (exchanged neighbours counting once).  So near keys are found without
@@ -36,6 +37,8 @@ WIDE = 12
 # stands for a lost character inside a token and is like every letter
 ANY = "\u0294"
 PREFIX = 14
+# how far a reading with name parts in another order is to be trusted
+MAYBE, SURE = 1, 2
 
 # fixed values
 TITLES = frozenset("mr dr jhr jkhr jonkheer baron heer graaf ridder ds prof ir".split())
@@ -196,10 +199,8 @@ def assign(xs: tuple[str, ...], ys: tuple[str, ...], lead: bool = True) -> int |
     return min(best.values())
 
 
-def parts(name: str | None, given: str | None, title: str | None, body: bool) -> tuple[list[str], list[str]]:
-    """Keys and tokens of an entry.  A lost character counts as a letter left out."""
-    # a single letter with a point is an initial in a given name, but may be a particle in a title
-    own = bool((given or "").strip())
+def _fields(name: str | None, given: str | None, title: str | None, body: bool) -> tuple[str, str]:
+    """Name and given name, taken from the title where there is no name."""
     if not (name or "").strip() and (title or "").strip():
         if body or "," not in title:
             name = title
@@ -210,7 +211,14 @@ def parts(name: str | None, given: str | None, title: str | None, body: bool) ->
             words = [t for t in _TOKEN.findall(bare(title)) if t.rstrip(".") not in _T | _P]
             longest = max(words, key=len, default="")
             name, given = longest, given or " ".join(w for w in words if w is not longest)
-    name, given = (name or "").replace(garbled.LOST, ANY), (given or "").replace(garbled.LOST, ANY)
+    return (name or "").replace(garbled.LOST, ANY), (given or "").replace(garbled.LOST, ANY)
+
+
+def parts(name: str | None, given: str | None, title: str | None, body: bool) -> tuple[list[str], list[str]]:
+    """Keys and tokens of an entry.  A lost character counts as a letter left out."""
+    # a single letter with a point is an initial in a given name, but may be a particle in a title
+    own = bool((given or "").strip())
+    name, given = _fields(name, given, title, body)
     if body:
         tokens = [t for t in _TOKEN.findall(bare(f"{name} {given}")) if t.rstrip(".") not in _P]
         keys = [key_form(t.rstrip(".")) for t in tokens]
@@ -224,6 +232,48 @@ def parts(name: str | None, given: str | None, title: str | None, body: bool) ->
     return [key] if key else [], tokens
 
 
+_MEET: dict[str, list[str]] = {}
+for _v in _CANON:
+    for _f in leave_out(_v):
+        _MEET.setdefault(_f, []).append(_v)
+
+
+@lru_cache(200_000)
+def given_like(token: str) -> bool:
+    """An initial, an abbreviation, or a known given name with slips."""
+    word = token.rstrip(".")
+    if len(word) == 1 or word in _CANON or word != token and (len(word) < 6 or any(f.startswith(word) for f in _CANON)):
+        return True
+    return any(distance(word, v, s) <= s for form in leave_out(word.replace(ANY, "")) for v in _MEET.get(form, ()) for s in (slack(min(len(word), len(v))),))
+
+
+def exchanged(name: str | None, given: str | None, title: str | None) -> list[tuple[str, list[str], int]]:
+    """Further readings (key, tokens, how sure) of a person whose name parts stand in another order.
+
+    A word among the given names that is like none may be the surname: ``SURE`` if the name has nothing but given names, else ``MAYBE``.
+    If both fields have nothing but given names, either may be the surname.  A name of both sorts of words holds a given name.
+    An entry with a surname and given names in their places needs no other reading: that of the exchanged entry meets its own.
+    """
+    own = bool((given or "").strip())
+    name, given = _fields(name, given, title, False)
+    beside = [t for t in _TOKEN.findall(bare(given)) if own and len(t) == 2 and t[1] == "." or t.rstrip(".") not in _T | _P]
+    words = [t for t in _TOKEN.findall(bare(name)) if t.rstrip(".") not in _T | _P]
+    odd = [k for k, t in enumerate(beside) if not given_like(t)]
+    like = [t for t in words if given_like(t)]
+    if not words:
+        return []
+    joined = lambda tokens: key_form("".join(t.rstrip(".") for t in tokens))
+    out = []
+    if odd:
+        for picked in [odd, *([k] for k in odd if len(odd) > 1)]:
+            out.append((joined(beside[k] for k in picked), words + [t for k, t in enumerate(beside) if k not in picked], SURE if len(like) == len(words) else MAYBE))
+    elif beside and len(like) == len(words):
+        out.append((joined(beside), words, MAYBE))
+    if 0 < len(like) < len(words):
+        out.append((joined(t for t in words if t not in like), like + beside, MAYBE))
+    return [r for r in out if r[0]]
+
+
 def _restore(value: str | None, title: str | None) -> str | None:
     """Lost characters from the title, where it has the same word."""
     if not value or garbled.LOST not in value or not title:
@@ -233,16 +283,18 @@ def _restore(value: str | None, title: str | None) -> str | None:
 
 
 def _prepare(it: Iterator[pa.RecordBatch], maps: dict, bigrams: dict) -> Iterator[pa.RecordBatch]:
-    names = ["lemma_id", "keys", "tokens", "kind", "epithet", "first", "last"]
+    names = ["lemma_id", "readings", "kind", "epithet", "first", "last"]
     for batch in it:
         out: list[tuple] = []
         for lemma_id, corpus, title, name, given, epithet, category, first, last in zip(*(c.to_pylist() for c in batch.columns)):
             fix = lambda v, m=maps.get(corpus, {}): v if v is None or v.isascii() else lookalike.unify(garbled.repair(v, m)[0], bigrams)[0]
             title, name, given = fix(title), fix(name), fix(given)
-            keys, tokens = parts(_restore(name, title), _restore(given, title), title, category == "college")
-            if keys:
-                out.append((lemma_id, sorted(set(keys)), tokens, category or "", bare(epithet or ""), first, last))
-        types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string(), pa.string(), pa.int32(), pa.int32()]
+            name, given = _restore(name, title), _restore(given, title)
+            keys, tokens = parts(name, given, title, category == "college")
+            readings = {(key, tuple(tokens), 0) for key in keys} | {(key, tuple(own), sure) for key, own, sure in ([] if category == "college" else exchanged(name, given, title))}
+            if readings:
+                out.append((lemma_id, [{"key": k, "tokens": list(t), "turned": x} for k, t, x in sorted(readings)], category or "", bare(epithet or ""), first, last))
+        types = [pa.int64(), pa.list_(pa.struct([("key", pa.string()), ("tokens", pa.list_(pa.string())), ("turned", pa.int32())])), pa.string(), pa.string(), pa.int32(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=names)
 
 
@@ -291,12 +343,12 @@ def same_names(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (lemma_id, class) and groups (id of a class, root) of classes that name one person or body."""
     maps, bigrams = garbled.mapping_of(rows, "corpus", ("name", "givenname")), lookalike.letter_bigrams(rows, ("toc_title", "name"))
     picked = rows.select(F.col("lemma_id").cast("bigint").alias("lemma_id"), "corpus", "toc_title", "name", "givenname", "postposition", "category", "beginjaar", "eindjaar")
-    bare_rows = picked.mapInArrow(lambda it: _prepare(it, maps, bigrams), "lemma_id bigint, keys array<string>, tokens array<string>, kind string, epithet string, first int, last int")
+    bare_rows = picked.mapInArrow(lambda it: _prepare(it, maps, bigrams), "lemma_id bigint, readings array<struct<key: string, tokens: array<string>, turned: int>>, kind string, epithet string, first int, last int")
     # one row an entry, then one id a class: the least entry of those alike in everything compared
     members = cut(bare_rows.dropDuplicates(["lemma_id"]))
-    alike = ["keys", "tokens", "kind", "epithet", "first", "last"]
+    alike = ["readings", "kind", "epithet", "first", "last"]
     classes = cut(members.groupBy(*alike).agg(F.min("lemma_id").alias("id"), F.count("*").alias("n")))
-    keyed = classes.select("id", "tokens", "kind", "epithet", "first", "last", F.explode("keys").alias("key"))
+    keyed = classes.select("id", "kind", "epithet", "first", "last", F.inline("readings"))
     spans = F.array(
         F.when(F.col("last").isNotNull(), F.struct(F.lit("e").alias("of"), F.col("last").alias("year"), F.floor(F.col("last") / (END + 1)).alias("slot"))),
         F.when(F.col("first").isNotNull(), F.struct(F.lit("b").alias("of"), F.col("first").alias("year"), F.floor(F.col("first") / (BEGIN + 1)).alias("slot"))),
@@ -304,12 +356,14 @@ def same_names(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     # an entry with both years is looked up by its end; the begin serves those without one
     placed = keyed.withColumn("span", F.explode(spans)).where("span is not null").withColumns({"of": F.col("span.of"), "slot": F.col("span.slot")}).drop("span")
     near = cut(near_keys(keyed))
-    left = placed.select(F.col("id").alias("a"), F.col("tokens").alias("ta"), F.col("kind"), F.col("epithet"), F.col("first").alias("fa"), F.col("last").alias("la"), "key", "of", "slot")
-    reach = left.select("a", "ta", "kind", "epithet", "fa", "la", "key", "of", F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).alias("slot"))
+    left = placed.select(F.col("id").alias("a"), F.col("tokens").alias("ta"), F.col("turned").alias("xa"), F.col("kind"), F.col("epithet"), F.col("first").alias("fa"), F.col("last").alias("la"), "key", "of", "slot")
+    reach = left.select("a", "ta", "xa", "kind", "epithet", "fa", "la", "key", "of", F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).alias("slot"))
     reach = reach.unionByName(reach.join(near, "key").drop("key").withColumnRenamed("other", "key"))
-    right = placed.select(F.col("id").alias("b"), F.col("tokens").alias("tb"), "kind", "epithet", F.col("first").alias("fb"), F.col("last").alias("lb"), "key", "of", "slot")
+    right = placed.select(F.col("id").alias("b"), F.col("tokens").alias("tb"), F.col("turned").alias("xb"), "kind", "epithet", F.col("first").alias("fb"), F.col("last").alias("lb"), "key", "of", "slot")
     met = reach.join(right, ["key", "kind", "epithet", "of", "slot"]).where(f"a < b and (fa is null or fb is null or abs(fa - fb) <= {BEGIN}) and (la is null or lb is null or abs(la - lb) <= {END})")
-    links = met.select("a", "b", "ta", "tb", "kind").dropDuplicates(["a", "b"]).mapInArrow(_compare, "a bigint, b bigint")
+    # two other readings meet only if both are sure; an unsure one needs given names on both sides
+    met = met.where(f"(xa = 0 or xb = 0 or xa = {SURE} and xb = {SURE}) and (xa + xb <> {MAYBE} or size(ta) > 0 and size(tb) > 0)")
+    links = met.select("a", "b", "ta", "tb", "kind").distinct().mapInArrow(_compare, "a bigint, b bigint")
     by_class = members.join(classes.select(*[F.col(c).alias(f"_{c}") for c in alike], "id"), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in alike]).select("lemma_id", "id")
     return by_class, components(links)
 

@@ -83,3 +83,18 @@ def test_components_follow_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(100, 101), (101, 102)], "a bigint, b bigint")
     got = {r.id: r.root for r in names.components(links).collect()}
     assert got == {**dict.fromkeys(range(1, 31), 1), 100: 100, 101: 100, 102: 100}
+
+
+def test_exchanged_name_parts(spark):
+    rows = [
+        # the given name in the place of the surname, twice, once short; all with their own group
+        entry(1, "Nölfareugroom", "Michaël"), entry(2, "Michaël", "Nölfareugroom"), entry(3, "Mich.", "van Nölfareugrom"), entry(4, "Nölfareugroom", "M."),
+        # both exchanged, with no entry in the usual order
+        entry(10, "Wilhelmus", "Voengipaasteenk"), entry(11, "Wm.", "Voengipaasteenk"),
+        # given names on both sides, and a name that holds both
+        entry(20, "Simon", "Pieter", 1550, 1560), entry(21, "Pieter", "Simon", 1550, 1560), entry(22, "Otto Hardewijk", None), entry(23, "Hardewijk", "Otto"),
+        entry(24, None, None, title="Otto, Hardewijk"),
+        # relatives, namesakes and a bare surname that is the given name of others
+        entry(30, "Otto", "Nölfareugroom"), entry(31, "Michaël", "Nölfareugroom", 1750, 1760), entry(32, "Gustaaf", None), entry(33, "Merkanaran", "Gustaaf"), entry(34, "Dielkeeleugrieft", "Gustaaf"),
+    ]
+    assert pairs(spark, rows) == [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4), (10, 11), (20, 21), (22, 23), (22, 24), (23, 24)]
