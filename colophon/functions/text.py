@@ -184,6 +184,19 @@ def garble(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t if t is None else t.encode("utf-8").decode("cp1252", "ignore"))
 
 
+@F.pandas_udf(StringType())
+def garble_whole(text: pd.Series) -> pd.Series:
+    """The same, but a text with a byte that page leaves open stays as it is."""
+
+    def read(t: str) -> str:
+        try:
+            return t.encode("utf-8").decode("cp1252")
+        except UnicodeError:
+            return t
+
+    return text.map(lambda t: t if t is None or t.isascii() else read(t))
+
+
 @F.pandas_udf(DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratio of matching characters by longest common blocks."""

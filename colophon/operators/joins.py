@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colophon.functions import text as T
+from colophon.session import cut
+
 
 def last_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row a key: the last one by ``order``.  Partial maxima are taken before the shuffle."""
@@ -33,12 +41,115 @@ def pair_in_order(left: DataFrame, right: DataFrame, part: list[str], order: str
     return numbered(left).join(numbered(right), [*part, "_k"]).withColumnRenamed("_k", "k")
 
 
+# characters of a chunk of text, and (shortest start, letters of an anchor, window): every window of so many anchors gives its least
+CHUNK = 16_384
+CLASSES = ((24, 8, 17), (8, 8, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+
+
+def _anchors(text: str, letters: int, window: int) -> np.ndarray:
+    """The least hash of each window of runs of letters; empty if the text is shorter than one window."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(points) - letters + 1
+    if n < window:
+        return np.empty(0, np.int64)
+    runs = np.zeros(n, np.uint64)
+    for k in range(letters):
+        runs = (runs + points[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        runs ^= runs >> np.uint64(29)
+    return np.lib.stride_tricks.sliding_window_view(runs.view(np.int64), window).min(axis=1)
+
+
+def _chunks(it: Iterator[pa.RecordBatch], between: str) -> Iterator[pa.RecordBatch]:
+    """Lines in order, gathered to chunks with the place at which each begins."""
+    seqs, places, texts, n = [], [], [], 0
+
+    def made():
+        return pa.RecordBatch.from_pydict({"chunk": pa.array([seqs[0]], pa.int64()), "text": ["".join(texts)], "places": pa.array([places], pa.list_(pa.int32())), "seqs": pa.array([seqs], pa.list_(pa.int64()))})
+
+    for batch in it:
+        for seq, text in zip(*(c.to_pylist() for c in batch.columns)):
+            # lines of one seq stay together, as chunks are told apart by their first
+            if n >= CHUNK and seq != seqs[-1]:
+                yield made()
+                seqs, places, texts, n = [], [], [], 0
+            seqs.append(seq)
+            places.append(n)
+            texts.append(text + between)
+            n += len(text) + len(between)
+    if seqs:
+        yield made()
+
+
+def _following(it: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+    """Beginnings of chunks, last chunk first: what stands after each, as far as the longest start may reach."""
+    after = ""
+    for batch in it:
+        chunks, out = batch.column(0).to_pylist(), []
+        for head in batch.column(1).to_pylist():
+            out.append(after)
+            after = (head + after)[:longest]
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunks, pa.int64()), "after": pa.array(out, pa.string())})
+
+
+def _text_anchors(it: Iterator[pa.RecordBatch], classes: list[int]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        for chunk, text, after in zip(*(batch.column(c).to_pylist() for c in ("chunk", "text", "after"))):
+            for c in classes:
+                found = np.unique(_anchors(text + after, *CLASSES[c][1:]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), c, np.int32)), pa.array(found), pa.array(np.full(len(found), chunk, np.int64))], names=["class", "anchor", "chunk"])
+
+
+def _start_anchors(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors of a start: a text has every one of them where the start stands, as it has the same windows."""
+    for batch in it:
+        out: list[tuple] = []
+        for x in batch.column(0).to_pylist():
+            c = next(c for c, (least, _, _) in enumerate(CLASSES) if len(x) >= least)
+            out += [(x, c, int(h)) for h in np.unique(_anchors(x, *CLASSES[c][1:]))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["_f", "class", "anchor"])
+
+
+def _find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        out = []
+        for text, after, places, seqs, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "after", "places", "seqs", "starts"))):
+            whole = text + after
+            # a start that begins in the text after the chunk is found in its own chunk
+            out += [(x, seqs[bisect_right(places, at) - 1]) for x in starts if 0 <= (at := whole.find(x)) < len(text)]
+        yield pa.RecordBatch.from_pydict({"_f": pa.array([x for x, _ in out], pa.string()), "_at": pa.array([s for _, s in out], pa.int64())})
+
+
+def first_places(lines: DataFrame, starts: DataFrame, between: str) -> DataFrame:
+    """(_f, _at): the first line in which each distinct text ``_f`` begins, wherever in the line and over line ends.
+
+    ``lines`` are (seq, text).  A start meets the chunks of text that have its rarest anchor, and only these are searched; so neither
+    is every start held against every line nor are starts sent to all workers.  In one task pass only the beginnings of chunks.
+    """
+    wanted = cut(starts.select("_f").distinct().mapInArrow(_start_anchors, "_f string, class int, anchor bigint"))
+    classes = sorted(r[0] for r in wanted.select("class").distinct().collect())
+    longest = wanted.agg(F.max(F.length("_f"))).first()[0] or 0
+    chunks = cut(lines.repartitionByRange("seq").sortWithinPartitions("seq").mapInArrow(lambda it: _chunks(it, between), "chunk bigint, text string, places array<int>, seqs array<bigint>"))
+    heads = chunks.select("chunk", F.substring("text", 1, longest).alias("head")).coalesce(1).sortWithinPartitions(F.desc("chunk"))
+    chunks = chunks.join(heads.mapInArrow(lambda it: _following(it, longest), "chunk bigint, after string"), "chunk")
+    held = chunks.select("chunk", "text", "after").mapInArrow(lambda it: _text_anchors(it, classes), "class int, anchor bigint, chunk bigint")
+    held = cut(held.join(wanted.select("class", "anchor").distinct(), ["class", "anchor"], "left_semi"))
+    seen = wanted.join(held.groupBy("class", "anchor").agg(F.count("*").alias("n")), ["class", "anchor"], "left")
+    rarest = seen.groupBy("_f").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "class", "anchor")).alias("r")).where("r.n > 0").select("_f", "r.class", "r.anchor")
+    met = held.join(rarest, ["class", "anchor"]).groupBy("chunk").agg(F.collect_list("_f").alias("starts"))
+    return chunks.join(met, "chunk").mapInArrow(_find, "_f string, _at bigint").groupBy("_f").agg(F.min("_at").alias("_at"))
+
+
 def locate_starts(lines: DataFrame, starts: DataFrame, key: str, seq: str, text: str = "text", flexible: bool = False) -> DataFrame:
-    """Where each start text stands first.  Equality is joined on the text itself; no line is held against every start.
+    """Where each start text stands first: as written, else wrongly decoded once, else twice; as a part of a line or over line ends.
 
     ``flexible`` lets runs of blanks match one another.
     """
     form = (lambda c: F.regexp_replace(F.trim(c), r"\s+", " ")) if flexible else (lambda c: c)
-    a = starts.where(F.trim("start") != "").select(key, form(F.col("start")).alias("_f"))
-    b = lines.groupBy(form(F.col(text)).alias("_f")).agg(F.min(seq).alias(seq))
-    return a.join(b, "_f", "left").drop("_f")
+    start = T.strip(F.col("start"))
+    garbled = starts.where(start != "").select(key, start.alias("_0")).withColumn("_1", T.garble_whole("_0")).withColumn("_2", T.garble_whole("_1"))
+    a = cut(garbled.select(key, *[form(F.col(c)).alias(c) for c in ("_0", "_1", "_2")]))
+    b = lines.where(F.col(text).isNotNull()).select(F.col(seq).cast("bigint").alias("seq"), form(F.col(text)).alias("text"))
+    places = cut(first_places(b.where("text <> ''") if flexible else b, a.select(F.explode(F.array("_0", "_1", "_2")).alias("_f")).where("_f <> ''"), " " if flexible else "\n"))
+    for c in ("_0", "_1", "_2"):
+        a = a.join(places.select(F.col("_f").alias(c), F.col("_at").alias(f"_at{c}")), c, "left")
+    return a.select(key, F.coalesce("_at_0", "_at_1", "_at_2").cast(lines.schema[seq].dataType).alias(seq))

@@ -367,6 +367,15 @@ def start_locations(spark, d):
     return joins.locate_starts(lines, starts, "lemma_id", "seq", flexible=True)
 
 
+def start_fragments(spark, d):
+    """Places of texts from within first lines and of texts that run over their end."""
+    lines = entries(spark, d, "lines").select("lemma_id", F.explode("lines").alias("l")).select((F.col("lemma_id") * 1000 + F.col("l.seq")).alias("seq"), "l.text").where("text is not null")
+    starts = entries(spark, d, "lines").select("lemma_id", F.get("lines", F.lit(0))["text"].alias("one"), F.get("lines", F.lit(1))["text"].alias("two"))
+    over = F.concat(F.substring("one", 11, 1000), F.lit("\n"), F.substring("two", 1, 8))
+    starts = starts.select("lemma_id", F.when(F.col("lemma_id") % 2 == 0, over).otherwise(F.substring("one", 5, 24)).alias("start"))
+    return joins.locate_starts(lines, starts, "lemma_id", "seq")
+
+
 def segments(spark, d):
     """Marked texts cut at their marks again."""
     df = entries(spark, d, "corpus", "schutte_nr", "text").where("text is not null")
@@ -432,7 +441,7 @@ QUERIES = {
     for f in (
         page_lines, page_text, page_zones, line_zones, record_lines, record_periods, record_notes, records_nested, zone_carry, lookahead_reclass, carry_two_level, islands, display_blocks, trim_trailing, line_types, prev_next,
         toc_chapters, toc_levels, toc_join, overlay, meta_last_wins, year_precedence, page_refs, mentioned_in, ordered_distinct, person_lines, place_lines, role_index, chapters, search_index, timeline, decade_grid, corpus_counts,
-        indent_histogram, page_tails, first_by_year, verify_status, verify_report, title_lookup, assembled_names, roman_links, loose_links, inline_markup, inline_notes, page_hyphens, entry_xml, corpus_pages, start_locations, segments,
+        indent_histogram, page_tails, first_by_year, verify_status, verify_report, title_lookup, assembled_names, roman_links, loose_links, inline_markup, inline_notes, page_hyphens, entry_xml, corpus_pages, start_locations, start_fragments, segments,
         hocr_lines, ocr_quality, repaired_rounds, streamed_pages, metadata_rows, new_pages,
     )
 }
@@ -528,6 +537,11 @@ SQL = {
     "corpus_pages": _with(_PRINTED) + f"""select corpus, page_nr, (sum(length(replace(replace(replace(s, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))) + 4 * (count(*) - 1) + 23 + length(page_nr::varchar) + case when page_nr is null then null else 0 end)::int as n_chars from (select corpus, page_nr, {_STRIP} as s from printed) group by corpus, page_nr""",
     "start_locations": _with(_ONCE) + """, li as (select base + l.seq as seq, regexp_replace(trim(l.text), '\\s+', ' ', 'g') as f from (select lemma_id * 1000 as base, unnest(lines) as l from lem) where l.text is not null)
         select s.lemma_id, m.seq from (select lemma_id, regexp_replace(trim(lines[1].text), '\\s+', ' ', 'g') as f from lem where trim(lines[1].text) <> '') s left join (select f, min(seq) as seq from li group by f) m on s.f = m.f""",
+    "start_fragments": _with(_ONCE) + """, li as (select base + l.seq as seq, l.text as text from (select lemma_id * 1000 as base, unnest(lines) as l from lem) where l.text is not null),
+        places as (select seq, sum(length(text) + 1) over (order by seq) - length(text) as place from li), doc as (select string_agg(text || chr(10), '' order by seq) as doc from li),
+        st as (select lemma_id, regexp_replace(case when lemma_id % 2 = 0 then substring(lines[1].text, 11, 1000) || chr(10) || substring(lines[2].text, 1, 8) else substring(lines[1].text, 5, 24) end, '^[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{202F}]+|[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{202F}]+$', '', 'g') as start from lem),
+        found as (select lemma_id, nullif(instr(doc, start), 0) as at from st, doc where start <> '')
+        select lemma_id, seq from found asof left join places on found.at >= places.place""",
     "segments": _with(_ONCE) + "select corpus, schutte_nr, count(*) as n_lines from (select corpus, schutte_nr, trim(unnest(string_split('x' || arg_max(text, lemma_id), chr(10)))) as t from lem where text is not null group by corpus, schutte_nr) where t <> '' group by all",
     "hocr_lines": _with(_ONCE) + """, h as (select lemma_id, unnest(list_sort(list_transform(lines, lambda r: {'seq': r.seq, 'text': coalesce(r.text, ''), 'indent': r.indent}))) as r, unnest(range(len(lines))) as line_no from lem where len(lines) > 0),
         w as (select lemma_id, line_no, 100 + r.indent * 50 as x, list_filter(string_split(r.text, ' '), lambda s: s <> '') as ws from h),

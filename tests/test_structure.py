@@ -1,5 +1,6 @@
 """Literal rule cases, and the window forms of sequential operators against small serial models."""
 
+import bisect
 import random
 
 import pytest
@@ -292,3 +293,36 @@ def test_two_readings_side_by_side(spark):
     rows = df.select(T.similarity("a", "b").alias("s"), T.line_difference("a", "b").alias("d")).collect()
     assert abs(rows[0].s - difflib.SequenceMatcher(None, a, b).ratio()) < 1e-12 and rows[1].s == 1.0 and rows[2].s is None
     assert (rows[0].d.only_left, rows[0].d.only_right) == (["twee", "vier"], ["twec", "vijf", "zes"]) and rows[1].d.only_left == []
+
+
+def test_locate_parts_of_lines_and_garbled_starts(spark, monkeypatch):
+    def mangle(t):
+        return t.encode().decode("cp1252", "ignore")
+
+    texts = ["zie 8. Anna", "7. Gideon", "  van Daniël", mangle("9. Jérôme te Wien"), mangle(mangle("10. André")), "x", "11. een", "lange zin", "12.  \t Otto", "", " de Groot", "ab"]
+    lines = spark.createDataFrame(list(enumerate(texts, 1)), "seq int, text string").repartition(4)
+    starts = spark.createDataFrame([(1, "Anna"), (2, "Gideon\n  van Daniël"), (3, "9. Jérôme"), (4, " 10. André "), (5, "een\nlange zin\n12."), (6, "12. Otto de Groot"), (7, "b"), (8, "nergens"), (9, "  "), (10, None), (11, "Gideon")], "nr int, start string")
+    for size in (8, 16_384):
+        monkeypatch.setattr(joins, "CHUNK", size)
+        exact = {r.nr: r.seq for r in joins.locate_starts(lines, starts, "nr", "seq").collect()}
+        assert exact == {1: 1, 2: 2, 3: 4, 4: 5, 5: 7, 6: None, 7: 12, 8: None, 11: 2}
+    loose = {r.nr: r.seq for r in joins.locate_starts(lines, starts, "nr", "seq", flexible=True).collect()}
+    assert loose == {**exact, 6: 9}
+
+
+def test_locate_against_plain_search(spark, monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(joins, "CHUNK", 60)
+    texts = ["".join(rng.choice("abc é") for _ in range(rng.randrange(40))) for _ in range(120)]
+    whole = "\n".join(texts) + "\n"
+    places = [sum(len(t) + 1 for t in texts[:k]) for k in range(len(texts))]
+    starts = [(k, whole[at : at + rng.choice([1, 2, 3, 5, 9, 20, 24, 25, 60, 150])]) for k, at in enumerate(rng.sample(range(len(whole) - 160), 200))]
+    starts += [(200 + k, "".join(rng.choice("abc") for _ in range(n))) for k, n in enumerate((1, 2, 3, 4, 5, 6, 7, 8))]
+    got = {r.nr: r.seq for r in joins.locate_starts(spark.createDataFrame(list(enumerate(texts)), "seq bigint, text string"), spark.createDataFrame(starts, "nr int, start string"), "nr", "seq").collect()}
+
+    def first(x):
+        for v in (x, x.encode().decode("cp1252", "ignore")):
+            if (at := whole.find(v)) >= 0:
+                return bisect.bisect_right(places, at) - 1
+
+    assert got == {k: first(x.strip()) for k, x in starts if x.strip()}
