@@ -92,6 +92,8 @@ NNBW = r"N\.?\s*N\.?\s*B\.?\s*W\.?\s+([IVXivxïÏlT]+),\s*(\d+)"
 VDAA = r"Van der Aa\s+([IVXivxïÏlT]+),\s*(?:\d+,\s*)?(\d+)"
 LOOSE_NNBW = r"(?i)N\.?\s*N\.?\s*B\.?\s*W\.?\s+([IVX]+),\s*(\d+)"
 
+LOOSE_VDAA = r"(?iu)(?:Aa|A\.?\s*a\.?),?\s*Biogr\.?\s*Woordenb\.?\s*(?:der\s*Nederlanden)?(?:,\s*(?:dl\.?\s*|d\.?\s*)?([\p{L}\p{N}_]+))?(?:,\s*(\d+))?"
+
 
 def _citation(base: str, pattern: str, most: int, path: str, ampersand: str):
     def one(m: Column) -> Column:
@@ -108,14 +110,29 @@ def link_citations(text: Column, base: str = "https://example.org") -> Column:
     return replace_each(linked, VDAA, _citation(base, VDAA, 21, "vdaa", "&amp;"))
 
 
-def link_citations_loosely(text: Column, base: str = "https://example.org") -> Column:
-    """The older form: any case, volumes to ten, a bare ampersand."""
-    def one(m: Column) -> Column:
-        number = roman_number(F.upper(F.regexp_extract(m, LOOSE_NNBW, 1)), 10)
-        link = F.concat(F.lit(f'<a href="{base}/nnbw/#source='), number.cast("string"), F.lit("&page="), F.regexp_extract(m, LOOSE_NNBW, 2), F.lit('">'), m, F.lit("</a>"))
-        return F.when(number.isNull(), m).otherwise(link)
+def link_citations_loosely(text: Column, base: str = "https://example.org", resolver: str | None = None) -> Column:
+    """The older form: any case, volumes to ten, Van der Aa by the name of the work with a Roman or plain volume, a bare ampersand.
+
+    With ``resolver`` a second small link follows each, which hands it the address.  Without volume or page there is no link.
+    """
+
+    def linked(path: str, volume: Column, page: Column, m: Column) -> Column:
+        url = F.concat(F.lit(f"{base}/{path}/#source="), volume.cast("string"), F.lit("&page="), page)
+        link = F.concat(F.lit('<a href="'), url, F.lit('">'), m, F.lit("</a>"))
+        if resolver is not None:
+            link = F.concat(link, F.lit(f' <a class="bp-resolver" href="{resolver}'), F.url_encode(url), F.lit('" title="Biografisch Portaal">[BP]</a>'))
+        return F.when(volume.isNull() | (page == ""), m).otherwise(link)
+
+    def nnbw(m: Column) -> Column:
+        return linked("nnbw", roman_number(F.upper(F.regexp_extract(m, LOOSE_NNBW, 1)), 10), F.regexp_extract(m, LOOSE_NNBW, 2), m)
+
+    def vdaa(m: Column) -> Column:
+        said = F.regexp_extract(m, LOOSE_VDAA, 1)
+        # a plain number of any length, without leading noughts
+        plain = F.when(said.rlike(r"^\d+$"), F.regexp_replace(said, r"^0+(?=\d)", ""))
+        return linked("vdaa", F.coalesce(roman_number(F.upper(said), 10).cast("string"), plain), F.regexp_extract(m, LOOSE_VDAA, 2), m)
 
-    return replace_each(text, LOOSE_NNBW, one)
+    return replace_each(replace_each(text, LOOSE_NNBW, nnbw), LOOSE_VDAA, vdaa)
 
 
 def escape_xml(text: Column) -> Column:

@@ -330,6 +330,14 @@ def loose_links(spark, d):
     return table(spark, d, "part").select("p_partkey", T.link_citations_loosely(F.concat(F.lit("nnbw "), F.element_at(F.array(F.lit("iv"), F.lit("XI")), (F.pmod("p_partkey", F.lit(2)) + 1).cast("int")), F.lit(", "), F.col("p_partkey").cast("string"))).alias("linked"))
 
 
+def entry_links(spark, d):
+    """Citations in the whole texts and notes of entries, in both forms: how many links each value gets."""
+    df = entries(spark, d, "text", "footnotes")
+    values = df.select("lemma_id", F.lit("").alias("note"), F.col("text").alias("value")).unionByName(df.select("lemma_id", F.explode("footnotes").alias("note", "value"))).where("value is not null")
+    count = lambda c: F.size(F.regexp_extract_all(c, F.lit(r"(<a href=\"https://example\.org/)")))
+    return values.select("lemma_id", "note", count(T.link_citations(F.col("value"))).alias("n_links"), count(T.link_citations_loosely(F.col("value"))).alias("n_loose"))
+
+
 def inline_markup(spark, d):
     df = entries(spark, d, "corpus", "text", "footnotes").where("text is not null")
     return df.select("lemma_id", T.inline_markup(F.col("text"), F.col("corpus"), F.map_keys("footnotes")).alias("html"))
@@ -441,7 +449,7 @@ QUERIES = {
     for f in (
         page_lines, page_text, page_zones, line_zones, record_lines, record_periods, record_notes, records_nested, zone_carry, lookahead_reclass, carry_two_level, islands, display_blocks, trim_trailing, line_types, prev_next,
         toc_chapters, toc_levels, toc_join, overlay, meta_last_wins, year_precedence, page_refs, mentioned_in, ordered_distinct, person_lines, place_lines, role_index, chapters, search_index, timeline, decade_grid, corpus_counts,
-        indent_histogram, page_tails, first_by_year, verify_status, verify_report, title_lookup, assembled_names, roman_links, loose_links, inline_markup, inline_notes, page_hyphens, entry_xml, corpus_pages, start_locations, start_fragments, segments,
+        indent_histogram, page_tails, first_by_year, verify_status, verify_report, title_lookup, assembled_names, roman_links, loose_links, entry_links, inline_markup, inline_notes, page_hyphens, entry_xml, corpus_pages, start_locations, start_fragments, segments,
         hocr_lines, ocr_quality, repaired_rounds, streamed_pages, metadata_rows, new_pages,
     )
 }

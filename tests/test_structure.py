@@ -326,3 +326,17 @@ def test_locate_against_plain_search(spark, monkeypatch):
                 return bisect.bisect_right(places, at) - 1
 
     assert got == {k: first(x.strip()) for k, x in starts if x.strip()}
+
+
+def test_older_citations_of_van_der_aa(spark):
+    said = [
+        "zie Aa, Biogr. Woordenb. der Nederlanden, dl. IV, 123 en nnbw iv, 5", "A.a. biogr woordenb, d. 12, 7", "AA, BIOGR. WOORDENB., dl. x, 8", "Aa, Biogr. Woordenb., dl. XI, 9", "Aa, Biogr. Woordenb. der Nederlanden, IV",
+        "Aa, Biogr. Woordenb.; Aa, Biogr. Woordenb., 007, 3", None,
+    ]
+    link = lambda path, volume, page, text: f'<a href="https://example.org/{path}/#source={volume}&page={page}">{text}</a>'
+    assert column(spark, said, T.link_citations_loosely) == [
+        "zie " + link("vdaa", 4, 123, "Aa, Biogr. Woordenb. der Nederlanden, dl. IV, 123") + " en " + link("nnbw", 4, 5, "nnbw iv, 5"), link("vdaa", 12, 7, said[1]), link("vdaa", 10, 8, said[2]), said[3], said[4],
+        "Aa, Biogr. Woordenb.; " + link("vdaa", 7, 3, "Aa, Biogr. Woordenb., 007, 3"), None,
+    ]
+    got = column(spark, ["Aa, Biogr. Woordenb., 2, 3"], lambda c: T.link_citations_loosely(c, resolver="https://bp.example/resolver?url="))
+    assert got == [link("vdaa", 2, 3, "Aa, Biogr. Woordenb., 2, 3") + ' <a class="bp-resolver" href="https://bp.example/resolver?url=https%3A%2F%2Fexample.org%2Fvdaa%2F%23source%3D2%26page%3D3" title="Biografisch Portaal">[BP]</a>']
