@@ -162,6 +162,32 @@ def token_cost(x: str, y: str) -> int | None:
     return best
 
 
+def _cheapest(costs: list[list[int | None]]) -> int | None:
+    """Least cost of giving every row its own column, by shortest augmenting paths; None if that is impossible."""
+    taken: dict[int, int] = {}
+    total = 0
+    for start in range(len(costs)):
+        # Bellman-Ford: reaching a column may push its row on to another one
+        reach: dict[int, tuple[int, int | None]] = {k: (c, None) for k, c in enumerate(costs[start]) if c is not None}
+        moved = True
+        while moved:
+            moved = False
+            for k, row in taken.items():
+                if k in reach:
+                    for n, c in enumerate(costs[row]):
+                        if c is not None and n != k and (d := reach[k][0] - costs[row][k] + c) < reach.get(n, (d + 1,))[0]:
+                            reach[n], moved = (d, k), True
+        free = [(d, k) for k, (d, _) in reach.items() if k not in taken]
+        if not free:
+            return None
+        d, k = min(free)
+        total += d
+        while (before := reach[k][1]) is not None:
+            taken[k], k = taken[before], before
+        taken[k] = start
+    return total
+
+
 def assign(xs: tuple[str, ...], ys: tuple[str, ...], lead: bool = True) -> int | None:
     """Least cost of giving every token of the shorter name its own token of the longer one; None if that is impossible.
 
@@ -174,16 +200,7 @@ def assign(xs: tuple[str, ...], ys: tuple[str, ...], lead: bool = True) -> int |
         # a lost given name contradicts none
         return 3 if long else 0
     if len(long) > WIDE:
-        # many tokens: equal ones go together first, and each of the others takes the cheapest that is left
-        left, cost = list(long), 0
-        for x in sorted(short, key=lambda t: t not in long):
-            fits = [(c, k) for k, y in enumerate(left) if (c := token_cost(x, y)) is not None]
-            if not fits:
-                return None
-            c, k = min(fits)
-            cost += c
-            left.pop(k)
-        return cost
+        return _cheapest([[token_cost(x, y) for y in long] for x in short])
     best = {0: 0}
     for x in short:
         following: dict[int, int] = {}

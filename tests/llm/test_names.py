@@ -98,3 +98,21 @@ def test_exchanged_name_parts(spark):
         entry(30, "Otto", "Nölfareugroom"), entry(31, "Michaël", "Nölfareugroom", 1750, 1760), entry(32, "Gustaaf", None), entry(33, "Merkanaran", "Gustaaf"), entry(34, "Dielkeeleugrieft", "Gustaaf"),
     ]
     assert pairs(spark, rows) == [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4), (10, 11), (20, 21), (22, 23), (22, 24), (23, 24)]
+
+
+def test_cheapest_assignment_against_all_orders():
+    from itertools import permutations
+
+    rng = random.Random(3)
+    for _ in range(400):
+        n, m = sorted(rng.randrange(1, 6) for _ in range(2))
+        costs = [[rng.choice([None, 0, 1, 2]) for _ in range(m)] for _ in range(n)]
+        sums = [sum(costs[k][c] for k, c in enumerate(p)) for p in permutations(range(m), n) if all(costs[k][c] is not None for k, c in enumerate(p))]
+        assert names._cheapest(costs) == min(sums, default=None)
+
+
+def test_many_tokens_are_assigned_exactly():
+    rest = [f"naam{c * 4}" for c in "abdfghjklmnp"]
+    # the initial must leave the only other fit to the longer abbreviation
+    short, long = (*rest, "p.", "pie."), (*rest, "pieter", "paulus")
+    assert names.assign(short, long, False) is not None
