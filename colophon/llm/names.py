@@ -239,7 +239,9 @@ def parts(name: str | None, given: str | None, title: str | None, body: bool) ->
     if body:
         tokens = [t for t in _TOKEN.findall(bare(f"{name} {given}")) if t.rstrip(".") not in _P]
         keys = [key_form(t.rstrip(".")) for t in tokens]
-        return [k for k in keys if len(k) > 4 and k not in _BK], tokens
+        # short words are keys where there is no longer one, and generic ones where there is nothing else
+        own = [k for k in keys if k and k not in _BK]
+        return [k for k in own if len(k) > 4] or own or [k for k in keys if k], tokens
     words = re.findall(r"[^\W\d_]+", bare(name))
     key = key_form("".join([w for w in words if w not in _P] or words))
     tokens = [t for t in _TOKEN.findall(bare(given)) if own and len(t) == 2 and t[1] == "." or t.rstrip(".") not in _T | _P]

@@ -116,3 +116,8 @@ def test_many_tokens_are_assigned_exactly():
     # the initial must leave the only other fit to the longer abbreviation
     short, long = (*rest, "p.", "pie."), (*rest, "pieter", "paulus")
     assert names.assign(short, long, False) is not None
+
+
+def test_bodies_of_short_and_generic_words(spark):
+    rows = [entry(i, name, None, kind="college") for i, name in enumerate(["Raad van Goa", "Raad van Goa", "Goa, Raad v.", "Raad van Ede", "Kamer van Koophandel", "Kamer v. Koophandle", "Directie"], 1)]
+    assert pairs(spark, rows) == [(1, 2), (1, 3), (2, 3), (5, 6)]
