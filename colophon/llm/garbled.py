@@ -1,61 +1,88 @@
 """Garbled text from wrong decoding (problem 2).
 
-UTF-8 bytes that were read with a single-byte code page leave *units*: a character that stands for a lead byte and one to three
-that stand for continuation bytes.  Which code page was used, and how often, is not known, so a run of units is a cipher symbol: its candidates
-are the letters that any code pages make of it, and itself, for a unit may also be two honest characters.  Per source, expectation-
-maximisation weighs the candidates by the bigrams of the language around each occurrence; the bigrams are counted over the
-text outside of units.  The learned mapping is applied with ``translate`` (symbols become private characters first).
-
-Counting the bigrams and the contexts is distributed; the mapping has at most one row for each code point and code page.
-
-Defined results: null and plain ASCII values are never garbled; U+FFFD marks a lost character and makes the value a case, but is
-left standing, as nothing tells what was lost; a repeated delivery counts once.
+Which code page a text was written in, which one it was read with, and how often, is not known; so what is left of it is read as a
+substitution cipher, source by source.  There are two sorts of cipher symbols:
+
+* *Units* come from UTF-8 bytes that were read with a single-byte page: a character that stands for a lead byte and one to three
+  that stand for continuation bytes, by any page Python knows.  Units that touch form a run, which is cut into the pieces that each
+  were one letter, however many times it was decoded.  Candidates of a piece are what any pages make of it, and itself, as a
+  unit may also be two honest characters.
+* *Single symbols* come from one single-byte page read as another one: a character outside ASCII beside a letter that the other
+  sources do not use in such places.  Candidates are all letters of the language, and itself.  Pages agree in ASCII, so a symbol that stands
+  for an ASCII letter (a look-alike, a slip of scanning) is no product of wrong decoding and stays.
+
+Per source, expectation-maximisation weighs the candidates by the bigrams of the language around each occurrence; the bigrams are counted over
+the text outside of units, for single symbols over the other sources.  The learned mapping is applied with ``translate`` (symbols
+become private characters first).
+
+Counting bigrams and contexts is distributed, and so is learning: each source learns in its own task from its counts, whose
+number is bounded by the characters in use and not by the rows.
+
+Defined results: null and plain ASCII values are never garbled; U+FFFD marks a lost character and makes the value a case (``lost`` fills in
+what the corpus still knows); single symbols need a second source to be told from honest ones; a repeated delivery counts once.
 """
 
 from __future__ import annotations
 
+import importlib
 import math
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from encodings.aliases import aliases
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colophon.llm import counting
+from colophon.session import cut
+
 FIELDS = ("text", "name", "givenname")
 LOST = "�"
-CODE_PAGES = ("cp1252", "cp1250", "cp1254", "cp1257", "iso8859_2", "iso8859_15", "cp437", "cp850", "cp852", "mac_roman", "mac_latin2")
 ZERO_WIDTH = "​‌‍⁠﻿"
-ROUNDS = 5
 _FLOOR = 1e-7
+# a letter of the language makes up this part of its text; a single symbol stands for one if so many of its places become bigrams of
+# the language, and has been seen so often
+LETTER_SHARE, FIT, SEEN = 1e-5, 0.9, 3
+# pages tried first; the order decides nothing but which of equal readings cuts a run
+_FIRST = ("cp1252", "latin_1")
 
 
 def _byte_tables() -> list[dict[str, int]]:
-    """Character to byte of every code page; bytes a page leaves open are the control characters of the same number."""
-    tables = []
-    for page in CODE_PAGES:
-        table = {}
-        for b in range(0x80, 0x100):
-            try:
-                table[bytes([b]).decode(page)] = b
-            except UnicodeDecodeError:
-                pass
-            if page.startswith(("cp125", "iso")):
-                table.setdefault(chr(b), b) if b < 0xA0 else None
-        tables.append(table)
+    """Character to byte of every single-byte page that agrees with ASCII; bytes a page leaves open are the control characters of the same number."""
+    tables: list[dict[str, int]] = []
+    for page in (*_FIRST, *sorted(set(aliases.values()) - set(_FIRST))):
+        try:
+            known = getattr(importlib.import_module(f"encodings.{page}"), "decoding_table", None)
+        except ImportError:
+            continue
+        if page == "latin_1":
+            known = "".join(map(chr, range(256)))
+        if known is None or known[:128] != "".join(map(chr, range(128))):
+            continue
+        table = {c: b for b, c in enumerate(known) if b >= 0x80 and c != "￾"}
+        for b in range(0x80, 0xA0):
+            if b >= len(known) or known[b] == "￾":
+                table.setdefault(chr(b), b)
+        if table not in tables:
+            tables.append(table)
     return tables
 
 
 TABLES = _byte_tables()
-_LEAD = "".join(sorted({c for t in TABLES for c, b in t.items() if 0xC2 <= b <= 0xF4}))
-_NEXT = "".join(sorted({c for t in TABLES for c, b in t.items() if 0x80 <= b <= 0xBF}))
-_SKIP = f"[{ZERO_WIDTH}]?"
-_PAIR = re.compile(f"[{re.escape(_LEAD)}]{_SKIP}[{re.escape(_NEXT)}]")
+_LEADS: dict[str, list[int]] = {}
+for _k, _t in enumerate(TABLES):
+    for _c, _b in _t.items():
+        if 0xC2 <= _b <= 0xF4:
+            _LEADS.setdefault(_c, []).append(_k)
+_IN_PAGES = frozenset(c for t in TABLES for c in t)
+_RUN = re.compile(f"[{re.escape(''.join(sorted(_IN_PAGES)))}{ZERO_WIDTH}]{{2,}}")
+_HIGH = re.compile("[^\x00-\x7f]")
 # lead characters whose accent was split off later
-_SPLIT = re.compile("[AaEeUuOo][\u0300-\u030a]")
+_SPLIT = re.compile("[AaEeUuOo][̀-̊]")
 
 
 def composed(text: str) -> str:
@@ -63,220 +90,379 @@ def composed(text: str) -> str:
     return _SPLIT.sub(lambda m: unicodedata.normalize("NFC", m.group()), text)
 
 
-def _decode(chars: str) -> set[str]:
-    """What one wrong decoding may have stood for, by any code page."""
-    out = set()
-    for table in TABLES:
-        try:
-            out.add(bytes(b if (b := table.get(c)) is not None else ord(c) if c < "\x80" else table[c] for c in chars).decode("utf-8"))
-        except (KeyError, UnicodeDecodeError):
-            pass
-    return out
+def _readings(chars: str, pages: frozenset[int] | None = None) -> Iterator[str]:
+    """What one wrong decoding may have stood for, by page after page (all, or those of ``pages``)."""
+    first = next((c for c in chars if c >= "\x80"), "")
+    for k in _LEADS.get(first, ()):
+        if pages is None or k in pages:
+            table = TABLES[k]
+            try:
+                yield bytes([table[c] if c >= "\x80" else ord(c) for c in chars]).decode("utf-8")
+            except (KeyError, UnicodeDecodeError):
+                pass
+
 
+def candidates(symbol: str, pages: frozenset[int] | None = None) -> set[str]:
+    """What a symbol may have been before it was decoded wrongly, any number of times; no controls and no private characters.
 
-def candidates(symbol: str) -> set[str]:
-    """What a symbol may have been before it was decoded wrongly, once or several times; no controls and no private characters."""
-    seen, fresh = set(), {symbol}
-    for _ in range(ROUNDS):
-        fresh = {y for x in fresh if not x.isascii() for y in _decode(x)} - seen - {symbol}
+    Every decoding shortens the symbol, so there is an end.
+    """
+    seen: set[str] = set()
+    fresh = {symbol}
+    while fresh:
+        fresh = {y for x in fresh if not x.isascii() for y in _readings(x, pages)} - seen - {symbol}
         seen |= fresh
     return {x for x in seen if not any(unicodedata.category(c) in ("Cc", "Cn", "Co", "Cs") for c in x)}
 
 
-_KNOWN: dict[str, set[str]] = {}
+class _Memo(dict):
+    """Results met before; emptied when it is full."""
 
+    def __init__(self, compute) -> None:
+        super().__init__()
+        self.compute = compute
 
-def _known(symbol: str) -> set[str]:
-    if symbol not in _KNOWN:
-        if len(_KNOWN) > 100_000:
-            _KNOWN.clear()
-        _KNOWN[symbol] = candidates(symbol)
-    return _KNOWN[symbol]
+    def __missing__(self, key: str):
+        out = self.compute(key)
+        if len(key) <= 256:
+            if len(self) >= 100_000:
+                self.clear()
+            self[key] = out
+        return out
 
 
-_UNIT: dict[str, bool] = {}
+def _under(run: str, table: dict[str, int]) -> list[tuple[int, int, str]]:
+    """Start, end and letter of the units of a run by one page."""
+    out, at = [], 0
+    codes = [table.get(c, 0) for c in run]
+    while at < len(run):
+        b = codes[at]
+        n = 2 if 0xC2 <= b <= 0xDF else 3 if 0xE0 <= b <= 0xEF else 4 if 0xF0 <= b <= 0xF4 else 1
+        if n > 1 and len(part := codes[at : at + n]) == n:
+            try:
+                out.append((at, at + n, bytes(part).decode("utf-8")))
+            except UnicodeDecodeError:
+                n = 1
+        at += n
+    return out
 
 
-def _is_unit(chars: str) -> bool:
-    if chars not in _UNIT:
-        _UNIT[chars] = bool(_decode(chars))
-    return _UNIT[chars]
+def _parse(run: str) -> tuple[tuple[int, int], ...]:
+    """Where the symbols of a run stand that each were one letter, by the page that explains most of the run; letters that form a
+    run with units themselves are taken together, however often the text was decoded."""
+    best: list[tuple[int, int, str]] = []
+    covered = 0
+    for k in sorted({k for c in set(run) for k in _LEADS.get(c, ())}):
+        found = _under(run, TABLES[k])
+        if (cover := sum(b - a for a, b, _ in found)) > covered:
+            best, covered = found, cover
+    out: list[tuple[int, int]] = []
+    first = 0
+    while first < len(best):
+        last = first
+        while last + 1 < len(best) and best[last + 1][0] == best[last][1]:
+            last += 1
+        text = "".join(x[2] for x in best[first : last + 1])
+        inner = {m.start() + a: m.start() + b for m in _RUN.finditer(text) for a, b in _SYMBOLS[m.group()]}
+        k = 0
+        while k < len(text):
+            end = inner.get(k, k + 1)
+            out.append((best[first + k][0], best[first + end - 1][1]))
+            k = end
+        first = last + 1
+    return tuple((a, b) for a, b in out if _KNOWN[run[a:b]])
+
+
+_KNOWN = _Memo(candidates)
+_SYMBOLS = _Memo(_parse)
 
 
-def _single_units(text: str) -> Iterator[tuple[int, int, str]]:
-    at = 0
-    while m := _PAIR.search(text, at):
-        chars, end, hit = "", m.start(), False
-        while end < len(text) and len(chars) < 4:
-            c = text[end]
-            if c in ZERO_WIDTH:
-                end += 1
-                continue
-            if chars and c not in _NEXT:
-                break
-            chars += c
-            end += 1
-            if len(chars) > 1 and _is_unit(chars):
-                hit = True
-                break
-        if hit:
-            yield m.start(), end, chars
-        at = end if hit else m.start() + 1
+def units(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and characters of the cipher symbols from UTF-8; zero-width characters inside are skipped."""
+    for m in _RUN.finditer(text):
+        run, base = m.group(), m.start()
+        if any(c in ZERO_WIDTH for c in run):
+            place = [k for k, c in enumerate(run) if c not in ZERO_WIDTH]
+            run = "".join(run[k] for k in place)
+            yield from ((base + place[a], base + place[b - 1] + 1, run[a:b]) for a, b in _SYMBOLS[run])
+        else:
+            yield from ((base + a, base + b, run[a:b]) for a, b in _SYMBOLS[run])
 
 
-def units(text: str) -> Iterator[tuple[int, int, str]]:
-    """Start, end and characters of the cipher symbols: runs of units that touch; zero-width characters inside are skipped.
+class Mapping(dict):
+    """Symbol to letter, without symbols that are honest text."""
 
-    A run that no code page explains as a whole falls into its units.
-    """
-    run: list[tuple[int, int, str]] = []
-    for one in _single_units(text):
-        if run and one[0] != run[-1][1]:
-            yield from _joined(run)
-            run = []
-        run.append(one)
-    yield from _joined(run)
+    def __init__(self, pairs: dict[str, str]) -> None:
+        super().__init__((k, v) for k, v in pairs.items() if k != v)
+        lone = "".join(sorted(k for k in self if len(k) == 1))
+        self.lone = re.compile(f"[{re.escape(lone)}]+") if lone else None
 
 
-def _joined(run: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    whole = "".join(x[2] for x in run)
-    if len(run) > 1 and len(run) <= 64 and _known(whole):
-        return [(run[0][0], run[-1][1], whole)]
-    return [x for x in run if _known(x[2])]
+NOTHING = Mapping({})
 
 
-def substitute(text: str, mapping: dict[str, str]) -> tuple[str, int]:
-    """Mapped symbols become private characters, which ``translate`` turns into letters.  Also the number of units replaced."""
+def _in_word(text: str, start: int, end: int) -> bool:
+    return text[start - 1 : start].isalpha() or text[end : end + 1].isalpha()
+
+
+def substitute(text: str, mapping: Mapping) -> tuple[str, int]:
+    """Mapped symbols become private characters, which ``translate`` turns into letters.  Also the number of symbols replaced."""
     out, table, at = [], {}, 0
     private: dict[str, str] = {}
     n = 0
-    for start, end, unit in units(text):
-        letter = mapping.get(unit, unit)
-        if letter == unit:
-            continue
-        if unit not in private:
-            private[unit] = chr(0xF0000 + len(private))
-            table[ord(private[unit])] = letter
-        out += (text[at:start], private[unit])
+
+    def put(start: int, end: int, symbol: str) -> None:
+        nonlocal at, n
+        if symbol not in private:
+            private[symbol] = chr(0xF0000 + len(private))
+            table[ord(private[symbol])] = mapping[symbol]
+        out.extend((text[at:start], private[symbol]))
         at, n = end, n + 1
+
+    found = [u for u in units(text) if u[2] in mapping]
+    if mapping.lone is not None:
+        taken = {k for a, b, _ in found for k in range(a, b)}
+        found += [(k, k + 1, text[k]) for m in mapping.lone.finditer(text) if _in_word(text, m.start(), m.end()) for k in range(m.start(), m.end()) if k not in taken]
+        found.sort()
+    for one in found:
+        put(*one)
     return ("".join([*out, text[at:]]).translate(table), n) if n else (text, 0)
 
 
-def repair(text: str | None, mapping: dict[str, str]) -> tuple[str | None, int]:
+def repair(text: str | None, mapping: Mapping) -> tuple[str | None, int]:
     """The text with its garbled symbols restored, and how many there were."""
-    if text is None or text.isascii():
+    if text is None or not mapping or text.isascii():
         return text, 0
     out, n = substitute(composed(text), mapping)
     return (out, n) if n else (text, 0)
 
 
-def _evidence(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bigram counts outside of symbols (unit null), and the contexts of the symbols."""
-    bigrams: Counter = Counter()
-    contexts: Counter = Counter()
-    for batch in it:
-        source = batch.column(0).to_pylist()
-        for column in batch.columns[1:]:
-            for src, text in zip(source, column.to_pylist()):
+class Evidence:
+    """Counts, per source, the bigrams outside of symbols (``b``), the contexts of units (``s``), and of single characters beside letters (``1``)."""
+
+    def __init__(self, source: str, fields: tuple[str, ...]) -> None:
+        self.source, self.fields = source, fields
+
+    def __call__(self, batch: pa.RecordBatch, counts: Counter) -> None:
+        sources = batch.column(self.source).to_pylist()
+        plain: Counter = Counter()
+        own = None
+        for field in self.fields:
+            for src, text in zip(sources, batch.column(field).to_pylist()):
                 if not text:
                     continue
+                if src != own:
+                    self._hand(own, plain, counts)
+                    own = src
                 if text.isascii():
-                    bigrams.update(zip(text, text[1:]))
+                    plain.update(zip("\n" + text, text + "\n"))
                     continue
-                at, text = 0, composed(text)
-                for start, end, symbol in units(text):
-                    contexts[src, symbol, text[start - 1 : start] or "\n", text[end : end + 1] or "\n"] += 1
-                    part = text[at:start]
-                    bigrams.update(zip(part, part[1:]))
+                # the ends of a text are line feeds
+                at, text = 0, f"\n{composed(text)}\n"
+                found = list(units(text))
+                for k, (start, end, symbol) in enumerate(found):
+                    # what touches another symbol has no letter beside it
+                    before = "" if k and found[k - 1][1] == start else text[start - 1]
+                    after = "" if k + 1 < len(found) and found[k + 1][0] == end else text[end]
+                    counts["s", src, symbol, before, after] += 1
+                    self._plain(text[at:start], src, plain, counts)
                     at = end
-                part = text[at:]
-                bigrams.update(zip(part, part[1:]))
-    rows = [(None, None, a, b, n) for (a, b), n in bigrams.items()] + [(*key, n) for key, n in contexts.items()]
-    columns = list(zip(*rows)) or [[]] * 5
-    yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, [pa.string()] * 4 + [pa.int64()])], names=["source", "unit", "prev", "next", "n"])
-
-
-def learn(contexts: pd.DataFrame, bigrams: dict[tuple[str, str], int], rounds: int = 12) -> dict[str, str]:
-    """The most likely letter of every unit of one source, by expectation-maximisation; a unit that is honest text maps to itself."""
-    firsts: Counter = Counter()
-    for (a, _), n in bigrams.items():
-        firsts[a] += n
-    total = sum(firsts.values()) or 1
-    lone = {c: n / total for c, n in firsts.items()}
-
-    def step(a: str, b: str) -> float:
-        # interpolated with the frequency of the letter alone; a letter the language does not have is dear on both its sides
-        return 0.9 * bigrams.get((a, b), 0) / firsts[a] + 0.1 * lone.get(b, _FLOOR) if firsts.get(a) else _FLOOR
-
-    score: dict[tuple[str, str], list[tuple[float, float]]] = {}
-    for unit, prev, nxt, n in contexts[["unit", "prev", "next", "n"]].itertuples(index=False):
-        for letters in {*_known(unit), unit}:
-            path = prev + letters + nxt
-            # the candidates differ in length, hence each letter's own likelihood counts and the context is shared
-            score.setdefault((unit, letters), []).append((n, sum(math.log(max(step(a, b), _FLOOR)) for a, b in zip(path, path[1:]))))
-    theta = {key: 1.0 for key in score}
+                self._plain(text[at:], src, plain, counts)
+        self._hand(own, plain, counts)
+
+    @staticmethod
+    def _plain(part: str, src: str | None, plain: Counter, counts: Counter) -> None:
+        plain.update(zip(part, part[1:]))
+        if not part.isascii():
+            for m in _HIGH.finditer(part):
+                k = m.start()
+                if _in_word(part, k, k + 1):
+                    counts["1", src, part[k], part[k - 1 : k] or "\n", part[k + 1 : k + 2] or "\n"] += 1
+
+    @staticmethod
+    def _hand(src: str | None, plain: Counter, counts: Counter) -> None:
+        for (a, b), n in plain.items():
+            counts["b", src, None, a, b] += n
+        plain.clear()
+
+
+class Language:
+    """Likelihood of letter after letter, interpolated with the frequency of the letter alone; a letter the language does not have is dear on both its sides."""
+
+    def __init__(self, bigrams: dict[tuple[str, str], int]) -> None:
+        self.bigrams = bigrams
+        self.firsts: Counter = Counter()
+        for (a, _), n in bigrams.items():
+            self.firsts[a] += n
+        total = sum(self.firsts.values()) or 1
+        seconds: Counter = Counter()
+        for (_, b), n in bigrams.items():
+            seconds[b] += n
+        self.lone = {c: max(self.firsts[c], seconds[c]) / total for c in self.firsts.keys() | seconds.keys()}
+
+    def step(self, a: str, b: str) -> float:
+        if not a or not b:
+            # beside another symbol nothing is known of one side
+            return max(self.lone.get(a or b, _FLOOR), _FLOOR)
+        n = self.firsts.get(a)
+        return max(0.9 * self.bigrams.get((a, b), 0) / n + 0.1 * self.lone.get(b, _FLOOR) if n else _FLOOR, _FLOOR)
+
+    def path(self, before: str, letters: str, after: str) -> float:
+        """The letters between their neighbours, as a logarithm."""
+        steps = [before, *letters, after]
+        return sum(math.log(self.step(a, b)) for a, b in zip(steps, steps[1:]) if a or b)
+
+
+def _maximised(score: dict[str, dict[str, list[float]]], weight: dict[str, list[int]], rounds: int) -> dict[str, dict[str, float]]:
+    """Of every symbol the weights of its candidates, by expectation-maximisation over its places."""
+    theta = {symbol: dict.fromkeys(options, 1.0) for symbol, options in score.items()}
     for _ in range(rounds):
-        expected = dict.fromkeys(score, 0.1)
-        by_unit: dict[str, list[str]] = {}
-        for unit, letters in score:
-            by_unit.setdefault(unit, []).append(letters)
-        for unit, options in by_unit.items():
-            for seen in zip(*(score[unit, o] for o in options)):
-                logs = [math.log(theta[unit, o]) + s[1] for o, s in zip(options, seen)]
-                top = max(logs)
-                weights = [math.exp(x - top) for x in logs]
-                for o, w in zip(options, weights):
-                    expected[unit, o] += seen[0][0] * w / sum(weights)
-        for unit, options in by_unit.items():
-            whole = sum(expected[unit, o] for o in options)
-            for o in options:
-                theta[unit, o] = expected[unit, o] / whole
-    best: dict[str, str] = {}
-    for (unit, letters), t in sorted(theta.items(), key=lambda x: (x[1], x[0][1])):
-        best[unit] = letters
-    return best
-
-
-def mapping_of(rows: DataFrame, source: str, fields: tuple[str, ...] = FIELDS) -> dict[str | None, dict[str, str]]:
-    """The mapping of every source.
-
-    What comes to the driver is counted already: bigrams of characters, and units with their neighbours, whose number is bounded by
-    the characters in use and not by the rows.  Sources learn one after the other from these counts.
+        for symbol, options in score.items():
+            own = theta[symbol]
+            expected = dict.fromkeys(options, 0.1)
+            for k, n in enumerate(weight[symbol]):
+                logs = {o: math.log(own[o]) + s[k] for o, s in options.items()}
+                top = max(logs.values())
+                shares = {o: math.exp(x - top) for o, x in logs.items()}
+                whole = sum(shares.values())
+                for o, x in shares.items():
+                    expected[o] += n * x / whole
+            whole = sum(expected.values())
+            theta[symbol] = {o: x / whole for o, x in expected.items()}
+    return theta
+
+
+def pages_in_use(places: dict[str, list[tuple[str, str, int]]], language: Language) -> frozenset[int]:
+    """The pages a source was read with: again and again the one that turns most of the symbols left into letters the language has there.
+
+    Where no letter can be known, a page that explains most symbols which are not letters throughout.
     """
-    counted = rows.select(F.col(source).alias("source"), *fields).mapInArrow(_evidence, "source string, unit string, prev string, next string, n bigint").groupBy("source", "unit", "prev", "next").agg(F.sum("n").alias("n"))
-    data = counted.toPandas()
-    plain = data[data["unit"].isna()]
-    bigrams = {(a, b): int(n) for a, b, n in plain[["prev", "next", "n"]].itertuples(index=False)}
-    own = data[data["unit"].notna()]
-    return {None if src is None or src != src else src: learn(part, bigrams) for src, part in own.groupby("source", dropna=False)}
+
+    def turned(symbol: str, pages: frozenset[int], known: bool) -> bool:
+        options = [c for c in candidates(symbol, pages) if not known or all(x in language.lone for x in c)]
+        if not known:
+            return bool(options) and not symbol.isalpha()
+        own = sum(n * language.path(a, symbol, b) for a, b, n in places[symbol]) if options else 0.0
+        return any(sum(n * language.path(a, c, b) for a, b, n in places[symbol]) > own for c in options)
+
+    used: frozenset[int] = frozenset()
+    for known in (True, False):
+        left = set(places)
+        while left and (known or not used):
+            gain = {}
+            for k in {k for s in left for k in _LEADS.get(s[0], ())} - used:
+                hit = {s for s in left if turned(s, used | {k}, known)}
+                gain[k] = (sum(n for s in hit for _, _, n in places[s]), -k, hit)
+            if not gain or not (best := max(gain.items(), key=lambda x: x[1][:2]))[1][0]:
+                break
+            used |= {best[0]}
+            left -= best[1][2]
+    return used
+
+
+def learn(contexts: list[tuple[str, str, str, int]], language: Language, rounds: int = 12) -> dict[str, str]:
+    """The most likely letter of every unit of one source from (unit, before, after, n); one that is honest text maps to itself."""
+    places: dict[str, list[tuple[str, str, int]]] = {}
+    for symbol, before, after, n in contexts:
+        places.setdefault(symbol, []).append((before, after, n))
+    used = pages_in_use(places, language)
+    options = {}
+    for s in places:
+        options[s] = {s, *candidates(s, used)}
+        if any(len(o) > 1 and o.isalpha() for o in options[s]):
+            # what reads as letters throughout may be a word of another script: it only gives way to letters the language has
+            options[s] = {o for o in options[s] if o == s or len(o) > 1 and o.isalpha() or all(x in language.lone for x in o)}
+    score = {s: {o: [language.path(a, o, b) for a, b, _ in seen] for o in options[s]} for s, seen in places.items()}
+    weight = {s: [n for _, _, n in seen] for s, seen in places.items()}
+    return {symbol: max(options.items(), key=lambda x: (x[1], x[0]))[0] for symbol, options in _maximised(score, weight, rounds).items()}
+
+
+def learn_single(contexts: list[tuple[str, str, str, int]], language: Language, rounds: int = 12) -> dict[str, str]:
+    """The letters of the single symbols of one source, by the language of the other sources; honest characters map to nothing."""
+    places: dict[str, list[tuple[str, str, int]]] = {}
+    for symbol, before, after, n in contexts:
+        places.setdefault(symbol, []).append((before, after, n))
+    letters = [c for c, p in language.lone.items() if p >= LETTER_SHARE and c.isalpha()]
+
+    def fits(c: str, seen: list[tuple[str, str, int]]) -> tuple[int, int]:
+        """How many of the letters beside its places the letter goes with, and how many there are."""
+        sides = [(pair in language.bigrams, n) for a, b, n in seen for pair, beside in (((a, c), a), ((c, b), b)) if beside.isalpha()]
+        return sum(n for ok, n in sides if ok), sum(n for _, n in sides)
+
+    def alien(symbol: str) -> bool:
+        hit, of = fits(symbol, places[symbol])
+        return symbol in _IN_PAGES and of >= SEEN and 2 * hit < of and unicodedata.category(symbol)[0] != "M" and symbol not in ZERO_WIDTH + LOST
+
+    strange = {c: places[c] for c in places if alien(c)}
+    score: dict[str, dict[str, list[float]]] = {}
+    weight: dict[str, list[int]] = {}
+    for symbol, seen in strange.items():
+        # what stands beside another such symbol has no letter there
+        seen = [("" if a in strange else a, "" if b in strange else b, n) for a, b, n in seen]
+        good = [c for c in letters for hit, of in (fits(c, seen),) if of >= SEEN and hit >= FIT * of]
+        if good:
+            score[symbol] = {c: [language.path(a, c, b) for a, b, _ in seen] for c in good}
+            weight[symbol] = [n for _, _, n in seen]
+    best = {symbol: max(options.items(), key=lambda x: (x[1], x[0]))[0] for symbol, options in _maximised(score, weight, rounds).items()}
+    return {symbol: letter for symbol, letter in best.items() if not letter.isascii()}
+
+
+def _learn_source(bigrams: dict[tuple[str, str], int]):
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        of = {kind: list(part[["a", "b", "c", "n"]].itertuples(index=False, name=None)) for kind, part in rows.groupby("kind")}
+        mapping = learn(of.get("s", []), Language(bigrams))
+        own = {(a, b): n for _, a, b, n in of.get("b", [])}
+        others = {p: n - (0 if p[0].isascii() and p[1].isascii() else own.get(p, 0)) for p, n in bigrams.items()}
+        mapping |= learn_single(of.get("1", []), Language({p: n for p, n in others.items() if n > 0}))
+        kept = [(k, v) for k, v in mapping.items() if k != v]
+        return pd.DataFrame({"source": [key[0]] * len(kept), "symbol": [k for k, _ in kept], "letters": [v for _, v in kept]}, dtype=object)
+
+    return run
+
+
+def mappings(counts: DataFrame) -> dict[str | None, Mapping]:
+    """The mapping of every source from what ``Evidence`` counted; sources learn side by side, each in one task."""
+    bigrams = counting.pairs(counts, "b")
+    made = counts.where("kind in ('b', 's', '1')").groupBy("source").applyInPandas(_learn_source(bigrams), "source string, symbol string, letters string")
+    out: dict[str | None, dict[str, str]] = {}
+    for r in counting.bounded(made, "garbled symbols of all sources"):
+        out.setdefault(r.source, {})[r.symbol] = r.letters
+    return {source: Mapping(own) for source, own in out.items()}
+
+
+def mapping_of(rows: DataFrame, source: str, fields: tuple[str, ...] = FIELDS) -> dict[str | None, Mapping]:
+    """The mapping of every source of a table."""
+    return mappings(cut(counting.counted(rows.select(F.col(source).cast("string").alias("source"), *fields), [Evidence("source", fields)])))
 
 
 def _judge(it: Iterator[pa.RecordBatch], maps: dict, fields: tuple[str, ...], restore: bool) -> Iterator[pa.RecordBatch]:
     for batch in it:
         ids, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         if restore:
-            done = [[repair(v, maps.get(s, {}))[0] for s, v in zip(sources, column.to_pylist())] for column in batch.columns[2:]]
+            done = [[repair(v, maps.get(s, NOTHING))[0] for s, v in zip(sources, column.to_pylist())] for column in batch.columns[2:]]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, type=pa.string()) for c in done)], names=["id", *fields])
             continue
         out: list[tuple] = []
         for field, column in zip(fields, batch.columns[2:]):
             for i, s, v in zip(ids, sources, column.to_pylist()):
-                if v and not v.isascii() and (LOST in v or repair(v, maps.get(s, {}))[1]):
+                if v and not v.isascii() and (LOST in v or repair(v, maps.get(s, NOTHING))[1]):
                     out.append((i, field))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], type=pa.int64()), pa.array([r[1] for r in out], type=pa.string())], names=["id", "field_name"])
 
 
+def picked(rows: DataFrame, key: str, source: str, fields: tuple[str, ...]) -> DataFrame:
+    return rows.select(F.col(key).cast("bigint").alias("id"), F.col(source).cast("string").alias("source"), *fields)
+
+
 def garbled_values(rows: DataFrame, key: str = "lemma_id", source: str = "corpus", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Key and field of every value with a garbled sequence or a mark of a lost character."""
     maps = mapping_of(rows, source, fields)
-    picked = rows.select(F.col(key).cast("bigint").alias("id"), source, *fields)
-    found = picked.mapInArrow(lambda it: _judge(it, maps, fields, False), "id bigint, field_name string")
+    found = picked(rows, key, source, fields).mapInArrow(lambda it: _judge(it, maps, fields, False), "id bigint, field_name string")
     return found.dropDuplicates(["id", "field_name"]).withColumnRenamed("id", key)
 
 
 def restored_values(rows: DataFrame, key: str = "lemma_id", source: str = "corpus", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Every record once, with its fields restored."""
     maps = mapping_of(rows, source, fields)
-    picked = rows.select(F.col(key).cast("bigint").alias("id"), source, *fields)
     ddl = "id bigint, " + ", ".join(f"`{f}` string" for f in fields)
-    return picked.mapInArrow(lambda it: _judge(it, maps, fields, True), ddl).dropDuplicates(["id"]).withColumnRenamed("id", key)
+    return picked(rows, key, source, fields).mapInArrow(lambda it: _judge(it, maps, fields, True), ddl).dropDuplicates(["id"]).withColumnRenamed("id", key)

@@ -21,29 +21,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm import garbled
+from colophon.llm import counting, garbled
+from colophon.session import cut
 
 FIELDS = ("text", "toc_title")
 ZERO_WIDTH = "​‌‍⁠﻿᠎­"
-HARD_SPACES = "   　"
 
 # fixed values: letters of other scripts and the Latin letters they look like
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһԛԝ", "ABESIJKMHOPCTYXaesijopcyxdhqw"))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονιαυρκ", "ABEZHIKMNOPTYXoviaupk"))
-LOOKS = CYRILLIC | GREEK
+ARMENIAN = dict(zip("օսհոցՏՍՕԼ", "ouhngSUOL"))
+CHEROKEE = dict(zip("ᎪᏴᏟᎠᎬᏀᎻᏆᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ", "ABCDEGHIJKLMPRSTVWZ"))
+LOOKS = CYRILLIC | GREEK | ARMENIAN | CHEROKEE
 
 _WIDE = re.compile("[！-｠￠-￦　]")
 _MARK = re.compile("[̀-ͯ᪰-᫿᷀-᷿]")
 _ZERO = re.compile(f"[{ZERO_WIDTH}]")
-_HARD = re.compile("[   ]")
+HARD = re.compile("[   ]")
 _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ][^\W\d_]*)*")
-_SPACES = str.maketrans(dict.fromkeys(HARD_SPACES, " "))
+# every blank of one line becomes a plain space, though only the hard ones are a disguise
+_SPACES = str.maketrans(dict.fromkeys([c for c in map(chr, range(0x80, 0x3001)) if unicodedata.category(c) == "Zs"], " "))
 _FLOOR = math.log(1e-6)
 _SWITCH = math.log(1e-9)
 
 
 def script(c: str) -> str:
-    """L, C or G for a Latin, Cyrillic or Greek letter, else nothing."""
+    """L, C, G, A or K for a Latin, Cyrillic, Greek, Armenian or Cherokee letter, else nothing."""
     o = ord(c)
     if o < 0x250:
         return "L" if c.isalpha() and c not in "ªºµ" else ""
@@ -51,6 +54,10 @@ def script(c: str) -> str:
         return "G"
     if 0x400 <= o < 0x530:
         return "C"
+    if 0x530 <= o < 0x590:
+        return "A"
+    if 0x13A0 <= o < 0x1400:
+        return "K"
     return "L" if 0x1E00 <= o < 0x1F00 else ""
 
 
@@ -96,8 +103,13 @@ def unify(text: str, bigrams: dict[tuple[str, str], float]) -> tuple[str, bool]:
     return (folded, False) if folded.isascii() else (_WORD.sub(word, folded), hit)
 
 
-def disguised(text: str | None, mapping: dict[str, str], bigrams: dict[tuple[str, str], float]) -> bool:
-    """Whether a value holds one of the forms above.
+def spaced(mapping: garbled.Mapping) -> garbled.Mapping:
+    """The mapping with hard spaces as plain ones: those that wrong decoding left are no disguise."""
+    return garbled.Mapping({k: " " if HARD.search(v) else v for k, v in mapping.items()})
+
+
+def disguised(text: str | None, mapping: garbled.Mapping, bigrams: dict[tuple[str, str], float]) -> bool:
+    """Whether a value holds one of the forms above; ``mapping`` is ``spaced``.
 
     No code page has full-width forms, combining accents or zero-width characters, so these are never products of wrong decoding; a hard space or
     a foreign letter may be, and is looked for in what is left once such symbols are restored.
@@ -106,58 +118,65 @@ def disguised(text: str | None, mapping: dict[str, str], bigrams: dict[tuple[str
         return False
     if _WIDE.search(text) or _MARK.search(text) or _ZERO.search(text):
         return True
-    plain = garbled.substitute(text, {k: " " if k != v and _HARD.search(v) else v for k, v in mapping.items()})[0] if mapping else text
-    return bool(_HARD.search(plain)) or unify(plain, bigrams)[1]
+    plain = garbled.substitute(text, mapping)[0] if mapping else text
+    return bool(HARD.search(plain)) or unify(plain, bigrams)[1]
 
 
-def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Letter bigrams of the words that are wholly in one script, a space standing for the ends of a word."""
-    words: Counter = Counter()
-    for batch in it:
-        for column in batch.columns:
-            for text in column.to_pylist():
+class Letters:
+    """Counts letter bigrams (``l``) of the words that are wholly in one script, a space standing for the ends of a word."""
+
+    def __init__(self, fields: tuple[str, ...]) -> None:
+        self.fields = fields
+
+    def __call__(self, batch: pa.RecordBatch, counts: Counter) -> None:
+        words: Counter = Counter()
+        for field in self.fields:
+            for text in batch.column(field).to_pylist():
                 if text:
                     words.update(_WORD.findall(text))
-    pairs: Counter = Counter()
-    for w, n in words.items():
-        if not mixed(w):
-            w = f" {w} "
-            for a, b in zip(w, w[1:]):
-                pairs[a, b] += n
-    yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in pairs], type=pa.string()), pa.array([k[1] for k in pairs], type=pa.string()), pa.array(list(pairs.values()), type=pa.int64())], names=["a", "b", "n"])
-
-
-def letter_bigrams(rows: DataFrame, fields: tuple[str, ...] = FIELDS) -> dict[tuple[str, str], float]:
-    """Log probabilities of letter after letter; their number is bounded by the letters in use, not by the rows."""
-    counted = rows.select(*fields).mapInArrow(_count, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()
+        for w, n in words.items():
+            if not mixed(w):
+                for pair in zip(" " + w, w + " "):
+                    counts["l", None, None, *pair] += n
+
+
+def letter_bigrams(counts: DataFrame) -> dict[tuple[str, str], float]:
+    """Log probabilities of letter after letter, from what ``Letters`` counted."""
+    known = counting.pairs(counts, "l")
     firsts: Counter = Counter()
-    for r in counted:
-        firsts[r.a] += r.n
-    return {(r.a, r.b): math.log(r.n / firsts[r.a]) for r in counted}
+    for (a, _), n in known.items():
+        firsts[a] += n
+    return {(a, b): math.log(n / firsts[a]) for (a, b), n in known.items()}
+
+
+def learned(rows: DataFrame, source: str, garbled_fields: tuple[str, ...], letter_fields: tuple[str, ...]) -> tuple[dict[str | None, garbled.Mapping], dict[tuple[str, str], float]]:
+    """The mappings of wrong decoding and the letter bigrams of a table, counted in one pass."""
+    picked = rows.select(F.col(source).cast("string").alias("source"), *dict.fromkeys([*garbled_fields, *letter_fields]))
+    counts = cut(counting.counted(picked, [garbled.Evidence("source", garbled_fields), Letters(letter_fields)]))
+    return garbled.mappings(counts), letter_bigrams(counts)
 
 
 def _judge(it: Iterator[pa.RecordBatch], maps: dict, bigrams: dict, fields: tuple[str, ...], restore: bool) -> Iterator[pa.RecordBatch]:
+    maps = maps if restore else {s: spaced(m) for s, m in maps.items()}
     for batch in it:
         ids, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         if restore:
-            done = [[v if v is None or v.isascii() else unify(garbled.repair(v, maps.get(s, {}))[0], bigrams)[0] for s, v in zip(sources, c.to_pylist())] for c in batch.columns[2:]]
+            done = [[v if v is None or v.isascii() else unify(garbled.repair(v, maps.get(s, garbled.NOTHING))[0], bigrams)[0] for s, v in zip(sources, c.to_pylist())] for c in batch.columns[2:]]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, type=pa.string()) for c in done)], names=["id", *fields])
             continue
-        out = [(i, f) for f, c in zip(fields, batch.columns[2:]) for i, s, v in zip(ids, sources, c.to_pylist()) if disguised(v, maps.get(s, {}), bigrams)]
+        out = [(i, f) for f, c in zip(fields, batch.columns[2:]) for i, s, v in zip(ids, sources, c.to_pylist()) if disguised(v, maps.get(s, garbled.NOTHING), bigrams)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], type=pa.int64()), pa.array([r[1] for r in out], type=pa.string())], names=["id", "field_name"])
 
 
 def disguised_values(rows: DataFrame, key: str = "lemma_id", source: str = "corpus", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Key and field of every value that a form above disguises."""
-    maps, bigrams = garbled.mapping_of(rows, source, fields), letter_bigrams(rows, fields)
-    picked = rows.select(F.col(key).cast("bigint").alias("id"), source, *fields)
-    found = picked.mapInArrow(lambda it: _judge(it, maps, bigrams, fields, False), "id bigint, field_name string")
+    maps, bigrams = learned(rows, source, fields, fields)
+    found = garbled.picked(rows, key, source, fields).mapInArrow(lambda it: _judge(it, maps, bigrams, fields, False), "id bigint, field_name string")
     return found.dropDuplicates(["id", "field_name"]).withColumnRenamed("id", key)
 
 
 def unified_values(rows: DataFrame, key: str = "lemma_id", source: str = "corpus", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Every record once, with its fields in one form."""
-    maps, bigrams = garbled.mapping_of(rows, source, fields), letter_bigrams(rows, fields)
-    picked = rows.select(F.col(key).cast("bigint").alias("id"), source, *fields)
+    maps, bigrams = learned(rows, source, fields, fields)
     ddl = "id bigint, " + ", ".join(f"`{f}` string" for f in fields)
-    return picked.mapInArrow(lambda it: _judge(it, maps, bigrams, fields, True), ddl).dropDuplicates(["id"]).withColumnRenamed("id", key)
+    return garbled.picked(rows, key, source, fields).mapInArrow(lambda it: _judge(it, maps, bigrams, fields, True), ddl).dropDuplicates(["id"]).withColumnRenamed("id", key)

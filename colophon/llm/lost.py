@@ -12,12 +12,15 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colophon.llm.garbled import FIELDS, LOST
+from colophon.session import cut
 
 _WORD = re.compile(f"(?:[^\\W\\d_]|{LOST})+")
 _OUTSIDE = re.compile("[^\x00-\x7f]")
@@ -63,7 +66,9 @@ def _fill_batches(it: Iterator[pa.RecordBatch], fields: tuple[str, ...]) -> Iter
 
 def filled_values(restored: DataFrame, key: str = "lemma_id", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Restored records with their lost characters filled in where that is possible; records without any pass by the joins."""
-    damaged = F.coalesce(F.greatest(*[F.coalesce(F.instr(f, LOST), F.lit(0)) for f in fields]) > 0, F.lit(False))
+    # used three times: restored once
+    restored = cut(restored)
+    damaged = reduce(or_, (F.coalesce(F.instr(f, LOST) > 0, F.lit(False)) for f in fields))
     hurt = restored.where(damaged).select(F.col(key).alias("id"), *fields)
     words = restored.select(*fields).mapInArrow(_whole_words, "mask string, word string, n bigint").groupBy("mask", "word").agg(F.sum("n").alias("n"))
     best = words.groupBy("mask").agg(F.min_by("word", F.struct((-F.col("n")).alias("n"), F.col("word"))).alias("word"))

@@ -306,7 +306,7 @@ def _prepare(it: Iterator[pa.RecordBatch], maps: dict, bigrams: dict) -> Iterato
     for batch in it:
         out: list[tuple] = []
         for lemma_id, corpus, title, name, given, epithet, category, first, last in zip(*(c.to_pylist() for c in batch.columns)):
-            fix = lambda v, m=maps.get(corpus, {}): v if v is None or v.isascii() else lookalike.unify(garbled.repair(v, m)[0], bigrams)[0]
+            fix = lambda v, m=maps.get(corpus, garbled.NOTHING): v if v is None or v.isascii() else lookalike.unify(garbled.repair(v, m)[0], bigrams)[0]
             title, name, given = fix(title), fix(name), fix(given)
             name, given = _restore(name, title), _restore(given, title)
             keys, tokens = parts(name, given, title, category == "college")
@@ -360,7 +360,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def same_names(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (lemma_id, class) and groups (id of a class, root) of classes that name one person or body."""
-    maps, bigrams = garbled.mapping_of(rows, "corpus", ("name", "givenname")), lookalike.letter_bigrams(rows, ("toc_title", "name"))
+    maps, bigrams = lookalike.learned(rows, "corpus", ("name", "givenname"), ("toc_title", "name"))
     picked = rows.select(F.col("lemma_id").cast("bigint").alias("lemma_id"), "corpus", "toc_title", "name", "givenname", "postposition", "category", "beginjaar", "eindjaar")
     bare_rows = picked.mapInArrow(lambda it: _prepare(it, maps, bigrams), "lemma_id bigint, readings array<struct<key: string, tokens: array<string>, turned: int>>, kind string, epithet string, first int, last int")
     # one row an entry, then one id a class: the least entry of those alike in everything compared

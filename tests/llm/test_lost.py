@@ -12,3 +12,8 @@ def test_words_are_filled_from_the_corpus(spark):
 
 def test_empty_table(spark):
     assert lost.filled_values(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_one_field(spark):
+    df = spark.createDataFrame([(1, "één"), (2, "��n")], "lemma_id bigint, text string")
+    assert sorted(tuple(r) for r in lost.filled_values(df, fields=("text",)).collect()) == [(1, "één"), (2, "één")]
