@@ -245,15 +245,14 @@ class Evidence:
 
     def __call__(self, batch: pa.RecordBatch, counts: Counter) -> None:
         sources = batch.column(self.source).to_pylist()
-        plain: Counter = Counter()
-        own = None
+        bigrams: dict[str | None, Counter] = {}
         for field in self.fields:
             for src, text in zip(sources, batch.column(field).to_pylist()):
                 if not text:
                     continue
-                if src != own:
-                    self._hand(own, plain, counts)
-                    own = src
+                plain = bigrams.get(src)
+                if plain is None:
+                    plain = bigrams[src] = Counter()
                 if text.isascii():
                     plain.update(zip("\n" + text, text + "\n"))
                     continue
@@ -268,7 +267,9 @@ class Evidence:
                     self._plain(text[at:start], src, plain, counts)
                     at = end
                 self._plain(text[at:], src, plain, counts)
-        self._hand(own, plain, counts)
+        for src, plain in bigrams.items():
+            for (a, b), n in plain.items():
+                counts["b", src, None, a, b] += n
 
     @staticmethod
     def _plain(part: str, src: str | None, plain: Counter, counts: Counter) -> None:
@@ -279,12 +280,6 @@ class Evidence:
                 if _in_word(part, k, k + 1):
                     counts["1", src, part[k], part[k - 1 : k] or "\n", part[k + 1 : k + 2] or "\n"] += 1
 
-    @staticmethod
-    def _hand(src: str | None, plain: Counter, counts: Counter) -> None:
-        for (a, b), n in plain.items():
-            counts["b", src, None, a, b] += n
-        plain.clear()
-
 
 class Language:
     """Likelihood of letter after letter, interpolated with the frequency of the letter alone; a letter the language does not have is dear on both its sides."""

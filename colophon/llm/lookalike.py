@@ -40,7 +40,9 @@ _ZERO = re.compile(f"[{ZERO_WIDTH}]")
 HARD = re.compile("[   ]")
 _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ][^\W\d_]*)*")
 # every blank of one line becomes a plain space, though only the hard ones are a disguise
-_SPACES = str.maketrans(dict.fromkeys([c for c in map(chr, range(0x80, 0x3001)) if unicodedata.category(c) == "Zs"], " "))
+_BLANKS = re.compile(f"[{''.join(c for c in map(chr, range(0x80, 0x3001)) if unicodedata.category(c) == 'Zs')}]")
+# letters of the other scripts
+_OTHER = re.compile("[\u0370-\u058f\u13a0-\u13ff\u1f00-\u1fff]")
 _FLOOR = math.log(1e-6)
 _SWITCH = math.log(1e-9)
 
@@ -67,7 +69,7 @@ def fold(text: str) -> str:
         return text
     text = _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m.group()), text)
     text = _ZERO.sub("", text)
-    return unicodedata.normalize("NFC", text.translate(_SPACES))
+    return unicodedata.normalize("NFC", _BLANKS.sub(" ", text))
 
 
 def mixed(word: str) -> bool:
@@ -90,6 +92,8 @@ def viterbi(word: str, bigrams: dict[tuple[str, str], float]) -> str:
 def unify(text: str, bigrams: dict[tuple[str, str], float]) -> tuple[str, bool]:
     """The one form of a text freed of garbled symbols, and whether a look-alike was replaced."""
     folded, hit = fold(text), False
+    if not _OTHER.search(folded):
+        return folded, False
 
     def word(m: re.Match) -> str:
         nonlocal hit
@@ -100,7 +104,7 @@ def unify(text: str, bigrams: dict[tuple[str, str], float]) -> tuple[str, bool]:
         hit |= best != w
         return best
 
-    return (folded, False) if folded.isascii() else (_WORD.sub(word, folded), hit)
+    return _WORD.sub(word, folded), hit
 
 
 def spaced(mapping: garbled.Mapping) -> garbled.Mapping:

@@ -1,15 +1,19 @@
 """Noise in text from scanned pages (problem 5).
 
-Lines are read in order.  Page furniture comes first: a line that is nothing but a page number near the entry's own page, and a
+Lines are read in order.  Page furniture comes first: a line that is nothing but a page number which the entry can have reached, and a
 line that is a running header, that is a chapter's name, with or without a number, however it was set or read.  Lines between which only
 furniture stands belong together; one that ends in a hyphen goes on in the next, unless the compound was left open on purpose
 (``land- en zeezaken``).  Words are then looked up across the joints: the vocabulary is a trie of the corpus's own common words,
-and an automaton of the edits that scanning makes (one shape read as another) is run against the trie, so that every candidate
-within the error bound is found.  Other edits are left out of the automaton on purpose: they would bring names, which are often
-spelt oddly, within reach of common words.  Candidates are ranked by their errors and by their frequency after the word before.
+and a Levenshtein automaton of the token is run against it, so that every word within the bound is found.  Its edits are letters
+left out, put in, replaced and exchanged, and, cheaper, one shape read as another, as scanning does it.
 
-The vocabulary holds words that make up a fixed part of all words, which bounds its size; the counts run over all text.  Names are
-never in it: it has lower-case words of five letters and more, the ones scanning misreads here.
+A candidate by shapes alone is taken as it is.  One that needs other edits is taken only for a token in small letters of five letters and more, and only
+if the corpus knows it after the word before: names are spelt oddly, and are so kept apart by capitals and context.  Candidates are
+ranked by their errors, by their frequency after the word before, and by their frequency.
+
+The vocabulary holds the words that make up a fixed part of all words, which is what "common" means here and bounds its size at any scale; the
+counts run over all text, inside of lines, where no word is broken.  A word is left out of it that is one of a far more frequent word by
+shapes, as it is how that word is misread.
 
 Defined results: null lines, notes and values have no noise; what problems 2 and 3 did to ``text`` is undone first and is no
 noise; a repeated delivery counts once; a hyphen at the very end of a value goes nowhere and is none.
@@ -26,15 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm import garbled, lookalike
+from colophon.llm import counting, garbled, lookalike
 from colophon.session import cut
 
-SHARE = 1.2e-4
-RARE_SHARE = 2e-5
-LEAST = 5
-SHORTEST = 5
-ERRORS = 2
-PAGES_BEFORE, PAGES_AFTER = 2, 15
+# a common word makes up this part of all words, so there are 50,000 of them at most
+COMMON = 2e-5
+# a word so many times as frequent as another one that it may be read as is what was printed
+FAR = 8
+# letters of the shortest words that are looked up, and of those that may hold two errors of shape or one of another kind
+SHORTEST, LONG = 3, 5
+# costs of an error of shape and of another one
+SHAPE, OTHER = 2, 3
+# an entry without a known page may hold page numbers of so many digits
+PAGE_DIGITS = 4
 
 # fixed values: what scanning reads, and what was printed
 CONFUSIONS = (
@@ -66,34 +74,67 @@ class Trie:
                 node = node.setdefault(c, {})
             node[""] = w
 
-    def within(self, token: str, most: int = ERRORS) -> list[tuple[int, str]]:
-        """Every word that scanning turns into the token with at most so many errors, fewest first: automaton and trie run together."""
-        found: dict[str, int] = {}
-        todo = [(0, self.root, 0)]
+    def within(self, token: str, most: int = 2 * SHAPE, other: bool = True) -> list[tuple[int, str]]:
+        """Every word whose cost to the token is at most ``most``, cheapest first; without ``other`` errors of shape only.
+
+        The states of the automaton are places in the token, some with letters still to come, each with its least cost; all are moved
+        together along the trie, so nothing is visited that no state can reach.
+        """
         n = len(token)
+        found: dict[str, int] = {}
+        reads = [[(r, p) for r, p in _BY_FIRST.get(c, ()) if token.startswith(r, k)] for k, c in enumerate(token)]
+
+        def closed(states: dict[tuple[int, str], int]) -> dict[tuple[int, str], int]:
+            # a letter too many in the token
+            if other:
+                for (at, rest), cost in list(states.items()):
+                    while not rest and at < n and (cost := cost + OTHER) <= most:
+                        at += 1
+                        if cost < states.get((at, ""), most + 1):
+                            states[at, ""] = cost
+            return states
+
+        todo = [(self.root, closed({(0, ""): 0}))]
         while todo:
-            at, node, errors = todo.pop()
-            if at == n:
-                if (w := node.get("")) is not None and errors < found.get(w, most + 1):
-                    found[w] = errors
-                continue
-            if (down := node.get(token[at])) is not None:
-                todo.append((at + 1, down, errors))
-            elif token[at] == garbled.LOST:
-                todo.extend((at + 1, down, errors) for c, down in node.items() if c)
-            if errors < most:
-                for read, printed in _BY_FIRST.get(token[at], ()):
-                    if token.startswith(read, at):
-                        down = node
-                        for c in printed:
-                            down = down.get(c)
-                            if down is None:
-                                break
-                        else:
-                            todo.append((at + len(read), down, errors + 1))
+            node, states = todo.pop()
+            if (cost := states.get((n, ""))) is not None and (w := node.get("")) is not None:
+                found[w] = cost
+            if other and min(states.values()) + OTHER <= most or any(at < n and token[at] == garbled.LOST for at, _ in states):
+                letters = [c for c in node if c]
+            else:
+                letters = {c for at, rest in states for c in ((rest[0],) if rest else (*token[at : at + 1], *(p[0] for _, p in reads[at])) if at < n else ()) if c in node}
+            for c in letters:
+                moved: dict[tuple[int, str], int] = {}
+
+                def put(at: int, rest: str, cost: int) -> None:
+                    if cost <= most and cost < moved.get((at, rest), most + 1):
+                        moved[at, rest] = cost
+
+                for (at, rest), cost in states.items():
+                    if rest:
+                        if rest[0] == c:
+                            put(at, rest[1:], cost)
+                        continue
+                    if at < n:
+                        t = token[at]
+                        if t == c or t == garbled.LOST:
+                            put(at + 1, "", cost)
+                        for read, printed in reads[at]:
+                            if printed[0] == c:
+                                put(at + len(read), printed[1:], cost + SHAPE)
+                        if other:
+                            put(at + 1, "", cost + OTHER)
+                            if token[at + 1 : at + 2] == c != t:
+                                put(at + 2, t, cost + OTHER)
+                    if other:
+                        put(at, "", cost + OTHER)
+                if moved:
+                    todo.append((node[c], closed(moved)))
         return sorted((e, w) for w, e in found.items())
 
 
+# costs that errors of shape alone have
+_BY_SHAPE = (0, SHAPE, 2 * SHAPE)
 _BY_FIRST: dict[str, list[tuple[str, str]]] = {}
 for _read, _printed in CONFUSIONS:
     _BY_FIRST.setdefault(_read[0], []).append((_read, _printed))
@@ -103,50 +144,40 @@ def chapter_key(name: str) -> str:
     return "".join(c for c in _ROMAN.sub("", name).casefold().translate(_LETTERS) if c.isalpha())
 
 
-def near(a: str, b: str, most: int) -> bool:
-    """Whether two words are within so many edits, by a banded table."""
-    if abs(len(a) - len(b)) > most:
-        return False
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        if min(row) > most:
-            return False
-    return row[-1] <= most
-
-
 class Reader:
     """What one task knows: the common words, the chapters, the words that are left open, and which word follows which."""
 
     def __init__(self, words: dict[str, int], chapters: set[str], open_: set[str], pairs: dict[tuple[str, str], int] | None = None) -> None:
         self.words, self.open, self.pairs = words, open_, pairs or {}
         self.trie = Trie(words)
-        self.chapters = {chapter_key(c) for c in chapters if c} - {""}
-        self.longest = max(map(len, self.chapters), default=0) + 3
+        keys = {chapter_key(c) for c in chapters if c} - {""}
+        self.chapters, self.headings = keys, Trie(keys)
+        self.longest = max(map(len, keys), default=0) + 3
         # a header may be set with blanks between its letters, and a number beside it
         self.widest = 2 * self.longest + 8
         self.heads: dict[str, bool] = {}
+        # tokens met before: what was printed, or nothing; of those that depend on the word before, the candidates
         self.single: dict[str, str] = {}
+        self.clean: set[str] = set()
         self.known: dict[str, list[tuple[int, str]]] = {}
 
     # furniture
 
-    def page_number(self, line: str, page: int | None) -> bool:
+    def page_number(self, line: str, page: int | None, before: int) -> bool:
+        """Whether the line is a page number the entry can have reached: it has not turned more pages than it has lines before."""
         if not any(map(str.isdigit, line)):
             return False
         core = _DECOR.sub("", line)
-        if not 0 < len(core) <= 6:
+        # no page has a number of more than nine digits
+        if not 0 < len(core) < 10 or not (core := core.translate(_DIGITS)).isdecimal():
             return False
-        core = core.translate(_DIGITS)
-        return core.isdecimal() and (page is None or page - PAGES_BEFORE <= int(core) <= page + PAGES_AFTER)
+        return len(core) <= PAGE_DIGITS if page is None else page <= int(core) <= page + before + 1
 
     def header(self, line: str) -> bool:
         if sum(len(t) > 2 and t.islower() for t in line.split()) > 1:
             return False
         parts = [t for t in _DECOR.sub(" ", line).split() if t]
-        if not parts or len(line) > 60:
+        if not parts:
             return False
         # a number at either end is the page's
         if len(parts) > 1 and parts[-1].translate(_DIGITS).isdecimal() and any(c.isdigit() for c in parts[-1]):
@@ -160,35 +191,41 @@ class Reader:
             return False
         if letters not in self.heads:
             key = chapter_key(letters)
-            self.heads[letters] = key in self.chapters or (len(key) >= 6 and letters[:1].isupper() | letters[:1].isdigit() and any(near(key, c, 1 if len(key) < 8 else 2) for c in self.chapters))
+            self.heads[letters] = key in self.chapters or (len(key) >= 6 and letters[:1].isupper() | letters[:1].isdigit() and bool(self.headings.within(key, OTHER if len(key) < 8 else 2 * OTHER)))
         return self.heads[letters]
 
-    def kind(self, line: str, page: int | None) -> str:
+    def kind(self, line: str, page: int | None, before: int) -> str:
         if len(line) > self.widest:
             line = line.strip()
             if len(line) > self.widest:
                 return ""
         if not line.strip():
             return "blank"
-        if self.page_number(line, page):
+        if self.page_number(line, page, before):
             return "page_number"
         return "header" if self.header(line) else ""
 
     # words
 
+    def candidates(self, token: str) -> list[tuple[int, str]]:
+        """The cheapest common words of a token: by shapes, else, for one in small letters, by any edits."""
+        found = self.trie.within(token, 2 * SHAPE, False) if _SUSPECT.search(token) or garbled.LOST in token else []
+        found = [(e, w) for e, w in found if e <= SHAPE or len(w) >= LONG]
+        if not found and len(token) >= LONG and token.isalpha() and token.islower():
+            found = self.trie.within(token, OTHER if len(token) < 9 else 2 * OTHER)
+        return found
+
     def best(self, token: str, before: str) -> str | None:
         """The common word that was printed, if the token is a misreading of one."""
-        if token in self.words or len(token) < SHORTEST - 1 or not _SUSPECT.search(token):
+        if token in self.words or len(token) < SHORTEST:
             return None
         if token not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            self.known[token] = self.trie.within(token)
-        options = self.known[token]
-        if options and not options[0][0]:
+            self.known[token] = self.candidates(token)
+        options = [o for o in self.known[token] if o[0] in _BY_SHAPE or (before, o[1]) in self.pairs]
+        if not options or not options[0][0]:
             return None
-        if len(options) < 2:
-            return options[0][1] if options else None
         return min(options, key=lambda o: (o[0], -math.log1p(self.pairs.get((before, o[1]), 0)), -self.words[o[1]], o[1]))[1]
 
     def year(self, token: str) -> bool:
@@ -197,10 +234,10 @@ class Reader:
         plain = token.replace("?", "5").replace("]", "1").translate(_DIGITS)
         return plain[0] == "1"
 
-    def read(self, lines: list[str], page: int | None) -> tuple[list[str], list[str], list[list[tuple[str, int, int, str]]]]:
+    def read(self, lines: list[str], page: int | None, every: bool = True) -> tuple[list[str], list[str], list[list[tuple[str, int, int, str]]]]:
         """Of every line its furniture kind and whether it ends inside a word (``hyphen``); of every joined word its token, the line it
-        begins in, the line of its first wrong character (-1: none) and what was printed."""
-        kinds = [self.kind(t, page) for t in lines]
+        begins in, the line of its first wrong character (-1: none) and what was printed; without ``every`` clean words may be left out."""
+        kinds = [self.kind(t, page, k) for k, t in enumerate(lines)]
         content = [i for i, k in enumerate(kinds) if not k]
         ends = [""] * len(lines)
         words: list[list[tuple[str, int, int, str]]] = []
@@ -218,6 +255,9 @@ class Reader:
                     goes_on = True
                     ends[i] = "hyphen"
             row: list[tuple[str, int, int, str]] = []
+            if not every and not goes_on and not pending and tokens and self.clean.issuperset(tokens):
+                before = tokens[-1]
+                continue
             for k, token in enumerate(tokens):
                 last = goes_on and k == len(tokens) - 1
                 if not last and not (pending and k == 0):
@@ -225,10 +265,14 @@ class Reader:
                     fixed = self.single.get(token)
                     if fixed is None:
                         row.append(self._word([(token, i)], strip(before)))
-                        if len(self.known.get(strip(token), ())) < 2:
+                        options = self.known.get(strip(token), ())
+                        if len(options) < 2 and all(o[0] in _BY_SHAPE for o in options):
                             if len(self.single) > 200_000:
                                 self.single.clear()
+                                self.clean.clear()
                             self.single[token] = row[-1][3]
+                            if row[-1][2] < 0:
+                                self.clean.add(token)
                     else:
                         row.append((token, i, i if fixed else -1, fixed))
                     before = row[-1][3] or token
@@ -277,7 +321,7 @@ class Reader:
 
 def noise(reader: Reader, lines: list[str], page: int | None) -> Iterator[tuple[int, str]]:
     """Line and kind of every place of noise."""
-    kinds, ends, words = reader.read(lines, page)
+    kinds, ends, words = reader.read(lines, page, False)
     for i, (kind, end) in enumerate(zip(kinds, ends)):
         if kind in ("page_number", "header"):
             yield i, kind
@@ -311,16 +355,13 @@ def ends_early(lines: list[str]) -> set[int]:
 
 # distribution
 
-_COUNTS = "word string, after string, n bigint"
-
-
 def _texts(rows: DataFrame) -> DataFrame:
     """Lines, text and notes as plain lists of text."""
-    return rows.select(F.transform("lines", lambda x: x["text"]).alias("lines"), "text", F.map_values("footnotes").alias("footnotes"))
+    return rows.select(F.col("corpus").cast("string").alias("source"), F.transform("lines", lambda x: x["text"]).alias("lines"), "text", F.map_values("footnotes").alias("footnotes"), "toc_chapter")
 
 
 def _lines(batch: pa.RecordBatch) -> Iterator[str]:
-    lines, texts, notes = (batch.column(k).to_pylist() for k in range(3))
+    lines, texts, notes = (batch.column(k).to_pylist() for k in ("lines", "text", "footnotes"))
     for ls, text, fn in zip(lines, texts, notes):
         yield from filter(None, ls or ())
         for value in (text, *(fn or ())):
@@ -343,57 +384,63 @@ class _Cores(dict):
         return core
 
 
-def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batch: pa.RecordBatch, counts: Counter) -> None:
+    """Words (``w``, and ``t`` all of them) inside of lines, words left open before *en* and *of* (``o``), and chapters (``h``)."""
     words: Counter = Counter()
-    opens: Counter = Counter()
-    total = 0
-    for batch in it:
-        for line in _lines(batch):
-            tokens = line.split()
-            total += len(tokens)
-            words.update(tokens)
-            if "- " in line:
-                opens.update(a[:-1].casefold() for a, b in zip(tokens, tokens[1:]) if a[-1] == "-" and len(a) > 1 and b in ("en", "of"))
-    plain: Counter = Counter()
+    for line in _lines(batch):
+        tokens = line.split()
+        words.update(tokens[1:-1])
+        if "- " in line:
+            for a, b in zip(tokens, tokens[1:]):
+                if a[-1] == "-" and len(a) > 1 and b in ("en", "of"):
+                    counts["o", None, None, a[:-1].casefold(), None] += 1
+    counts["t", None, None, None, None] += sum(words.values())
     for token, n in words.items():
         core = strip(token)
         if len(core) >= SHORTEST and core[0].islower() and core[-1] != "-" and core.replace("-", "").isalpha():
-            plain[core] += n
-    rows = [(w, None, n) for w, n in plain.items()] + [(w, "-", n) for w, n in opens.items()] + [(None, None, total)]
-    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=["word", "after", "n"])
+            counts["w", None, None, core, None] += n
+    for chapter in batch.column("toc_chapter").to_pylist():
+        if chapter:
+            counts["h", None, None, _ROMAN.sub("", chapter), None] += 1
 
 
-def _count_pairs(it: Iterator[pa.RecordBatch], words: frozenset[str]) -> Iterator[pa.RecordBatch]:
-    pairs: Counter = Counter()
-    cores = _Cores(words)
-    for batch in it:
+class _Pairs:
+    """Counts neighbouring words of the vocabulary (``p``)."""
+
+    def __init__(self, words: frozenset[str]) -> None:
+        self.words, self.cores = words, None
+
+    def __call__(self, batch: pa.RecordBatch, counts: Counter) -> None:
+        cores = self.cores = self.cores or _Cores(self.words)
+        pairs: Counter = Counter()
         for line in _lines(batch):
             known = list(map(cores.__getitem__, line.split()))
             pairs.update(zip(known, known[1:]))
-    pairs = Counter({p: n for p, n in pairs.items() if p[0] and p[1]})
-    yield pa.RecordBatch.from_arrays([pa.array([p[1] for p in pairs], pa.string()), pa.array([p[0] for p in pairs], pa.string()), pa.array(list(pairs.values()), pa.int64())], names=["word", "after", "n"])
+        for (a, b), n in pairs.items():
+            if a and b:
+                counts["p", None, None, a, b] += n
 
 
-def _vocabulary(counts: dict[str, int], total: int) -> dict[str, int]:
-    """Common words, and rarer ones unless they are how a common one is misread."""
-    common = {w: n for w, n in counts.items() if n >= max(LEAST, SHARE * total)}
-    trie = Trie(common)
-    return common | {w: n for w, n in counts.items() if w not in common and not (_SUSPECT.search(w) and trie.within(w))}
+def vocabulary(counts: dict[str, int]) -> dict[str, int]:
+    """Words without those that are how a far more frequent one is misread."""
+    trie = Trie(counts)
+    far = lambda w, n: any(e and counts[c] >= FAR * n and (e <= SHAPE or len(c) >= LONG) for e, c in trie.within(w, 2 * SHAPE, False))
+    return {w: n for w, n in counts.items() if not (_SUSPECT.search(w) and far(w, n))}
 
 
-def learn(rows: DataFrame) -> tuple[dict[str, int], set[str], set[str], dict[tuple[str, str], int]]:
-    """Common words, chapters, open compounds and word pairs.  A word of the vocabulary makes up ``RARE_SHARE`` of all words, so there are at
-    most 1 / RARE_SHARE of them; chapters are the headings of a printed work."""
+def learn(rows: DataFrame) -> tuple[tuple, dict, dict]:
+    """What a ``Reader`` knows, the mappings of wrong decoding and the letter bigrams.  One pass counts all that needs no vocabulary, a second one
+    the word pairs.  Common words and pairs make up a fixed part of all, which bounds them; chapters are the headings of printed works, and too
+    many of them are an error."""
     values = _texts(rows)
-    counted = cut(values.mapInArrow(_count, _COUNTS).groupBy("word", "after").agg(F.sum("n").alias("n")))
-    total = counted.where("word is null").agg(F.sum("n")).first()[0] or 0
-    common = counted.where(F.col("word").isNotNull() & (F.col("n") >= max(LEAST, RARE_SHARE * total))).collect()
-    words = _vocabulary({r.word: r.n for r in common if r.after is None}, total)
-    open_ = {r.word for r in common if r.after == "-"}
-    chapters = {r[0] for r in rows.where("toc_chapter is not null").select(F.regexp_replace("toc_chapter", r"^\s*[IVXLCDM]+\.\s*", "")).distinct().collect()}
-    keep = frozenset(words)
-    pairs = {(r.after, r.word): r.n for r in values.mapInArrow(lambda it: _count_pairs(it, keep), _COUNTS).groupBy("word", "after").agg(F.sum("n").alias("n")).where("n >= 5").collect()}
-    return words, chapters, open_, pairs
+    counts = cut(counting.counted(values, [_count, garbled.Evidence("source", ("text",)), lookalike.Letters(("text",))]))
+    total = counts.where("kind = 't'").agg(F.sum("n")).first()[0] or 0
+    common = counts.where(F.col("kind").isin("w", "o") & (F.col("n") >= COMMON * total)).select("kind", "b", "n").collect()
+    words = vocabulary({r.b: r.n for r in common if r.kind == "w"})
+    open_ = {r.b for r in common if r.kind == "o"}
+    chapters = {r.b for r in counting.bounded(counts.where("kind = 'h'").select("b"), "chapters")}
+    pairs = counting.pairs(cut(counting.counted(values, [_Pairs(frozenset(words))])), "p")
+    return (words, chapters, open_, pairs), garbled.mappings(counts), lookalike.letter_bigrams(counts)
 
 
 def _judge(it: Iterator[pa.RecordBatch], made: tuple, maps: dict, bigrams: dict, reflow: bool) -> Iterator[pa.RecordBatch]:
@@ -409,7 +456,7 @@ def _judge(it: Iterator[pa.RecordBatch], made: tuple, maps: dict, bigrams: dict,
                 found.append(("lines", [own[k] for k in order], [str(seqs[k]) for k in order], turns))
             if text:
                 if not text.isascii():
-                    text = lookalike.unify(garbled.repair(text, maps.get(corpus, {}))[0], bigrams)[0]
+                    text = lookalike.unify(garbled.repair(text, maps.get(corpus, garbled.NOTHING))[0], bigrams)[0]
                 split = text.split("\n")
                 found.append(("text", split, [str(k) for k in range(1, len(split) + 1)], None))
             for note, value in zip(notes or (), values or ()):
@@ -433,8 +480,7 @@ def _part(name: str) -> Column:
 
 
 def _run(rows: DataFrame, reflow: bool) -> DataFrame:
-    made = learn(rows)
-    maps, bigrams = garbled.mapping_of(rows, "corpus", ("text",)), lookalike.letter_bigrams(rows, ("text",))
+    made, maps, bigrams = learn(rows)
     picked = rows.select(F.col("lemma_id").cast("bigint").alias("lemma_id"), "corpus", "toc_page", _part("text"), _part("seq"), _part("zone"), F.col("text").alias("value"), F.map_keys("footnotes").alias("notes"), F.map_values("footnotes").alias("values"))
     ddl = "lemma_id bigint, field_name string, item_key string, " + ("paragraph int, clean string" if reflow else "kind string")
     return picked.mapInArrow(lambda it: _judge(it, made, maps, bigrams, reflow), ddl)

@@ -1,3 +1,6 @@
+import random
+from functools import lru_cache
+
 import pytest
 
 from colophon.llm import ocr
@@ -51,17 +54,86 @@ def test_paragraphs(reader):
     assert ocr.paragraphs(reader, [], None, set()) == []
 
 
-def test_trie_finds_all_within_the_bound():
+def test_confusions_are_cheap():
     trie = ocr.Trie(WORDS)
     for word in WORDS:
         for read, printed in ocr.CONFUSIONS:
             at = word.find(printed)
             if at >= 0:
                 once = word[:at] + read + word[at + len(printed) :]
-                assert word in [w for _, w in trie.within(once)], once
+                assert (ocr.SHAPE, word) in trie.within(once, 2 * ocr.SHAPE, False) or once == word, once
     assert trie.within("") == [] and trie.within("q" * 5000) == []
 
 
+def test_other_edits_find_their_word():
+    trie = ocr.Trie(["minister", "koning", "resident"])
+    for bad, good in {"mimister": "minister", "minlster": "minister", "ministre": "minister", "mnister": "minister", "miinister": "minister", "kuning": "koning", "konlng": "koning"}.items():
+        assert [w for _, w in trie.within(bad, ocr.OTHER)] == [good], bad
+    assert trie.within("kuninc", ocr.OTHER) == [] and trie.within("kuninc", 2 * ocr.OTHER) == [(2 * ocr.OTHER, "koning")]
+
+
+def test_the_automaton_finds_every_word_within_the_bound():
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("abcdm") for _ in range(rng.randrange(1, 7))) for _ in range(120)})
+    trie = ocr.Trie(words)
+
+    @lru_cache(None)
+    def plain(a, b):
+        if not a or not b:
+            return len(a) + len(b)
+        best = min(plain(a[1:], b) + 1, plain(a, b[1:]) + 1, plain(a[1:], b[1:]) + (a[0] != b[0]))
+        return min(best, plain(a[2:], b[2:]) + 1) if a[:2] == b[:2][::-1] and len(a) > 1 and len(b) > 1 else best
+
+    @lru_cache(None)
+    def shaped(a, b):
+        """Least cost of an alignment, by recursion over both ends."""
+        if not a and not b:
+            return 0
+        out = [99]
+        if a and b:
+            out.append(shaped(a[1:], b[1:]) + (0 if a[0] == b[0] else ocr.OTHER))
+        if a:
+            out.append(shaped(a[1:], b) + ocr.OTHER)
+        if b:
+            out.append(shaped(a, b[1:]) + ocr.OTHER)
+        if len(a) > 1 and len(b) > 1 and a[0] == b[1] != a[1] == b[0]:
+            out.append(shaped(a[2:], b[2:]) + ocr.OTHER)
+        out += [shaped(a[len(r) :], b[len(p) :]) + ocr.SHAPE for r, p in ocr.CONFUSIONS if a.startswith(r) and b.startswith(p)]
+        return min(out)
+
+    for _ in range(250):
+        token = "".join(rng.choice("abcdm16lr") for _ in range(rng.randrange(0, 7)))
+        for most in (0, 2, 3, 4, 6):
+            assert trie.within(token, most) == sorted((shaped(token, w), w) for w in words if shaped(token, w) <= most)
+        if not set(token) & set("16lrcm"):
+            assert {w for _, w in trie.within(token, ocr.OTHER)} == {w for w in words if plain(token, w) <= 1}
+
+
+def test_other_edits_need_small_letters_and_context():
+    reader = ocr.Reader(WORDS, CHAPTERS, set(), {("de", "minister"): 40, ("een", "gulden"): 40})
+    for bad in ("ministre", "mnister", "mimister"):
+        assert kinds(reader, [f"de {bad} van"]) == [(0, "misread")], bad
+        assert kinds(reader, [f"te {bad} van"]) == [] and kinds(reader, [f"de {bad.title()} van"]) == []
+    assert ocr.paragraphs(reader, ["de ministre", "een guldem"], 12, set()) == ["de minister een gulden"]
+
+
+def test_short_words_may_hold_one_error():
+    reader = ocr.Reader({**WORDS, "met": 900, "door": 400, "van": 900}, CHAPTERS, set())
+    assert kinds(reader, ["mct d0or vari"]) == [(0, "misread")]
+    assert ocr.paragraphs(reader, ["mct d0or vari", "rnct"], 12, set()) == ["met door van rnct"]
+
+
+def test_rare_misreadings_stay_out_of_the_vocabulary():
+    assert ocr.vocabulary({"gulden": 800, "guldcn": 30, "later": 90, "latcr": 30, "hecht": 5, "heeht": 5}) == {"gulden": 800, "later": 90, "latcr": 30, "hecht": 5, "heeht": 5}
+
+
+def test_a_page_number_can_be_reached():
+    reader = ocr.Reader(WORDS, CHAPTERS, set())
+    many = ["een brief"] * 30
+    assert kinds(reader, ["12", "brief", "14", *many, "40", "11", "90"]) == [(0, "page_number"), (2, "page_number"), (33, "page_number")]
+    assert kinds(reader, ["1234", "12345"], None) == [(0, "page_number")]
+
+
 def test_distribution(spark):
     line = lambda seq, t, zone="body": (zone, t, 3, seq)
     body = "hij werd resident zonder gulden later"
