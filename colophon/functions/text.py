@@ -57,6 +57,11 @@ def four_digits(number: Column) -> Column:
     return F.format_string("%04d", number)
 
 
+def zero_filled(value: Column, n: int) -> Column:
+    """Noughts before a value that is shorter than n."""
+    return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(n) - F.length(value), F.lit(0))), value)
+
+
 def page_list(pages: Column) -> Column:
     """Every run of digits as a number, in order; 622/623 gives two."""
     return F.filter(F.transform(F.regexp_extract_all(pages, F.lit(r"(\d+)")), lambda d: d.try_cast("int")), lambda n: n.isNotNull())

@@ -1,16 +1,21 @@
-"""Columnar shredding of nested documents into flat tables (problem 1).
+"""Columnar shredding of nested documents into related flat tables (problem 1).
 
-A document of the recursive shape ``toc > item* > item* ...`` is shredded into one column per leaf path.  The recursion is
-folded, so a leaf path such as ``item.level`` is one column whatever the depth, and every entry carries
+A document of the recursive shape ``toc > item* > item* ...`` is shredded into one column per leaf path, and nothing but these columns is kept.
+The recursion is folded, so a leaf path such as ``item.level`` is one column whatever the depth.  An entry of a column is
 
-* ``rep``  the repetition level: the depth of the list that goes on (0 starts a record),
-* ``def``  the definition level: the depth of the ``item`` that holds the leaf, plus one if the leaf is present.
+* a repetition level: 0 starts a record, ``2 d`` goes on with the list at depth d, ``2 d + 1`` opens the list inside of an item at depth d,
+* a definition level: the number of the steps of the path that are there (an item at depth d has d of them), and
+* the value, stored only where the definition level says that it is present.
 
-The table of a repeated ancestor is rebuilt from the level sequences alone: entry i lies in the last earlier entry whose item
-depth is one less.  Shredding keeps linear memory at any depth, as neither the parser nor the rebuilding recurses.
+Leaves that repeat themselves (``page`` and ``schuttenummers``) have an entry for each repetition.
 
-Defined results: a null, blank or damaged document has no rows; a repeated delivery of a key counts once; an item that is a
-bare value (JSON) is an item without leaves; a level that is no whole number is -1, such a ``schutte_nr`` 0.
+The table of each repeated ancestor (items, pages, numbers) is rebuilt from the level sequences of its columns alone: the repetition levels of
+a column give the depths of its items, and item i lies in the last earlier one whose depth is one less.  Memory is linear at any
+depth, as neither the parsers nor the rebuilding recurse.
+
+Defined results: a null, blank or damaged document has no rows; a repeated delivery of a key counts once, and if deliveries
+differ, one is taken as a whole; an item that is a bare value (JSON) is an item without leaves but its title; a level that is no whole number is
+-1, such a ``schutte_nr`` 0.
 """
 
 from __future__ import annotations
@@ -26,36 +31,100 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAVES = ("level", "schutte_nr", "schuttenummers", "title", "page.number", "page.source")
+# leaf paths by the steps they have below their item: one value an item, or repeated ones
+LEAVES = ("level", "schutte_nr", "title")
+REPEATED = {"schuttenummers": 1, "page.number": 2, "page.source": 2}
 _WHOLE = re.compile(r"[+-]?[0-9]+\Z")
 _NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?")
 _SPACE = re.compile(r"[ \t\n\r]*")
+_PARTS = re.compile(r"[\s,;]+")
+
+
+class Column:
+    """Repetition levels, definition levels and present values of one leaf path."""
+
+    __slots__ = ("rep", "defined", "values")
+
+    def __init__(self) -> None:
+        self.rep: list[int] = []
+        self.defined: list[int] = []
+        self.values: list[str] = []
 
+    def put(self, rep: int, defined: int, value: str | None = None) -> None:
+        self.rep.append(rep)
+        self.defined.append(defined)
+        if value is not None:
+            self.values.append(value)
 
-class Shredded:
-    """Level columns of one document: item depths in document order, and one value column per leaf path."""
 
-    __slots__ = ("depth", "values")
+class _Builder:
+    """Takes items in document order, and their leaves in any; makes the columns."""
 
     def __init__(self) -> None:
         self.depth: list[int] = []
-        self.values: dict[str, list] = {leaf: [] for leaf in LEAVES}
+        self.single: list[dict[str, str]] = []
+        self.numbers: list[list[str]] = []
+        self.pages: list[list[tuple[str | None, str | None]]] = []
 
     def open_item(self, depth: int) -> int:
         self.depth.append(depth)
-        for column in self.values.values():
-            column.append(None)
+        self.single.append({})
+        self.numbers.append([])
+        self.pages.append([])
         return len(self.depth) - 1
 
-    def levels(self, leaf: str) -> tuple[np.ndarray, np.ndarray]:
-        """Repetition and definition levels of a leaf path."""
-        depth = np.asarray(self.depth, dtype=np.int64)
-        rep = np.zeros_like(depth)
-        if len(depth):
-            rep[1:] = np.minimum(depth[1:], depth[:-1])
-            rep[1:][depth[1:] > depth[:-1]] = depth[:-1][depth[1:] > depth[:-1]]
-        present = np.fromiter((v is not None for v in self.values[leaf]), dtype=bool, count=len(depth))
-        return rep, depth + present
+    def leaf(self, at: int, name: str, value: str | None) -> None:
+        """The first value of a leaf counts."""
+        if value is not None:
+            self.single[at].setdefault(name, value)
+
+    def columns(self) -> dict[str, Column]:
+        out = {leaf: Column() for leaf in (*LEAVES, *REPEATED)}
+        before = 0
+        for d, single, numbers, pages in zip(self.depth, self.single, self.numbers, self.pages):
+            rep = 0 if not before else 2 * before + 1 if d > before else 2 * d
+            for leaf in LEAVES:
+                value = single.get(leaf)
+                out[leaf].put(rep, d + (value is not None), value)
+            again = 2 * (d + 1)
+            for k, value in enumerate(numbers):
+                out["schuttenummers"].put(again if k else rep, d + 1, value)
+            if not numbers:
+                out["schuttenummers"].put(rep, d)
+            for name, which in (("page.number", 0), ("page.source", 1)):
+                for k, page in enumerate(pages):
+                    value = page[which]
+                    out[name].put(again if k else rep, d + 1 + (value is not None), value)
+                if not pages:
+                    out[name].put(rep, d)
+            before = d
+        return out
+
+
+def depths(rep: np.ndarray) -> np.ndarray:
+    """The depths of the items of a column without repetitions of its own, from its repetition levels."""
+    return np.where(rep == 0, 1, (rep + 1) // 2)
+
+
+def single_values(column: Column) -> tuple[np.ndarray, list[str | None]]:
+    """Depth and value (or null) of every item, from the levels of one column."""
+    depth = depths(np.asarray(column.rep, dtype=np.int64))
+    present = (np.asarray(column.defined, dtype=np.int64) > depth).tolist()
+    stored = iter(column.values)
+    return depth, [next(stored) if p else None for p in present]
+
+
+def repeated_values(column: Column, steps: int) -> Iterator[tuple[int, int, str | None]]:
+    """Ordinal of the item, position in it (both from 1) and value of every repetition, from the levels of one column."""
+    stored = iter(column.values)
+    item = depth = pos = 0
+    for rep, defined in zip(column.rep, column.defined):
+        if rep != 2 * (depth + 1) or not depth:
+            item, pos = item + 1, 0
+            depth = 1 if not rep else (rep + 1) // 2
+        if defined > depth:
+            pos += 1
+            yield item, pos, next(stored) if defined == depth + steps else None
 
 
 def parents(item_depth: np.ndarray) -> np.ndarray:
@@ -72,21 +141,21 @@ def parents(item_depth: np.ndarray) -> np.ndarray:
     return out
 
 
-def shred_xml(text: str) -> Shredded | None:
+def shred_xml(text: str) -> dict[str, Column] | None:
     """Shred an XML document; None if it is not well-formed.  Comments and foreign elements hold no items."""
-    doc, path, items = Shredded(), [], []
+    doc, path, items = _Builder(), [], []
     title: list[str] = []
 
     def start(tag: str, attrs: dict) -> None:
         if tag == "item" and (len(path) == 1 or path and path[-1] == "item"):
             at = doc.open_item(len(items) + 1)
             items.append(at)
-            for leaf in ("level", "schutte_nr", "schuttenummers"):
-                doc.values[leaf][at] = attrs.get(leaf)
+            for leaf in ("level", "schutte_nr"):
+                doc.leaf(at, leaf, attrs.get(leaf))
+            doc.numbers[at].extend(filter(None, _PARTS.split(attrs.get("schuttenummers", ""))))
         elif items and path and path[-1] == "item":
-            if tag == "page" and doc.values["page.number"][items[-1]] is None:
-                doc.values["page.number"][items[-1]] = attrs.get("number")
-                doc.values["page.source"][items[-1]] = attrs.get("source")
+            if tag == "page":
+                doc.pages[items[-1]].append((attrs.get("number"), attrs.get("source")))
             title.clear()
         path.append(tag if tag != "item" or (items and path and (len(path) == 1 or path[-1] == "item")) else "other")
 
@@ -94,8 +163,8 @@ def shred_xml(text: str) -> Shredded | None:
         kind = path.pop()
         if kind == "item" and path:
             items.pop()
-        elif tag == "title" and items and path[-1] == "item" and doc.values["title"][items[-1]] is None:
-            doc.values["title"][items[-1]] = "".join(title)
+        elif tag == "title" and items and path[-1] == "item":
+            doc.leaf(items[-1], "title", "".join(title))
 
     def data(chunk: str) -> None:
         if path and path[-1] == "title":
@@ -108,7 +177,7 @@ def shred_xml(text: str) -> Shredded | None:
         parser.Parse(text, True)
     except (expat.ExpatError, UnicodeError):
         return None
-    return doc
+    return doc.columns()
 
 
 def _reject(word: str) -> None:
@@ -190,13 +259,13 @@ def _text(value):
     return None if value is None or isinstance(value, (dict, list)) else str(value)
 
 
-def shred_json(text: str) -> Shredded | None:
+def shred_json(text: str) -> dict[str, Column] | None:
     """Shred a JSON document; None if it is not well-formed.  A single value may stand for a list or an object."""
     try:
         root = parse_json(text)
     except ValueError:
         return None
-    doc = Shredded()
+    doc = _Builder()
     top = root.get("toc") if isinstance(root, dict) else None
     todo: list[tuple[object, int]] = []
 
@@ -216,23 +285,24 @@ def shred_json(text: str) -> Shredded | None:
             continue
         at = doc.open_item(depth)
         if not isinstance(node, dict):
-            doc.values["title"][at] = _text(node)
+            doc.leaf(at, "title", _text(node))
             continue
-        for leaf in ("level", "schutte_nr", "title"):
-            doc.values[leaf][at] = _text(node.get(leaf))
+        for leaf in LEAVES:
+            doc.leaf(at, leaf, _text(node.get(leaf)))
         many = node.get("schuttenummers")
-        doc.values["schuttenummers"][at] = " ".join(filter(None, map(_text, many))) if isinstance(many, list) else _text(many)
+        for value in many if isinstance(many, list) else [many]:
+            doc.numbers[at].extend(filter(None, _PARTS.split(_text(value) or "")))
         page = node.get("page")
-        page = next((p for p in page if p is not None), None) if isinstance(page, list) else page
-        if isinstance(page, dict):
-            doc.values["page.number"][at], doc.values["page.source"][at] = _text(page.get("number")), _text(page.get("source"))
-        else:
-            doc.values["page.number"][at] = _text(page)
+        for one in page if isinstance(page, list) else [page]:
+            if isinstance(one, dict):
+                doc.pages[at].append((_text(one.get("number")), _text(one.get("source"))))
+            elif one is not None:
+                doc.pages[at].append((_text(one), None))
         push(node.get("item"), depth + 1)
-    return doc
+    return doc.columns()
 
 
-def shred(text: str | None, kind: str | None) -> Shredded | None:
+def shred(text: str | None, kind: str | None) -> dict[str, Column] | None:
     if text is None or not text.strip():
         return None
     if kind not in ("xml", "json"):
@@ -247,37 +317,68 @@ def whole(value: str | None, default: int) -> int:
     return default
 
 
-def _batches(it: Iterator[pa.RecordBatch], wide: bool, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+# the tables and their columns beside the key
+TABLES = {
+    "links": [("item_seq", pa.int32()), ("parent_seq", pa.int32()), ("level", pa.int32()), ("schutte_nr", pa.int32())],
+    "items": [("item_seq", pa.int32()), ("parent_seq", pa.int32()), ("depth", pa.int32()), ("level", pa.int32()), ("schutte_nr", pa.int32()), ("schutte_nr_text", pa.string()), ("title", pa.string()), ("n_pages", pa.int32()), ("page_number", pa.string()), ("page_source", pa.string()), ("n_numbers", pa.int32())],
+    "pages": [("item_seq", pa.int32()), ("page_pos", pa.int32()), ("number", pa.string()), ("source", pa.string())],
+    "numbers": [("item_seq", pa.int32()), ("number_pos", pa.int32()), ("number", pa.string())],
+}
+
+
+def table_rows(columns: dict[str, Column], table: str) -> list[list]:
+    """The columns of one table, rebuilt from the levels of the leaf columns it needs."""
+    if table == "numbers":
+        return [list(c) for c in zip(*repeated_values(columns["schuttenummers"], 1))] or [[], [], []]
+    if table == "pages":
+        rows = [(item, pos, number, source) for (item, pos, number), (_, _, source) in zip(repeated_values(columns["page.number"], 2), repeated_values(columns["page.source"], 2))]
+        return [list(c) for c in zip(*rows)] or [[], [], [], []]
+    depth, level = single_values(columns["level"])
+    n = len(depth)
+    _, nr = single_values(columns["schutte_nr"])
+    seq, parent, levels, numbers = list(range(1, n + 1)), parents(depth).tolist(), [whole(v, -1) for v in level], [whole(v, 0) for v in nr]
+    if table == "links":
+        return [seq, parent, levels, numbers]
+    n_pages, n_numbers, page, source = [0] * n, [0] * n, [None] * n, [None] * n
+    for item, pos, number, src in zip(*table_rows(columns, "pages")):
+        n_pages[item - 1] = pos
+        if pos == 1:
+            page[item - 1], source[item - 1] = number, src
+    for item, pos, _ in zip(*table_rows(columns, "numbers")):
+        n_numbers[item - 1] = pos
+    return [seq, parent, depth.tolist(), levels, numbers, nr, single_values(columns["title"])[1], n_pages, page, source, n_numbers]
+
+
+def _batches(it: Iterator[pa.RecordBatch], table: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in it:
-        keys, kinds, texts = (batch.column(i).to_pylist() for i in range(3))
-        columns: list[list] = [[] for _ in schema]
-        for key, kind, text in zip(keys, kinds, texts):
-            doc = shred(text, kind)
-            if doc is None or not doc.depth:
+        out: list[list] = [[] for _ in schema]
+        for key, delivery, kind, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            columns = shred(text, kind)
+            if columns is None or not columns["level"].rep:
                 continue
-            # the item depth of an entry is its definition level without the leaf's own step
-            rep, defined = doc.levels("level")
-            depth = defined - np.fromiter((v is not None for v in doc.values["level"]), dtype=bool, count=len(defined))
-            n = len(depth)
-            row = [[key] * n, range(1, n + 1), parents(depth).tolist(), [whole(v, -1) for v in doc.values["level"]], [whole(v, 0) for v in doc.values["schutte_nr"]]]
-            if wide:
-                row += [depth.tolist(), doc.values["title"], doc.values["schuttenummers"], doc.values["schutte_nr"], doc.values["page.number"], doc.values["page.source"], rep.tolist()]
-            for column, part in zip(columns, row):
+            rows = table_rows(columns, table)
+            for column, part in zip(out, ([key] * len(rows[0]), [delivery] * len(rows[0]), *rows)):
                 column.extend(part)
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, schema)], schema=schema)
 
 
-def shred_items(docs: DataFrame, key: str = "toc_id", kind: str = "item_format", text: str = "item", wide: bool = False) -> DataFrame:
-    """One row per item of every well-formed document, with the link to the item it lies in.
+def shred_table(docs: DataFrame, table: str, key: str = "toc_id", kind: str = "item_format", text: str = "item") -> DataFrame:
+    """One table of every well-formed document: ``links`` (items with their parents), ``items``, ``pages`` or ``numbers``.
 
     Shredding is a narrow step over the scan.  Re-deliveries are removed from the flat rows, so the shuffle moves a few integers
-    an item instead of whole documents.
+    an item instead of whole documents.  A document counts by the least fingerprint of its deliveries.
     """
-    fields = [(key, pa.int64()), ("item_seq", pa.int32()), ("parent_seq", pa.int32()), ("level", pa.int32()), ("schutte_nr", pa.int32())]
-    if wide:
-        fields += [("depth", pa.int32()), ("title", pa.string()), ("schuttenummers", pa.string()), ("schutte_nr_text", pa.string()), ("page_number", pa.string()), ("page_source", pa.string()), ("rep", pa.int32())]
-    schema = pa.schema(fields)
+    rest = TABLES[table]
+    schema = pa.schema([("_key", pa.int64()), ("_delivery", pa.int64()), *rest])
     names = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string"}
     ddl = ", ".join(f"`{f.name}` {names[f.type]}" for f in schema)
-    rows = docs.select(F.col(key).cast("bigint"), kind, text).mapInArrow(lambda it: _batches(it, wide, schema), ddl)
-    return rows.dropDuplicates([key, "item_seq"])
+    told = docs.select(F.col(key).cast("bigint").alias("_key"), F.xxhash64(F.col(kind), F.col(text)).alias("_delivery"), F.col(kind).alias("_kind"), F.col(text).alias("_text"))
+    chosen = told.where("_text is not null").groupBy("_key").agg(F.min("_delivery").alias("_least"))
+    rows = told.where("_text is not null").mapInArrow(lambda it: _batches(it, table, schema), ddl)
+    mine = rows.join(chosen.withColumnRenamed("_key", "_own"), F.col("_key").eqNullSafe(F.col("_own")) & (F.col("_delivery") == F.col("_least")), "left_semi")
+    return mine.dropDuplicates(["_key", *(name for name, _ in rest[:2])]).select(F.col("_key").alias(key), *(name for name, _ in rest))
+
+
+def shred_items(docs: DataFrame, key: str = "toc_id", kind: str = "item_format", text: str = "item", wide: bool = False) -> DataFrame:
+    """One row per item of every well-formed document, with the link to the item it lies in."""
+    return shred_table(docs, "items" if wide else "links", key, kind, text)

@@ -14,10 +14,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide item table: every leaf path, with the depth and the repetition level of each item."""
+    """The wide item table: every leaf that an item has once, its depth, and its first page."""
     return shred.shred_items(table(spark, sf_dir, "toc"), wide=True)
 
 
+def p1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of items, with the link to their item."""
+    return shred.shred_table(table(spark, sf_dir, "toc"), "pages")
+
+
+def p1_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers that items list, with the link to their item."""
+    return shred.shred_table(table(spark, sf_dir, "toc"), "numbers")
+
+
 def _all_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     persons = table(spark, sf_dir, "persons_index")
     pages = persons.select("person_seq", "corpus", "received_at", F.explode("pages").alias("nr"))
@@ -66,7 +76,7 @@ found as (
   from refs r left join targets t on r.target = t.target and r.target_corpus = t.target_corpus and r.target_nr = t.target_nr)
 """
 
-QUERIES = {"p1_found": p1_found, "p1_items": p1_items, "p4_found": p4_found, "p4_report": p4_report}
+QUERIES = {"p1_found": p1_found, "p1_items": p1_items, "p1_pages": p1_pages, "p1_numbers": p1_numbers, "p4_found": p4_found, "p4_report": p4_report}
 
 SQL = {
     "p4_found": _P4 + "select * from found where state is not null",

@@ -185,7 +185,7 @@ def toc_chapters(spark, d):
     items = shred.shred_items(table(spark, d, "toc"), wide=True)
     chapter = F.when((F.col("schutte_nr") == 0) & (F.coalesce("title", F.lit("")) != ""), F.col("title"))
     df = carry.carry_forward(items, chapter, "chapter", ["toc_id"], ["item_seq"])
-    return df.where("schutte_nr <> 0").select("toc_id", "item_seq", "schutte_nr", F.regexp_replace("title", r"^\d+\.\s+", "").alias("title"), "chapter", F.coalesce(T.whole_number(F.col("page_number")), F.lit(0)).alias("page_nr"), T.four_digits(F.coalesce(T.whole_number(F.col("page_source")), F.lit(0))).alias("source_file"))
+    return df.where("schutte_nr <> 0").select("toc_id", "item_seq", "schutte_nr", F.regexp_replace("title", r"^\d+\.\s+", "").alias("title"), "chapter", F.coalesce(F.trim("page_number").try_cast("int"), F.lit(0)).alias("page_nr"), F.when(F.col("page_source").isNull(), "0001").otherwise(F.coalesce(T.four_digits(F.trim("page_source").try_cast("int")), T.zero_filled(F.col("page_source"), 4))).alias("source_file"))
 
 
 def toc_levels(spark, d, direct: bool = False):
