@@ -29,7 +29,7 @@ from colophon.session import cut
 
 BLOCK = 4096
 _ZERO = 1e-9
-_FLIGHT = "mix_name string, source string, doc_id bigint, n_tokens bigint, p double"
+_FLIGHT = "mix_name string, source string, doc_id bigint, n_tokens bigint, p double, n bigint"
 
 
 def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -87,7 +87,7 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return p
 
 
-def _round(last: bool, seed: int):
+def _round(block: int, seed: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id", kind="stable")
         size = rows["n_tokens"].to_numpy()
@@ -96,7 +96,9 @@ def _round(last: bool, seed: int):
         order = np.argsort(-size, kind="stable")
         p = np.empty(len(rows))
         p[order] = flight(rows["p"].to_numpy()[order], size[order], rng)
-        return rows.assign(p=land(p, size) if last else p)[["mix_name", "source", "doc_id", "n_tokens", "p"]]
+        blocks = -(-int(rows["n"].iloc[0]) // block)
+        # blocks are hashed, hence uneven; each leaves two at most
+        return rows.assign(p=p if blocks > 1 else land(p, size), n=2 * blocks)[["mix_name", "source", "doc_id", "n_tokens", "p", "n"]]
 
     return run
 
@@ -125,24 +127,22 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 7, block: int = BLOCK)
     """The uses of every document in every mix, and the plan they follow."""
     goal = cut(plan(sized, targets))
     largest = goal.agg(F.max("n_docs")).first()[0] or 0
-    rows = sized.join(F.broadcast(goal.where("usable").select("mix_name", "source", "f")), "source")
+    rows = sized.join(F.broadcast(goal.where("usable").select("mix_name", "source", "f", F.col("n_docs").alias("n"))), "source")
     base = F.floor(F.col("f") + F.lit(_ZERO)).cast("int")
     rows = rows.withColumn("base", base).withColumn("p", F.greatest(F.col("f") - F.col("base"), F.lit(0.0)))
     whole = rows.where(f"p <= {_ZERO}")
-    open_ = rows.where(f"p > {_ZERO}").select("mix_name", "source", "doc_id", "n_tokens", "p")
+    open_ = rows.where(f"p > {_ZERO}").select("mix_name", "source", "doc_id", "n_tokens", "p", "n")
     decided, left, n = [], open_, largest
     while True:
-        blocks = max(1, math.ceil(n / block))
-        last = blocks == 1
-        keyed = left.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(n)), F.lit(blocks)))
-        out = keyed.groupBy("mix_name", "source", "block").applyInPandas(_round(last, seed), _FLIGHT)
-        if last:
+        # every source has blocks of its own number, and lands in the round in which it is one block
+        blocks = F.greatest(F.ceil(F.col("n") / block), F.lit(1))
+        out = left.withColumn("block", F.pmod(F.xxhash64("doc_id", "n"), blocks)).groupBy("mix_name", "source", "block").applyInPandas(_round(block, seed), _FLIGHT)
+        if n <= block:
             decided.append(out)
             break
         out = cut(out)
         decided.append(out.where(f"p <= {_ZERO} or p >= 1 - {_ZERO}"))
-        # blocks are hashed, hence uneven; each leaves two at most
-        left, n = out.where(f"p > {_ZERO} and p < 1 - {_ZERO}"), 2 * blocks
+        left, n = out.where(f"p > {_ZERO} and p < 1 - {_ZERO}"), 2 * math.ceil(n / block)
     extra = decided[0]
     for part in decided[1:]:
         extra = extra.unionByName(part)

@@ -5,7 +5,7 @@ root names the leftmost pair of lowest rank, a merge updates at most three leave
 the root is empty.  A piece of n bytes therefore costs O(n log n), also where a text is one unbroken run of a million
 characters.  Pieces recur, so each Python worker keeps the ids of pieces already merged; the store is bounded.
 
-Encoding is a narrow step over the scan: nothing is shuffled.  Defined results: null and empty texts give an empty list; lone
+Encoding is a narrow step over the scan: nothing is shuffled.  The vocabulary file is read on the driver's disk and sent to the workers.  Defined results: null and empty texts give an empty list; lone
 surrogates are replaced as the JVM replaces them; special-token strings in a text are ordinary text.
 """
 
@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colophon.session import ship_file, shipped
+
 TOKENIZER_DIR = os.environ.get("COLOPHON_TOKENIZERS", "/opt/tokenizers")
 STORE_LIMIT = 200_000
 STORE_PIECE = 64
@@ -168,12 +170,17 @@ def encoder(path: str) -> Encoder:
     return _LOADED[path]
 
 
+def _shipped_encoder(name: str) -> Encoder:
+    """The encoder of a vocabulary that the driver sent."""
+    return encoder(shipped(name))
+
+
 def encode(text: str | None, path: str) -> list[int]:
     return list(chain.from_iterable(encoder(path).parts(text))) if text else []
 
 
-def _encode_batches(it: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    parts = encoder(path).parts
+def _encode_batches(it: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    parts = _shipped_encoder(name).parts
     for batch in it:
         ids, offsets = array("i"), [0]
         for text in batch.column(1).to_pylist():
@@ -184,8 +191,8 @@ def _encode_batches(it: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), values], names=[batch.schema.names[0], "ids"])
 
 
-def _count_batches(it: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    parts = encoder(path).parts
+def _count_batches(it: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    parts = _shipped_encoder(name).parts
     for batch in it:
         counts = [sum(map(len, parts(text))) if text else 0 for text in batch.column(batch.num_columns - 1).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, type=pa.int64())], names=[*batch.schema.names[:-1], "n_tokens"])
@@ -197,13 +204,13 @@ def vocabulary(name: str, folder: str | None = None) -> str:
 
 def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", vocab: str = "byte_bpe_50k.tiktoken", folder: str | None = None) -> DataFrame:
     """``key`` and ``ids`` of every row."""
-    path = vocabulary(vocab, folder)
-    return docs.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(lambda it: _encode_batches(it, path), f"`{key}` bigint, ids array<int>")
+    name = ship_file(docs.sparkSession, vocabulary(vocab, folder))
+    return docs.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(lambda it: _encode_batches(it, name), f"`{key}` bigint, ids array<int>")
 
 
 def count_tokens(docs: DataFrame, keep: list[str], text: str = "text", vocab: str = "byte_bpe_50k.tiktoken", folder: str | None = None) -> DataFrame:
     """The columns ``keep`` and ``n_tokens`` of every row."""
-    path = vocabulary(vocab, folder)
+    name = ship_file(docs.sparkSession, vocabulary(vocab, folder))
     picked = docs.select(*keep, text)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[:-1])
-    return picked.mapInArrow(lambda it: _count_batches(it, path), f"{ddl}, n_tokens bigint")
+    return picked.mapInArrow(lambda it: _count_batches(it, name), f"{ddl}, n_tokens bigint")
