@@ -1,18 +1,21 @@
 """Variant spellings of names typed by people (problem 6).
 
-1. Names are brought to a bare form: garbled and disguised letters undone, case, accents and the spellings ae/oe/ue/ij dropped, titles and
-   particles set aside.  An entry has a key, its surname or the proper name of a body, and the tokens beside it.  Where name parts
-   may stand in another order, it has further readings with another key (``exchanged``).
+1. Names are brought to a plain form: garbled and disguised letters undone, case and accents dropped, titles and particles set aside.
+   An entry has a key, its surname or the proper name of a body, and the tokens beside it.  Where name parts may stand in
+   another order, it has further readings with another key (``exchanged``).
 2. Entries alike in all that is compared form one class; all later steps work on classes.
 3. The symmetric-delete index: every distinct key is stored under its beginning with up to two letters left out, and keys that meet under
    one such form are verified by their edit distance (exchanged neighbours counting once).  So near keys are found without
    comparing all.
-4. Classes under near keys that share kind, epithet and a span of years are compared: the tokens of the shorter name are
-   assigned to those of the longer one, each to another, at least cost; equal, short form, initial, abbreviation and slip of the pen all fit.
+4. Classes under near keys meet if their years lie close together and a token of one meets a token of the other in an index of the
+   same kind: names under the name they are a form of, else with letters left out, initials and abbreviations under their first
+   letter.  So a surname that a third of all have is split by given names and years.  Of those that meet, the
+   tokens of the shorter name are assigned to those of the longer one, each to another, at least cost; equal, short form,
+   initial, abbreviation and slip of the pen all fit.
 5. Classes so linked form groups, found by passing the least class id along links until nothing changes.
 
-Years: entries of one person begin within ``BEGIN`` and end within ``END`` years of each other; an unknown year is no
-contradiction, but one of the two must be known on both sides.  Namesakes of other generations therefore never meet.
+Years: entries of one person begin within ``BEGIN`` and end within ``END`` years of each other; an unknown year is no contradiction, but one of the two must
+be known on both sides, so an entry without any year is linked to nothing.  Namesakes of other generations therefore never meet.
 
 Defined results: an entry without any name takes its name from the title; without either, it is linked to nothing; repeated
 deliveries count once.
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from colophon.llm import garbled, lookalike
 from colophon.session import cut
 
+# years that the first, and the last, years of one person's entries differ by at most
 BEGIN, END = 3, 2
 WIDE = 12
 # stands for a lost character inside a token and is like every letter
@@ -57,10 +61,15 @@ SHORT_FORMS = {
 }
 
 
+def plain(text: str) -> str:
+    """Lower case without accents."""
+    text = unicodedata.normalize("NFD", text.casefold().replace("ø", "o").replace("ß", "ss").replace("æ", "ae").replace("œ", "oe"))
+    return "".join(c for c in text if not unicodedata.combining(c))
+
+
 def bare(text: str) -> str:
-    """Lower case without accents; letters that are spelt in two ways become one."""
-    text = unicodedata.normalize("NFD", text.casefold().replace("ø", "o").replace("ß", "ss").replace("æ", "a").replace("œ", "o"))
-    text = "".join(c for c in text if not unicodedata.combining(c)).replace("ij", "y").replace("y", "i")
+    """The plain form; letters that are spelt in two ways become one."""
+    text = plain(text).replace("ij", "y").replace("y", "i")
     for two, one in (("ae", "a"), ("oe", "o"), ("ue", "u"), ("aa", "a"), ("ee", "e")):
         text = text.replace(two, one)
     return text
@@ -137,28 +146,43 @@ def _subsequence(a: str, b: str) -> bool:
     return all(c in at for c in a)
 
 
+def _abbreviates(short: str, form: str) -> bool:
+    """Whether a word with a point is an abbreviation of a form, with a slip at most."""
+    n = len(short)
+    if short[0] != form[0]:
+        return False
+    return form.startswith(short) or n > 2 and distance(short, form[:n], 1) < 2 or n > 3 and distance(short, form[: n - 1], 1) < 2 or n <= 3 and _subsequence(short, form)
+
+
+def _slip(short: str, form: str) -> bool:
+    """Whether one word is the other with slips of the pen, or without its last letter."""
+    # three letters may be four with one lost
+    most = slack(max(len(short), len(form))) if len(short) == 3 else slack(min(len(short), len(form)))
+    return len(short) > 2 and (len(form) == len(short) + 1 and form.startswith(short) or distance(short, form, most) <= most)
+
+
 @lru_cache(200_000)
 def token_cost(x: str, y: str) -> int | None:
     """0 equal, 1 short form or abbreviation, 2 initial or slip of the pen; None: the tokens name different things."""
     a, b = x.rstrip("."), y.rstrip(".")
-    if a == b:
+    if a == b or bare(a) == bare(b):
         return 0
-    ca, cb = _CANON.get(a), _CANON.get(b)
+    ca, cb = _CANON.get(bare(a)), _CANON.get(bare(b))
     if ca is not None and ca == cb:
         return 1
     # two known names are never slips of one another
     slips = ca is None or cb is None
     best = None
     for short, dotted, long, canon in ((a, x.endswith("."), b, cb), (b, y.endswith("."), a, ca)):
-        forms = (long, *_FORMS.get(canon, ()))
+        # as written, and with letters that are spelt in two ways as one
+        pairs = [(s, f) for s in dict.fromkeys((short, bare(short))) for f in dict.fromkeys((long, bare(long), *_FORMS.get(canon, ())))]
         if len(short) == 1 and len(long) > 1:
-            if any(f[0] == short for f in forms):
+            if any(f[0] == s for s, f in pairs):
                 best = 2
-        elif dotted and any(f.startswith(short) or (len(short) > 2 and distance(short, f[: len(short)], 1) < 2 or len(short) > 3 and distance(short, f[: len(short) - 1], 1) < 2) and f[0] == short[0] or len(short) <= 3 and f[0] == short[0] and _subsequence(short, f) for f in forms):
+        elif dotted and any(_abbreviates(s, f) for s, f in pairs):
             best = min(best or 1, 1)
-        elif slips and (not dotted or len(short) > 3):
-            if any(len(short) > 2 and len(f) == len(short) + 1 and f.startswith(short) or distance(short, f, slack(min(len(short), len(f)))) <= slack(min(len(short), len(f))) for f in forms):
-                best = min(best or 2, 2)
+        elif slips and (not dotted or len(short) > 3) and any(_slip(s, f) for s, f in pairs):
+            best = min(best or 2, 2)
     return best
 
 
@@ -216,6 +240,16 @@ def assign(xs: tuple[str, ...], ys: tuple[str, ...], lead: bool = True) -> int |
     return min(best.values())
 
 
+def _aside(token: str) -> bool:
+    """A title or a particle."""
+    return bare(token.rstrip(".")) in _T | _P
+
+
+def _beside(given: str, own: bool) -> list[str]:
+    """The tokens of a given name; a single letter with a point is an initial there, but may be a particle in a title."""
+    return [t for t in _TOKEN.findall(plain(given)) if own and len(t) == 2 and t[1] == "." or not _aside(t)]
+
+
 def _fields(name: str | None, given: str | None, title: str | None, body: bool) -> tuple[str, str]:
     """Name and given name, taken from the title where there is no name."""
     if not (name or "").strip() and (title or "").strip():
@@ -225,7 +259,7 @@ def _fields(name: str | None, given: str | None, title: str | None, body: bool)
             name, _, rest = title.partition(",")
             given = given or rest
         if not body and "," not in title:
-            words = [t for t in _TOKEN.findall(bare(title)) if t.rstrip(".") not in _T | _P]
+            words = [t for t in _TOKEN.findall(plain(title)) if not _aside(t)]
             longest = max(words, key=len, default="")
             name, given = longest, given or " ".join(w for w in words if w is not longest)
     return (name or "").replace(garbled.LOST, ANY), (given or "").replace(garbled.LOST, ANY)
@@ -233,37 +267,65 @@ def _fields(name: str | None, given: str | None, title: str | None, body: bool)
 
 def parts(name: str | None, given: str | None, title: str | None, body: bool) -> tuple[list[str], list[str]]:
     """Keys and tokens of an entry.  A lost character counts as a letter left out."""
-    # a single letter with a point is an initial in a given name, but may be a particle in a title
     own = bool((given or "").strip())
     name, given = _fields(name, given, title, body)
+    keyed = lambda t: key_form(bare(t.rstrip(".")))
     if body:
-        tokens = [t for t in _TOKEN.findall(bare(f"{name} {given}")) if t.rstrip(".") not in _P]
-        keys = [key_form(t.rstrip(".")) for t in tokens]
+        tokens = [t for t in _TOKEN.findall(plain(f"{name} {given}")) if bare(t.rstrip(".")) not in _P]
+        keys = list(map(keyed, tokens))
         # short words are keys where there is no longer one, and generic ones where there is nothing else
-        own = [k for k in keys if k and k not in _BK]
-        return [k for k in own if len(k) > 4] or own or [k for k in keys if k], tokens
+        proper = [k for k in keys if k and k not in _BK]
+        return [k for k in proper if len(k) > 4] or proper or [k for k in keys if k], tokens
     words = re.findall(r"[^\W\d_]+", bare(name))
     key = key_form("".join([w for w in words if w not in _P] or words))
-    tokens = [t for t in _TOKEN.findall(bare(given)) if own and len(t) == 2 and t[1] == "." or t.rstrip(".") not in _T | _P]
+    tokens = _beside(given, own)
     if not tokens and title:
         # the given name is lost: what the title has beside the surname
-        tokens = [t for t in _TOKEN.findall(bare(title)) if t.rstrip(".") not in _T | _P and key_form(t.rstrip(".")) not in key and key not in key_form(t.rstrip("."))]
+        tokens = [t for t in _TOKEN.findall(plain(title)) if not _aside(t) and keyed(t) not in key and key not in keyed(t)]
     return [key] if key else [], tokens
 
 
 _MEET: dict[str, list[str]] = {}
-for _v in _CANON:
-    for _f in leave_out(_v):
-        _MEET.setdefault(_f, []).append(_v)
+_OF: dict[str, str] = {}
+for _k, _vs in _FORMS.items():
+    for _v in _vs:
+        _OF[_v] = _k
+        for _f in leave_out(_v):
+            _MEET.setdefault(_f, []).append(_v)
+
+
+@lru_cache(200_000)
+def given_names(word: str) -> frozenset[str]:
+    """The names that a word without its point is a form of, or is with slips."""
+    written = {word, bare(word)}
+    if own := {_CANON[w] for w in written if w in _CANON}:
+        return frozenset(own)
+    return frozenset(_OF[v] for w in written for form in leave_out(w.replace(ANY, "")) for v in _MEET.get(form, ()) if _slip(min(w, v, key=len), max(w, v, key=len)))
 
 
 @lru_cache(200_000)
 def given_like(token: str) -> bool:
     """An initial, an abbreviation, or a known given name with slips."""
+    word = bare(token.rstrip("."))
+    dotted = token.endswith(".")
+    return len(word) == 1 or word in _CANON or dotted and (len(word) < 6 or any(f.startswith(word) for f in _CANON)) or bool(given_names(token.rstrip(".")))
+
+
+@lru_cache(200_000)
+def meetings(token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """The forms under which a token looks for others, and those under which it is found.
+
+    Tokens that fit each other meet in one: names in the name they are a form of, other words with letters left out, initials and abbreviations in
+    the first letter.
+    """
     word = token.rstrip(".")
-    if len(word) == 1 or word in _CANON or word != token and (len(word) < 6 or any(f.startswith(word) for f in _CANON)):
-        return True
-    return any(distance(word, v, s) <= s for form in leave_out(word.replace(ANY, "")) for v in _MEET.get(form, ()) for s in (slack(min(len(word), len(v))),))
+    of = given_names(word)
+    forms = {f"={c}" for c in of}
+    if bare(word) not in _CANON:
+        forms |= {f"-{x}" for w in (word, bare(word)) for x in leave_out(w.replace(ANY, ""))}
+    first = {f"{w[0]}." for w in (word, bare(word), *(v for c in of for v in _FORMS[c]))}
+    short = token.endswith(".") or len(word) == 1
+    return tuple((first if short else set()) | (forms if len(word) > 3 or not short else set())), tuple(first | forms)
 
 
 def exchanged(name: str | None, given: str | None, title: str | None) -> list[tuple[str, list[str], int]]:
@@ -275,13 +337,13 @@ def exchanged(name: str | None, given: str | None, title: str | None) -> list[tu
     """
     own = bool((given or "").strip())
     name, given = _fields(name, given, title, False)
-    beside = [t for t in _TOKEN.findall(bare(given)) if own and len(t) == 2 and t[1] == "." or t.rstrip(".") not in _T | _P]
-    words = [t for t in _TOKEN.findall(bare(name)) if t.rstrip(".") not in _T | _P]
+    beside = _beside(given, own)
+    words = [t for t in _TOKEN.findall(plain(name)) if not _aside(t)]
     odd = [k for k, t in enumerate(beside) if not given_like(t)]
     like = [t for t in words if given_like(t)]
     if not words:
         return []
-    joined = lambda tokens: key_form("".join(t.rstrip(".") for t in tokens))
+    joined = lambda tokens: key_form("".join(bare(t.rstrip(".")) for t in tokens))
     out = []
     if odd:
         for picked in [odd, *([k] for k in odd if len(odd) > 1)]:
@@ -302,21 +364,34 @@ def _restore(value: str | None, title: str | None) -> str | None:
 
 
 def _prepare(it: Iterator[pa.RecordBatch], maps: dict, bigrams: dict) -> Iterator[pa.RecordBatch]:
-    names = ["lemma_id", "readings", "kind", "epithet", "first", "last"]
+    names = ["lemma_id", "readings", "body", "first", "last"]
     for batch in it:
         out: list[tuple] = []
-        for lemma_id, corpus, title, name, given, epithet, category, first, last in zip(*(c.to_pylist() for c in batch.columns)):
+        for lemma_id, corpus, title, name, given, category, first, last in zip(*(c.to_pylist() for c in batch.columns)):
             fix = lambda v, m=maps.get(corpus, garbled.NOTHING): v if v is None or v.isascii() else lookalike.unify(garbled.repair(v, m)[0], bigrams)[0]
             title, name, given = fix(title), fix(name), fix(given)
             name, given = _restore(name, title), _restore(given, title)
-            keys, tokens = parts(name, given, title, category == "college")
-            readings = {(key, tuple(tokens), 0) for key in keys} | {(key, tuple(own), sure) for key, own, sure in ([] if category == "college" else exchanged(name, given, title))}
+            body = category == "college"
+            keys, tokens = parts(name, given, title, body)
+            readings = {(key, tuple(tokens), 0) for key in keys} | {(key, tuple(own), sure) for key, own, sure in ([] if body else exchanged(name, given, title))}
             if readings:
-                out.append((lemma_id, [{"key": k, "tokens": list(t), "turned": x} for k, t, x in sorted(readings)], category or "", bare(epithet or ""), first, last))
-        types = [pa.int64(), pa.list_(pa.struct([("key", pa.string()), ("tokens", pa.list_(pa.string())), ("turned", pa.int32())])), pa.string(), pa.string(), pa.int32(), pa.int32()]
+                out.append((lemma_id, [{"key": k, "tokens": list(t), "turned": x} for k, t, x in sorted(readings)], body, first, last))
+        types = [pa.int64(), pa.list_(pa.struct([("key", pa.string()), ("tokens", pa.list_(pa.string())), ("turned", pa.int32())])), pa.bool_(), pa.int32(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=names)
 
 
+def _meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To every reading the forms under which its tokens look for others and are found; one without tokens fits all."""
+    for batch in it:
+        seek, found = [], []
+        for tokens, body in zip(batch.column("tokens").to_pylist(), batch.column("body").to_pylist()):
+            # the words of a body are keys already
+            met = [] if body else [meetings(t) for t in tokens]
+            seek.append(sorted({x for m in met for x in m[0]}) or ["*"])
+            found.append(sorted({x for m in met for x in m[1]} | {"*"}))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(seek, pa.list_(pa.string())), pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "seek", "found"])
+
+
 def _near_keys(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         ok = [bool(distance(a, b, s) <= s) for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for s in (slack(min(len(a), len(b))),)]
@@ -330,16 +405,26 @@ def _leave_out(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[tuple, bool] = {}
     for batch in it:
-        ok = [assign(tuple(a), tuple(b), kind != "college") is not None for a, b, kind in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
+        ok = []
+        for a, b, body in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+            key = (tuple(a), tuple(b), body)
+            if key not in known:
+                if len(known) > 200_000:
+                    known.clear()
+                known[key] = assign(*key[:2], not body) is not None
+            ok.append(known[key])
         yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
 def near_keys(keys: DataFrame) -> DataFrame:
     """Pairs (key, other) of distinct keys within their edit distance, both ways round, by the symmetric-delete index."""
-    forms = keys.select("key").distinct().mapInArrow(_leave_out, "key string, form string")
+    # in as many parts as there are for a shuffle, however few the keys are in bytes: their forms are many more
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    forms = cut(keys.select("key").distinct().repartition(parts, "key").mapInArrow(_leave_out, "key string, form string"))
     met = forms.join(forms.withColumnRenamed("key", "other"), "form").where("key < other").select("key", "other").distinct()
-    near = met.mapInArrow(_near_keys, "key string, other string")
+    near = cut(met.mapInArrow(_near_keys, "key string, other string"))
     return near.unionByName(near.select(F.col("other").alias("key"), F.col("key").alias("other")))
 
 
@@ -361,28 +446,29 @@ def components(links: DataFrame) -> DataFrame:
 def same_names(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (lemma_id, class) and groups (id of a class, root) of classes that name one person or body."""
     maps, bigrams = lookalike.learned(rows, "corpus", ("name", "givenname"), ("toc_title", "name"))
-    picked = rows.select(F.col("lemma_id").cast("bigint").alias("lemma_id"), "corpus", "toc_title", "name", "givenname", "postposition", "category", "beginjaar", "eindjaar")
-    bare_rows = picked.mapInArrow(lambda it: _prepare(it, maps, bigrams), "lemma_id bigint, readings array<struct<key: string, tokens: array<string>, turned: int>>, kind string, epithet string, first int, last int")
+    picked = rows.select(F.col("lemma_id").cast("bigint").alias("lemma_id"), "corpus", "toc_title", "name", "givenname", "category", "beginjaar", "eindjaar")
+    bare_rows = picked.mapInArrow(lambda it: _prepare(it, maps, bigrams), "lemma_id bigint, readings array<struct<key: string, tokens: array<string>, turned: int>>, body boolean, first int, last int")
     # one row an entry, then one id a class: the least entry of those alike in everything compared
     members = cut(bare_rows.dropDuplicates(["lemma_id"]))
-    alike = ["readings", "kind", "epithet", "first", "last"]
+    alike = ["readings", "body", "first", "last"]
     classes = cut(members.groupBy(*alike).agg(F.min("lemma_id").alias("id"), F.count("*").alias("n")))
-    keyed = classes.select("id", "kind", "epithet", "first", "last", F.inline("readings"))
-    spans = F.array(
-        F.when(F.col("last").isNotNull(), F.struct(F.lit("e").alias("of"), F.col("last").alias("year"), F.floor(F.col("last") / (END + 1)).alias("slot"))),
-        F.when(F.col("first").isNotNull(), F.struct(F.lit("b").alias("of"), F.col("first").alias("year"), F.floor(F.col("first") / (BEGIN + 1)).alias("slot"))),
-    )
+    keyed = classes.select("id", "body", "first", "last", F.inline("readings"))
+    near = near_keys(keyed)
     # an entry with both years is looked up by its end; the begin serves those without one
-    placed = keyed.withColumn("span", F.explode(spans)).where("span is not null").withColumns({"of": F.col("span.of"), "slot": F.col("span.slot")}).drop("span")
-    near = cut(near_keys(keyed))
-    left = placed.select(F.col("id").alias("a"), F.col("tokens").alias("ta"), F.col("turned").alias("xa"), F.col("kind"), F.col("epithet"), F.col("first").alias("fa"), F.col("last").alias("la"), "key", "of", "slot")
-    reach = left.select("a", "ta", "xa", "kind", "epithet", "fa", "la", "key", "of", F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).alias("slot"))
-    reach = reach.unionByName(reach.join(near, "key").drop("key").withColumnRenamed("other", "key"))
-    right = placed.select(F.col("id").alias("b"), F.col("tokens").alias("tb"), F.col("turned").alias("xb"), "kind", "epithet", F.col("first").alias("fb"), F.col("last").alias("lb"), "key", "of", "slot")
-    met = reach.join(right, ["key", "kind", "epithet", "of", "slot"]).where(f"a < b and (fa is null or fb is null or abs(fa - fb) <= {BEGIN}) and (la is null or lb is null or abs(la - lb) <= {END})")
+    slot = lambda of, year, apart: F.when(F.col(year).isNotNull(), F.struct(F.lit(of).alias("of"), F.floor(F.col(year) / (apart + 1)).alias("slot")))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # forms are made once
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema) + ", seek array<string>, found array<string>"
+    placed = cut(keyed.repartition(parts, "key").mapInArrow(_meet, ddl).withColumn("span", F.explode(F.array(slot("e", "last", END), slot("b", "first", BEGIN)))).where("span is not null").select("*", "span.*").drop("span"))
+    side = lambda x: [F.col("id").alias(x), F.col("tokens").alias(f"t{x}"), F.col("turned").alias(f"x{x}"), F.col("first").alias(f"f{x}"), F.col("last").alias(f"l{x}"), "key", "body", "of"]
+    left = placed.select(*side("a"), "slot", "seek")
+    left = left.unionByName(left.join(near, "key").drop("key").withColumnRenamed("other", "key"))
+    left = left.withColumn("slot", F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1))).withColumn("form", F.explode("seek")).drop("seek")
+    right = placed.select(*side("b"), "slot", F.explode("found").alias("form"))
+    met = left.join(right, ["key", "body", "of", "slot", "form"]).where(f"a <> b and (fa is null or fb is null or abs(fa - fb) <= {BEGIN}) and (la is null or lb is null or abs(la - lb) <= {END})")
     # two other readings meet only if both are sure; an unsure one needs given names on both sides
     met = met.where(f"(xa = 0 or xb = 0 or xa = {SURE} and xb = {SURE}) and (xa + xb <> {MAYBE} or size(ta) > 0 and size(tb) > 0)")
-    links = met.select("a", "b", "ta", "tb", "kind").distinct().mapInArrow(_compare, "a bigint, b bigint")
+    links = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "ta", "tb", "body").mapInArrow(_compare, "a bigint, b bigint").distinct()
     by_class = members.join(classes.select(*[F.col(c).alias(f"_{c}") for c in alike], "id"), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in alike]).select("lemma_id", "id")
     return by_class, components(links)
 
