@@ -7,16 +7,19 @@ first led to small shards in which all that they can share is found.
 1. Every window is owned by one anchor: the k-gram of least hash inside it, the leftmost of equals.  Equal windows own equal anchors
    at the same place.  Each document gives one row an anchor: its hash, and the hash of the region its windows cover.  Anchors
    of one document only are dropped; about two of a hundred positions are anchors.
+   Each row has the place of its region too, so the texts are not needed to settle most of them.
 2. Regions that occur in two documents are shared whole.  A region under a shared anchor that no other document repeats holds
    the end of a span.
-3. The regions under such an anchor, one representative of each repeated one, are a shard: a suffix automaton of them, whose states
-   know the least and the greatest document, gives every region's matching statistics against the other documents; stretches of
-   the threshold and more are kept.  An anchor with more than ``SHARD`` different regions is no shard: its windows are compared one by
-   one, by hash and with the least and the greatest document, so no group is ever gathered that is not bounded.
+3. Only the regions under such an anchor, one representative of each repeated one, are cut out of their texts.  They are a shard: a
+   suffix automaton of them, whose states know the least and the greatest document, gives every region's matching statistics
+   against the other documents; stretches of the threshold and more are kept.  An anchor with more than ``SHARD`` different
+   regions is no shard: its windows are compared one by one, by hash and with the least and the greatest document, so no group is
+   ever gathered that is not bounded.
 4. Intervals are merged to the longest unbroken stretches.
 
-A passage that a third of all documents hold costs one row a document and anchor, combined before the shuffle; pairs of documents
-are never formed.  Hashes have 64 bits over code points that are scrambled first.
+A passage that a third of all documents hold costs one row a document and anchor; the counts are combined before the shuffle, the rows of a hot
+anchor are split by the adaptive join; pairs of documents are never formed.  Hashes have 64 bits over code points that are
+scrambled first, and are compared within their anchor.
 
 Defined results: null, empty and short texts have no spans; rows of one ``doc_id`` never count as each other's other document;
 texts of any length are processed whole, in overlapping segments.
@@ -37,6 +40,7 @@ LENGTH = 200
 GRAM = 100
 SHARD = 64
 SEGMENT = 1 << 20
+CHUNK = 1 << 16
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -136,14 +140,10 @@ def groups(texts: list[str | None], length: int, gram: int) -> Iterator[Group]:
 def _anchor_rows(it: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in it:
         known = batch.filter(batch.column(0).is_valid())
-        ids = known.column(0).to_numpy()
+        ids, versions = (known.column(k).to_numpy() for k in (0, 2))
         for g in groups(known.column(1).to_pylist(), length, gram):
-            doc = ids[g.text]
-            order = np.lexsort((g.c, doc))
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (np.diff(doc[order]) != 0) | (np.diff(g.c[order]) != 0)
-            once = order[new]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[once]), pa.array(g.h[once]), pa.array(g.c[once])], names=["doc_id", "h", "c"])
+            columns = (ids[g.text], versions[g.text], g.h, g.c, g.first + g.shift, g.last + g.shift + length)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "v", "h", "c", "a", "b"])
 
 
 class SuffixAutomaton:
@@ -227,7 +227,7 @@ def _shard_spans(it: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             automaton.add(text, min(doc, other), max(doc, other))
         automaton.close()
         for kind, doc, a, _, _, text in shard:
-            if kind == 3:
+            if kind:
                 start = end = None
                 for e, n in enumerate(automaton.matches(text, doc), 1):
                     if n >= length:
@@ -258,74 +258,59 @@ def _spans_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["doc_id", "a", "b"])
 
 
-_PARTS = "kind bigint, doc_id bigint, a bigint, b bigint, w bigint, other bigint, h bigint, region string"
-
-
-def _interval_rows(it: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """kind 0: a stretch shared whole; 1 and 2: a window to compare, of the document or of a representative; 3 and 4: a region to compare, alike."""
-    names = ["kind", "doc_id", "a", "b", "w", "other", "h", "region"]
+def _windows(it: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The windows of regions, with their hashes."""
+    names = ["own", "doc_id", "a", "b", "other", "h", "w"]
     for batch in it:
-        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names[:-1]]
-        regions: list[str | None] = []
-
-        def put(kind: int, doc: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, other: int, h: int = 0, region: str | None = None) -> None:
-            for column, part in zip(out, (np.full(len(a), kind), np.full(len(a), doc), a, b, w, np.full(len(a), other), np.full(len(a), h))):
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names]
+        for h, own, doc, start, _, other, region in zip(*(c.to_pylist() for c in batch.columns)):
+            w = Hashes(np.frombuffer(region.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)).grams(length).view(np.int64)
+            a = start + np.arange(len(w))
+            for column, part in zip(out, (np.full(len(w), own), np.full(len(w), doc), a, a + length, np.full(len(w), other), np.full(len(w), h), w)):
                 column.append(part.astype(np.int64))
-            regions.extend([region] * len(a))
-
-        ids, texts, known = (batch.column(i).to_pylist() for i in range(3))
-        states = [{x["c"]: (x["kind"], x["other"], x["many"]) for x in own} for own in known]
-        listed = np.fromiter((c ^ k for k, own in enumerate(states) for c in own), dtype=np.int64)
-        for g in groups(texts, length, gram):
-            hit = np.flatnonzero(np.isin(g.c ^ g.text, listed))
-            whole: dict[int, list[tuple[int, int]]] = {}
-            for x, k, c, h, first, last, shift in zip(hit.tolist(), *(v[hit].tolist() for v in (g.text, g.c, g.h, g.first, g.last, g.shift))):
-                kind, other, many = states[k].get(c, (None, 0, False))
-                if kind is None:
-                    continue
-                a, b = first + shift, last + shift + length
-                if kind:
-                    own = whole.setdefault(k, [])
-                    if own and a <= own[-1][1]:
-                        own[-1] = (own[-1][0], b)
-                    else:
-                        own.append((a, b))
-                if kind != 1 and many:
-                    s = np.arange(first, last + 1)
-                    put(2 if kind else 1, ids[k], s + shift, s + shift + length, g.hashes.of(s, s + length).view(np.int64), other)
-                elif kind != 1:
-                    put(4 if kind else 3, ids[k], np.array([a]), np.array([b]), np.zeros(1), other, h, texts[k][a:b])
-            for k, own in whole.items():
-                put(0, ids[k], np.array([x[0] for x in own]), np.array([x[1] for x in own]), np.zeros(len(own), np.int64), ids[k])
-        yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in out), pa.array(regions, pa.string())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
 
 def shared_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """doc_id, span_start, span_end of the longest unbroken stretches of shared characters."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(f"text is not null and length(text) >= {length}")
-    rows = docs.mapInArrow(lambda it: _anchor_rows(it, length, gram), "doc_id bigint, h bigint, c bigint")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(f"doc_id is not null and text is not null and length(text) >= {length}").withColumn("v", F.xxhash64("text"))
+    rows = docs.mapInArrow(lambda it: _anchor_rows(it, length, gram), "doc_id bigint, v bigint, h bigint, c bigint, a bigint, b bigint")
     shared = rows.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x <> y").select("h")
     rows = cut(rows.join(shared, "h", "left_semi"))
     regions = rows.groupBy("h", "c").agg(F.min("doc_id").alias("dmin"), F.max("doc_id").alias("dmax"))
     under = regions.groupBy("h").agg(F.count("*").alias("n"), F.max(F.col("dmin") == F.col("dmax")).alias("ends"))
-    kind = F.when(F.col("dmin") == F.col("dmax"), 0).when(F.col("ends"), 2).otherwise(1)
-    states = regions.join(under, "h").select("h", "c", "dmin", "dmax", kind.alias("kind"), (F.col("n") > shard).alias("many"))
+    states = regions.join(under, "h").select("h", "c", "dmin", "dmax", "ends", (F.col("n") > shard).alias("many"))
+    placed = cut(rows.join(states, ["h", "c"]))
+    whole = placed.where("dmin <> dmax").select("doc_id", "a", "b")
     # of a repeated region that ends elsewhere only the first document stands for the region
-    mine = rows.join(states, ["h", "c"]).select("doc_id", F.struct("c", F.when((F.col("kind") == 2) & (F.col("doc_id") != F.col("dmin")), 1).otherwise(F.col("kind")).alias("kind"), F.col("dmax").alias("other"), "many").alias("one"))
-    mine = mine.groupBy("doc_id").agg(F.collect_list("one").alias("known"))
-    parts = docs.join(mine, "doc_id").select("doc_id", "text", "known")
-    parts = cut(parts.mapInArrow(lambda it: _interval_rows(it, length, gram), _PARTS))
-    shards = parts.where("kind >= 3").select("h", "kind", "doc_id", "a", "b", "other", "region").repartition("h").sortWithinPartitions("h")
+    need = placed.where("ends and doc_id = dmin").select("h", (F.col("dmin") == F.col("dmax")).cast("bigint").alias("own"), "doc_id", "v", "a", "b", F.col("dmax").alias("other"), "many")
+    parts = cut(_cut_out(docs, need, length))
+    shards = parts.where("not many").drop("many").repartition("h").sortWithinPartitions("h")
     ends = shards.mapInArrow(lambda it: _shard_spans(it, length), "doc_id bigint, a bigint, b bigint")
-    windows = parts.where("kind in (1, 2)")
-    twice = windows.groupBy("w").agg(F.min(F.least("doc_id", "other")).alias("x"), F.max(F.greatest("doc_id", "other")).alias("y")).where("x <> y").select("w")
-    found = parts.where("kind = 0").select("doc_id", "a", "b").unionByName(windows.where("kind = 1").join(twice, "w", "left_semi").select("doc_id", "a", "b")).unionByName(ends)
+    windows = parts.where("many").drop("many").mapInArrow(lambda it: _windows(it, length), "own bigint, doc_id bigint, a bigint, b bigint, other bigint, h bigint, w bigint")
+    twice = windows.groupBy("h", "w").agg(F.min(F.least("doc_id", "other")).alias("x"), F.max(F.greatest("doc_id", "other")).alias("y")).where("x <> y").select("h", "w")
+    found = whole.unionByName(windows.where("own = 1").join(twice, ["h", "w"], "left_semi").select("doc_id", "a", "b")).unionByName(ends)
     own = Window.partitionBy("doc_id").orderBy("a", "b")
     reach = F.max("b").over(own.rowsBetween(Window.unboundedPreceding, -1))
     islands = found.withColumn("new", F.when(reach >= F.col("a"), 0).otherwise(1)).withColumn("island", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     return islands.groupBy("doc_id", "island").agg(F.min("a").cast("int").alias("span_start"), F.max("b").cast("int").alias("span_end")).drop("island")
 
 
+def _cut_out(docs: DataFrame, need: DataFrame, length: int) -> DataFrame:
+    """The regions with their characters.  Long texts are cut into chunks first, so that none is run through for each of its regions.
+
+    A region has at most ``2 length`` characters, as its windows all hold its anchor.
+    """
+    size = F.greatest(F.floor((F.length("text") - 1) / CHUNK), F.lit(0))
+    chunks = docs.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), size)))
+    piece = F.when(F.length("text") <= CHUNK, F.col("text")).otherwise(F.col("text").substr((F.col("chunk") * CHUNK + 1).cast("int"), F.lit(CHUNK + 2 * length)))
+    chunks = chunks.select("doc_id", "v", "chunk", piece.alias("piece"))
+    joined = need.withColumn("chunk", F.floor(F.col("a") / CHUNK)).join(chunks, ["doc_id", "v", "chunk"])
+    region = F.col("piece").substr((F.col("a") - F.col("chunk") * CHUNK + 1).cast("int"), (F.col("b") - F.col("a")).cast("int"))
+    # rows of one document that are repeated give their regions once
+    return joined.select("h", "own", "doc_id", "a", "b", "other", region.alias("region"), "many").dropDuplicates(["h", "own", "doc_id", "a", "region"])
+
+
 def shared_amount(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Of every document its length, its shared characters and their part of it."""
     sums = spans.groupBy("doc_id").agg(F.count("*").alias("n_spans"), F.sum(F.col("span_end") - F.col("span_start")).alias("shared_chars"))
