@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -20,6 +21,37 @@ def decode_bytes(content: Column) -> Column:
     return F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1"))
 
 
+# how a document names its own encoding
+DECLARED = re.compile(rb"encoding=[\"']([^\"']+)[\"']")
+
+
+@F.pandas_udf(StringType())
+def decode_otherwise(content: pd.Series) -> pd.Series:
+    """Bytes by the encoding their first 200 declare, else by UTF-8, else by cp1252; what that cannot read is replaced."""
+
+    def read(raw: bytes | None) -> str | None:
+        if raw is None:
+            return None
+        if m := DECLARED.search(raw[:200]):
+            try:
+                return raw.decode(m.group(1).decode("ascii", "replace"), "replace")
+            except LookupError:
+                pass
+        try:
+            return raw.decode("utf-8")
+        except UnicodeDecodeError:
+            return raw.decode("cp1252", "replace")
+
+    return content.map(read)
+
+
+def decode_declared(content: Column) -> Column:
+    """``decode_otherwise``; valid UTF-8 without a declaration stays in the JVM."""
+    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
+    plain = F.is_valid_utf8(content.cast("string")) & ~head.rlike("encoding=[\"'][^\"']+[\"']")
+    return F.when(plain, content.cast("string")).otherwise(decode_otherwise(F.when(~plain, content)))
+
+
 def indent(line: Column) -> Column:
     return F.length(line) - F.length(F.regexp_replace(line, f"^{BLANK}+", ""))
 
@@ -151,24 +183,33 @@ def xml_attributes(**values: Column) -> Column:
 
 
 def escape_html(text: Column) -> Column:
-    return F.replace(F.replace(escape_xml(text), F.lit('"'), F.lit("&quot;")), F.lit("'"), F.lit("&#x27;"))
+    return F.replace(F.replace(escape_xml(text), F.lit('"'), F.lit("&#34;")), F.lit("'"), F.lit("&#39;"))
 
 
-NUMBERED = r"(?:zie sub\s+)?nr\.\s*\d+"
+NUMBERED = r"(?U:(?:zie sub\s+)?nr\.\s*\d+)"
 
 
-def inline_markup(text: Column, corpus: Column, note_keys: Column) -> Column:
-    """References to entries become links within the corpus, and note keys glued to a word become raised links, longest first."""
+def link_numbers(text: Column, corpus: Column, root: str = "") -> Column:
+    """References to entries by number become links within the corpus."""
 
     def link(m: Column) -> Column:
-        number = F.regexp_extract(m, r"(\d+)", 1).try_cast("int")
-        inner = F.concat(F.lit('<a href="'), corpus, F.lit("/"), four_digits(number), F.lit('">nr.\u00a0'), number.cast("string"), F.lit("</a>"))
-        return F.concat(F.when(m.startswith("zie sub"), "zie sub ").otherwise(""), inner)
+        number = F.regexp_extract(m, r"(\d+)$", 1).try_cast("int")
+        shown = number.cast("string")
+        inner = F.concat(F.lit(f'<a href="{root}'), corpus, F.lit("/"), four_digits(number), F.lit('/index.html" title="Ga naar lemma '), shown, F.lit('">nr.\u00a0'), shown, F.lit("</a>"))
+        return F.coalesce(F.concat(F.when(m.startswith("zie sub"), "zie sub ").otherwise(""), inner), m)
+
+    return replace_each(text, NUMBERED, link)
+
 
-    linked = replace_each(escape_html(text), NUMBERED, link)
+def inline_markup(text: Column, corpus: Column, note_keys: Column, root: str = "") -> Column:
+    """References to entries become links within the corpus, and note keys glued to a word become raised links, longest first."""
+    linked = link_numbers(escape_html(text), corpus, root)
     longest_first = F.array_sort(F.coalesce(note_keys, F.array().cast("array<string>")), lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    raised = lambda k: F.concat(F.lit('<sup><a href="#fn-'), k, F.lit('">'), k, F.lit("</a></sup>"))
-    return F.aggregate(longest_first, linked, lambda acc, k: F.regexp_replace(acc, F.concat(F.lit("(?<=[a-zA-ZÀ-ž'])"), k, F.lit(r"(?![\da-zA-Z])")), raised(k)))
+    # a key is plain text, in the pattern and in what replaces it
+    quoted = lambda k: F.concat(F.lit("\\Q"), F.replace(k, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    meant = lambda k: F.replace(F.replace(k, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    raised = lambda k: F.concat(F.lit('<sup><a href="#fn-'), meant(k), F.lit('" id="ref-'), meant(k), F.lit('">'), meant(k), F.lit("</a></sup>"))
+    return F.aggregate(longest_first, linked, lambda acc, k: F.regexp_replace(acc, F.concat(F.lit("(?<=[a-zA-ZÀ-ž'])"), quoted(k), F.lit(r"(?![\da-zA-Z])")), raised(k)))
 
 
 def inline_notes(text: Column) -> Column:
@@ -176,13 +217,26 @@ def inline_notes(text: Column) -> Column:
     return F.filter(F.regexp_extract_all(text, F.lit(r"(?<=[A-Za-z)])(\d+[a-z]?)(?!\d)")), lambda k: ~k.rlike(r"^\d{4,}"))
 
 
+# beginnings of Dutch syllables: what may stand before the vowel
+_VOWEL = "aeiouyéèêëíìîïóòôöúùûüáàâäø"
+_ONSET = "(?:schr?|spl|spr|str|bl|br|ch|cl|cr|dr|dw|fl|fr|gl|gn|gr|kl|kn|kr|kw|ph|pl|pr|ps|qu|rh|sc|sf|sj|sk|sl|sm|sn|sp|st|th|tj|tr|ts|tw|vl|vr|wr|zw|[b-df-hj-np-tv-xz])?"
+
+
+def syllables_part(left: Column, right: Column) -> Column:
+    """Whether a word may break into syllables here: both parts have a vowel and two letters, and the second begins as a syllable does.
+
+    A rule in place of a dictionary of hyphenation.
+    """
+    stem, follow = F.regexp_extract(left, r"(\S+)-$", 1), F.regexp_extract(right, r"^\s*(\S+)", 1)
+    return stem.rlike(f"(?iu)(?=.*[{_VOWEL}])\\p{{L}}{{2,}}$") & follow.rlike(f"(?iu)^(?=\\p{{L}}{{2}}){_ONSET}[{_VOWEL}]")
+
+
 def join_hyphen(left: Column, right: Column, splits: Column | None = None) -> Column:
-    """Join a text that ends in a hyphen with what follows: before a capital the hyphen and a blank stay; else the word is closed,
-    unless ``splits`` (a predicate that knows syllables) says that it does not break there."""
+    """Join a text that ends in a hyphen with what follows: before a capital, or where ``splits`` (by default the rule of ``syllables_part``) says that the
+    word does not part there, the hyphen and a blank stay; else the word is closed."""
     stays = F.concat(left, F.lit(" "), right)
     joined = F.concat(F.substring(left, F.lit(1), F.length(left) - 1), right)
-    keep = right.rlike(r"^\p{Lu}")
-    return F.when(keep, stays).otherwise(joined if splits is None else F.when(splits, joined).otherwise(stays))
+    return F.when(right.rlike(r"^\p{Lu}") | (F.trim(right) == ""), stays).when(syllables_part(left, right) if splits is None else splits, joined).otherwise(stays)
 
 
 @F.pandas_udf(StringType())
@@ -222,7 +276,8 @@ def garble_whole(text: pd.Series) -> pd.Series:
 @F.pandas_udf(DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratio of matching characters by longest common blocks."""
-    return pd.Series([None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
+    # the alignment is costly: equal texts need none
+    return pd.Series([None if a is None or b is None else 1.0 if a == b else difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
 
 
 @F.pandas_udf(StructType([StructField("only_left", ArrayType(StringType())), StructField("only_right", ArrayType(StringType()))]))

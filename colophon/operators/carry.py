@@ -57,6 +57,15 @@ def trim_trailing(df: DataFrame, drop: Column, part: list[str], order: str) -> D
     return df.withColumn("_last", last).where(F.col(order) <= F.col("_last")).drop("_last")
 
 
-def neighbours(df: DataFrame, value: str, part: list[str], before: str = "prev_nr", after: str = "next_nr") -> DataFrame:
-    over = _over(part, [value])
-    return df.withColumn(before, F.lag(value).over(over)).withColumn(after, F.lead(value).over(over))
+def neighbours(df: DataFrame, value: str, part: list[str], before: str = "prev_nr", after: str = "next_nr", chunk: int = 1024) -> DataFrame:
+    """The values before and after each, of distinct whole numbers.
+
+    As in ``two_level_carry``, neighbours are looked up within chunks of values, and only the least and the greatest value of each chunk are sorted over a
+    part, so no part is sorted in one task.
+    """
+    rows = df.withColumn("_chunk", F.floor(F.col(value) / chunk))
+    inner, outer = _over([*part, "_chunk"], [value]), _over(part, ["_chunk"])
+    ends = rows.groupBy(*part, "_chunk").agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
+    ends = ends.select(*part, "_chunk", F.lag("_most").over(outer).alias("_before"), F.lead("_least").over(outer).alias("_after"))
+    found = rows.withColumn(before, F.lag(value).over(inner)).withColumn(after, F.lead(value).over(inner)).join(ends, [*part, "_chunk"])
+    return found.withColumns({before: F.coalesce(before, "_before"), after: F.coalesce(after, "_after")}).drop("_chunk", "_before", "_after")

@@ -140,7 +140,7 @@ def first_places(lines: DataFrame, starts: DataFrame, between: str) -> DataFrame
 
 
 def locate_starts(lines: DataFrame, starts: DataFrame, key: str, seq: str, text: str = "text", flexible: bool = False) -> DataFrame:
-    """Where each start text stands first: as written, else wrongly decoded once, else twice; as a part of a line or over line ends.
+    """Where each start text stands first, and in which form: as written, else wrongly decoded once, else twice; as a part of a line or over line ends.
 
     ``flexible`` lets runs of blanks match one another.
     """
@@ -152,4 +152,11 @@ def locate_starts(lines: DataFrame, starts: DataFrame, key: str, seq: str, text:
     places = cut(first_places(b.where("text <> ''") if flexible else b, a.select(F.explode(F.array("_0", "_1", "_2")).alias("_f")).where("_f <> ''"), " " if flexible else "\n"))
     for c in ("_0", "_1", "_2"):
         a = a.join(places.select(F.col("_f").alias(c), F.col("_at").alias(f"_at{c}")), c, "left")
-    return a.select(key, F.coalesce("_at_0", "_at_1", "_at_2").cast(lines.schema[seq].dataType).alias(seq))
+    found = F.when(F.col("_at_0").isNotNull(), F.col("_0")).when(F.col("_at_1").isNotNull(), F.col("_1")).when(F.col("_at_2").isNotNull(), F.col("_2"))
+    return a.select(key, F.coalesce("_at_0", "_at_1", "_at_2").cast(lines.schema[seq].dataType).alias(seq), found.alias("found"))
+
+
+def untagged(starts: DataFrame, lines: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Starts without those whose mark stands in the text already."""
+    marks = lines.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(r'schuttenr="(\d+)"'), F.lit(1))).alias("_nr")).select(F.col("_nr").try_cast("bigint").alias("_nr")).distinct()
+    return starts.join(marks, F.col(key) == F.col("_nr"), "left_anti")

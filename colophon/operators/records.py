@@ -62,6 +62,13 @@ def assemble(toc: DataFrame, lines: DataFrame, notes: DataFrame, periods: DataFr
     return toc.join(body, key, "left").join(note, key, "left").join(periods, key, "left")
 
 
+def enrich(records: DataFrame, mentions: DataFrame, meta: DataFrame) -> DataFrame:
+    """Nested records with their metadata and where their subject is mentioned, in the order of the index and its pages."""
+    key = ["corpus", "schutte_nr"]
+    places = mentions.groupBy("corpus", F.col("subject").alias("schutte_nr")).agg(F.sort_array(F.collect_list(F.struct("person_seq", "pos", F.col("schutte_nr").alias("nr")))).alias("mentioned_in"))
+    return records.join(meta, key, "left").join(places, key, "left")
+
+
 def display_blocks(lines: DataFrame, part: list[str], order: str, joined) -> DataFrame:
     """Neighbouring lines of a zone as one block; ``joined`` joins a block so far with its next line.  Preformatted lines stand alone."""
     numbered = carry.islands(lines, F.col("zone"), "block", part, [order], F.col("zone") == "pre_html")

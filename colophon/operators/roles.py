@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colophon.functions import text as T
@@ -49,3 +49,10 @@ def role_index(roles_: DataFrame, begin: str = "beginjaar", nr: str = "schutte_n
     spelt = roles_.groupBy("role_key", "role").agg(F.count("*").alias("n"), F.min(F.struct(year.alias("y"), F.col(nr).alias("nr"), F.col(last).alias("k"), F.col("pos"))).alias("first"))
     best = F.min_by("role", F.struct((-F.col("n")).alias("n"), F.col("first"), F.col("role")))
     return spelt.groupBy("role_key").agg(F.sum("n").alias("n"), best.alias("role"), F.min("first.y").alias("first_year"))
+
+
+def role_persons(roles_: DataFrame, begin: str = "beginjaar", nr: str = "schutte_nr", last: str = "lemma_id") -> DataFrame:
+    """The persons of every role in the order of first year (unknown last) and number; one row a person, so a common role is no single row."""
+    year = F.nullif(F.col(begin), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("role_key").orderBy(F.coalesce(year, F.lit(9999)), nr, last, "pos"))
+    return roles_.withColumn("place", place)

@@ -80,12 +80,18 @@ def type_lines(lines: DataFrame, part: list[str], order: str, text: str = "text"
     return df.withColumn("type", F.coalesce("_fixed", "_state", F.lit("loopbaan"))).drop("_fixed", "_state")
 
 
+# fixed values: lines of an index
 SEE_ALSO = r"(?i)^(.+?),?\s+zie(?:\s+ook)?\s+(.+)$"
 WITH_NUMBER = r"^(.+?)\s+\((\d+)\)\s+(.+)$"
 WITH_PAGES = r"^([A-Za-zÀ-öø-ÿ.,\s()*'\-/]+?)\s+(\d[\d\s,/]*)$"
 SKIPPED = r"^(<\?xml|INDEX|Alleen|waar zij|\s*[A-Z]\s*$)"
 
 
+def _named(before: Column) -> Column:
+    """The name before its pages, without the comma that parts them."""
+    return F.regexp_replace(F.trim(before), ",+$", "")
+
+
 def parse_person_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """kind, name, nr, pages and see_also of every line of a person index; lines that are none are dropped."""
     t = F.col(line)
@@ -93,11 +99,12 @@ def parse_person_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     kind = F.when(see, "see").when(t.rlike(WITH_NUMBER), "entry").when(t.rlike(WITH_PAGES), "mention").when(t.rlike("[A-Za-z]"), "bare")
     df = lines.where((t != "") & ~t.rlike(SKIPPED)).withColumn("kind", kind).where("kind is not null")
     k = F.col("kind")
-    name = F.when(k == "see", F.regexp_extract(t, SEE_ALSO, 1)).when(k == "entry", F.regexp_extract(t, WITH_NUMBER, 1)).when(k == "mention", F.regexp_extract(t, WITH_PAGES, 1)).otherwise(t)
+    name = F.when(k == "see", F.regexp_extract(t, SEE_ALSO, 1)).when(k == "entry", F.regexp_extract(t, WITH_NUMBER, 1)).when(k == "mention", _named(F.regexp_extract(t, WITH_PAGES, 1))).otherwise(t)
     pages = F.when(k == "entry", F.regexp_extract(t, WITH_NUMBER, 3)).when(k == "mention", F.regexp_extract(t, WITH_PAGES, 2)).otherwise("")
     return df.withColumns({"name": F.trim(name), "nr": F.when(k == "entry", F.regexp_extract(t, WITH_NUMBER, 2).try_cast("int")), "pages": T.page_list(pages), "see_also": F.when(k == "see", F.trim(F.regexp_extract(t, SEE_ALSO, 2)))})
 
 
+# fixed value
 PLACE_SEE = r"(?i)^(.+?),?\s+zie\s+(.+)$"
 
 
@@ -107,4 +114,4 @@ def parse_place_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     see = t.rlike(PLACE_SEE) & ~F.regexp_extract(t, PLACE_SEE, 2).rlike(r"\d")
     df = lines.where((t != "") & ~t.rlike(SKIPPED)).withColumn("kind", F.when(see, "see").when(t.rlike(WITH_PAGES), "mention")).where("kind is not null")
     k = F.col("kind")
-    return df.withColumns({"place": F.trim(F.when(k == "see", F.regexp_extract(t, PLACE_SEE, 1)).otherwise(F.regexp_extract(t, WITH_PAGES, 1))), "pages": T.page_list(F.when(k == "mention", F.regexp_extract(t, WITH_PAGES, 2)).otherwise("")), "see_also": F.when(k == "see", F.trim(F.regexp_extract(t, PLACE_SEE, 2)))})
+    return df.withColumns({"place": F.when(k == "see", F.trim(F.regexp_extract(t, PLACE_SEE, 1))).otherwise(_named(F.regexp_extract(t, WITH_PAGES, 1))), "pages": T.page_list(F.when(k == "mention", F.regexp_extract(t, WITH_PAGES, 2)).otherwise("")), "see_also": F.when(k == "see", F.trim(F.regexp_extract(t, PLACE_SEE, 2)))})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from colophon.functions import text as T
 from colophon.operators import carry, features, joins, records, refs, roles, rules, shred
-from colophon.session import table, work_folder
+from colophon.session import cut, table, work_folder
 from colophon.sources import metadata, pages, sinks
 from colophon.streaming import ingest
 
@@ -95,13 +95,18 @@ def _sessions(spark, d):
 
 def page_lines(spark, d):
     df = pages.page_lines(pages_once(spark, d))
-    return df.select("corpus", "page_nr", "line_no", T.indent(F.col("line")).alias("indent"), F.length("line").alias("n_chars"))
+    return df.select("corpus", "page_nr", "line_no", T.indent(F.col("line")).alias("indent"), F.md5("line").alias("line_md5"))
 
 
 def page_text(spark, d):
     text = T.html_text(T.decode_bytes(F.col("content")))
     df = pages_once(spark, d).where("content is not null").select("corpus", "page_nr", text.alias("t"))
-    return df.select("corpus", "page_nr", F.when(F.col("t") == "", 0).otherwise(F.size(F.split("t", "\n"))).alias("n_lines"), F.length("t").alias("n_chars"))
+    return df.select("corpus", "page_nr", F.when(F.col("t") == "", 0).otherwise(F.size(F.split("t", "\n"))).alias("n_lines"), F.md5("t").alias("text_md5"))
+
+
+def decoded_pages(spark, d):
+    """Pages read by the encoding they declare, else as UTF-8, else as cp1252."""
+    return pages_once(spark, d).where("content is not null").select("corpus", "page_nr", F.md5(T.decode_declared(F.col("content"))).alias("text_md5"))
 
 
 def page_zones(spark, d):
@@ -115,7 +120,7 @@ def line_zones(spark, d):
 
 def record_lines(spark, d):
     df = records.record_lines(_sessions(spark, d))
-    return df.groupBy("corpus", F.col("record_nr").alias("schutte_nr"), "record_zone").agg(F.count("*").alias("n"), F.min("line_no").alias("first_line"))
+    return df.select("corpus", F.col("record_nr").alias("schutte_nr"), "page_nr", "line_no", "record_zone", F.md5("text").alias("text_md5"))
 
 
 def record_periods(spark, d):
@@ -126,11 +131,26 @@ def record_notes(spark, d):
     return records.attach_notes(_sessions(spark, d), PAGE, LINE)
 
 
+def _nested(spark, d):
+    # lines, notes and periods are three aggregates of the same sessions
+    s = cut(_sessions(spark, d))
+    toc = toc_once(spark, d).select("corpus", "schutte_nr", "title", "chapter")
+    return records.assemble(toc, records.record_lines(s), records.attach_notes(s, PAGE, LINE), records.record_periods(s, ["page_nr", "line_no"]), ["page_nr", "line_no"])
+
+
 def records_nested(spark, d):
-    s = _sessions(spark, d)
-    toc = toc_once(spark, d).select("corpus", "schutte_nr", "title")
-    df = records.assemble(toc, records.record_lines(s), records.attach_notes(s, PAGE, LINE), records.record_periods(s, ["page_nr", "line_no"]), ["page_nr", "line_no"])
-    return df.select("corpus", "schutte_nr", "title", "period", F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("footnotes"), F.lit(0)).alias("n_notes"))
+    """Nested records; their lines and notes are shown as fingerprints."""
+    lines = F.array_join(F.transform("lines", lambda x: F.concat_ws("|", x["zone"], x["indent"].cast("string"), x["text"])), "\n")
+    notes = F.array_join(F.transform(F.array_sort(F.map_entries("footnotes")), lambda x: F.concat_ws("|", x["key"], x["value"])), "\n")
+    return _nested(spark, d).select("corpus", "schutte_nr", "title", "period", F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"), F.md5(lines).alias("lines_md5"), F.coalesce(F.size("footnotes"), F.lit(0)).alias("n_notes"), F.md5(notes).alias("notes_md5"))
+
+
+def records_enriched(spark, d):
+    """Nested records with metadata and mentions: lines, notes and places of mention in one row."""
+    meta = joins.last_wins(entries(spark, d, "corpus", "schutte_nr", "name", "beginjaar", "eindjaar"), ["corpus", "schutte_nr"], ["lemma_id"]).drop("lemma_id")
+    df = records.enrich(_nested(spark, d), mentioned_in(spark, d), meta)
+    mentions = F.array_join(F.transform("mentioned_in", lambda x: F.concat_ws(":", x["person_seq"].cast("string"), x["pos"].cast("string"), x["nr"].cast("string"))), ",")
+    return df.select("corpus", "schutte_nr", "title", "chapter", "period", "name", "beginjaar", "eindjaar", F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("footnotes"), F.lit(0)).alias("n_notes"), F.md5(F.coalesce(mentions, F.lit(""))).alias("mentions_md5"))
 
 
 def zone_carry(spark, d):
@@ -172,7 +192,7 @@ def _typed(spark, d):
 
 
 def line_types(spark, d):
-    return _typed(spark, d).groupBy("lemma_id", "type").agg(F.count("*").alias("n"), F.min("line_no").alias("first_line"))
+    return _typed(spark, d).select("lemma_id", "line_no", "type", F.md5("text").alias("text_md5"))
 
 
 def prev_next(spark, d):
@@ -259,8 +279,27 @@ def role_index(spark, d):
     return roles.role_index(roles.roles(entries(spark, d, "corpus", "schutte_nr", "beginjaar", "functie")))
 
 
+def role_persons(spark, d):
+    """The persons of every role, in order."""
+    rows = roles.role_persons(roles.roles(entries(spark, d, "corpus", "schutte_nr", "name", "givenname", "intraposition", "beginjaar", "eindjaar", "category", "functie")))
+    year = lambda c: F.nullif(F.col(c), F.lit(0))
+    return rows.select("role_key", "place", "role", "corpus", "schutte_nr", T.full_name(F.col("givenname"), F.col("intraposition"), F.col("name")).alias("name"), year("beginjaar").alias("begin"), year("eindjaar").alias("end"), F.coalesce("category", F.lit("")).alias("category"))
+
+
 def chapters(spark, d):
-    return features.chapters(entries(spark, d, "corpus", "schutte_nr", "toc_chapter", "beginjaar"))
+    """The chapters of the register of contents with their entries."""
+    contents = toc_once(spark, d).select("corpus", "chapter", "schutte_nr", F.coalesce("full_title", F.lit("")).alias("title"))
+    return features.chapters(contents, entries(spark, d, "corpus", "schutte_nr", "beginjaar", "eindjaar", "functie"))
+
+
+def persons_sorted(spark, d):
+    """The index of persons by name."""
+    return index_once(spark, d).select("name", "person_seq", "corpus", "schutte_nr").orderBy("name", "person_seq")
+
+
+def places_sorted(spark, d):
+    """The index of places by name."""
+    return place_lines(spark, d).select("place", "doc_id", "line_no", "pages").orderBy("place", "doc_id", "line_no")
 
 
 def search_index(spark, d):
@@ -280,7 +319,37 @@ def corpus_counts(spark, d):
     a = entries(spark, d, "corpus").groupBy("corpus").agg(F.count("*").alias("n")).withColumn("what", F.lit("entries"))
     b = index_once(spark, d).groupBy("corpus").agg(F.count("*").alias("n")).withColumn("what", F.lit("persons"))
     c = pages_once(spark, d).groupBy("corpus").agg(F.count("*").alias("n")).withColumn("what", F.lit("pages"))
-    return a.unionByName(b).unionByName(c)
+    listed = table(spark, d, "documents").where("source = 'geo_index'").select("corpus", "text")
+    e = rules.parse_place_lines(pages.index_lines(listed)).groupBy("corpus").agg(F.count("*").alias("n")).withColumn("what", F.lit("places"))
+    return a.unionByName(b).unionByName(c).unionByName(e)
+
+
+def _surveyed(spark, d):
+    return features.surveyed(pages.page_lines(pages_once(spark, d)))
+
+
+def survey_patterns(spark, d):
+    return features.survey_patterns(_surveyed(spark, d))
+
+
+def survey_pages(spark, d):
+    return features.survey_pages(_surveyed(spark, d), pages_once(spark, d).where("content is not null").select("corpus", "page_nr"))
+
+
+def survey_anomalies(spark, d):
+    """Lines at the margin that look like nothing known."""
+    return _surveyed(spark, d).where("pattern = 'other'").select("corpus", "page_nr", "line_no", "begins")
+
+
+def note_contexts(spark, d):
+    """Figures glued to words in the texts of entries, with what stands around them."""
+    return features.note_contexts(entries(spark, d, "text").where("text is not null"))
+
+
+def paired_pages(spark, d):
+    """The k-th page of one corpus beside the k-th of the other."""
+    both = {c: pages_once(spark, d).where(F.col("corpus") == c).select(F.lit(1).alias("all"), "page_nr", F.col("page_nr").alias(c)) for c in ("nl", "bl")}
+    return joins.pair_in_order(both["nl"], both["bl"], ["all"], "page_nr").select("k", "nl", "bl")
 
 
 def indent_histogram(spark, d):
@@ -343,6 +412,13 @@ def inline_markup(spark, d):
     return df.select("lemma_id", T.inline_markup(F.col("text"), F.col("corpus"), F.map_keys("footnotes")).alias("html"))
 
 
+def number_links(spark, d):
+    """Texts of entries in which numbered references are links."""
+    df = entries(spark, d, "corpus", "schutte_nr", "text").where("text is not null")
+    text = F.concat(T.escape_html(F.col("text")), F.lit(" (zie sub nr.  "), F.col("schutte_nr").cast("string"), F.lit("), nr."), F.col("lemma_id").cast("string"))
+    return df.select("lemma_id", F.md5(T.link_numbers(text, F.col("corpus"))).alias("html_md5"))
+
+
 def inline_notes(spark, d):
     text = F.concat(F.lit("rapport"), F.col("p_size").cast("string"), F.lit(" van"), F.col("p_partkey").cast("string"), F.lit("a en x"), (F.col("p_partkey") + 10000).cast("string"))
     return table(spark, d, "part").select("p_partkey", F.array_join(T.inline_notes(text), ",").alias("notes"))
@@ -357,22 +433,26 @@ def page_hyphens(spark, d):
 
 def entry_xml(spark, d):
     typed = _typed(spark, d)
-    meta = entries(spark, d, "corpus", "schutte_nr", "name", "givenname", "beginjaar", "eindjaar", "functie").drop("lemma_id").dropDuplicates(["corpus", "schutte_nr"])
-    docs = sinks.lemma_xml(typed, meta, "line_no")
-    # read back: what was typed is found again
-    back = pages.lemma_xml_lines(docs)
-    return back.groupBy("corpus", "schutte_nr", "zone").agg(F.count("*").alias("n"))
+    meta = joins.last_wins(entries(spark, d, "corpus", "schutte_nr", "name", "givenname", "beginjaar", "eindjaar", "functie"), ["corpus", "schutte_nr"], ["lemma_id"]).drop("lemma_id")
+    return sinks.lemma_xml(typed, meta, "line_no").select("corpus", "schutte_nr", F.md5("xml").alias("xml_md5"))
+
+
+def entry_xml_lines(spark, d):
+    """Entry documents read back: what was typed is found again."""
+    typed = _typed(spark, d)
+    bare = typed.select("corpus", "schutte_nr").distinct().selectExpr("*", *[f"cast(null as string) as {c}" for c in ("name", "givenname", "beginjaar", "eindjaar", "functie")])
+    return pages.lemma_xml_lines(sinks.lemma_xml(typed, bare, "line_no")).groupBy("corpus", "schutte_nr", "zone").agg(F.count("*").alias("n"))
 
 
 def corpus_pages(spark, d):
     df = printed_lines(spark, d).withColumn("text", T.strip(F.col("line")))
-    return sinks.corpus_xml(df, ["corpus", "page_nr"], "line_no").select("corpus", "page_nr", F.length("xml").alias("n_chars"))
+    return sinks.corpus_xml(df, ["corpus", "page_nr"], "line_no").select("corpus", "page_nr", F.md5("xml").alias("xml_md5"))
 
 
 def start_locations(spark, d):
     lines = entries(spark, d, "corpus", "schutte_nr", "lines").select((F.col("lemma_id") * 1000).alias("base"), F.explode("lines").alias("l")).where("l.text is not null").select((F.col("base") + F.col("l.seq")).alias("seq"), "l.text")
     starts = entries(spark, d, "lines").select("lemma_id", F.get("lines", F.lit(0))["text"].alias("start")).where("start is not null")
-    return joins.locate_starts(lines, starts, "lemma_id", "seq", flexible=True)
+    return joins.locate_starts(lines, starts, "lemma_id", "seq", flexible=True).drop("found")
 
 
 def start_fragments(spark, d):
@@ -381,7 +461,15 @@ def start_fragments(spark, d):
     starts = entries(spark, d, "lines").select("lemma_id", F.get("lines", F.lit(0))["text"].alias("one"), F.get("lines", F.lit(1))["text"].alias("two"))
     over = F.concat(F.substring("one", 11, 1000), F.lit("\n"), F.substring("two", 1, 8))
     starts = starts.select("lemma_id", F.when(F.col("lemma_id") % 2 == 0, over).otherwise(F.substring("one", 5, 24)).alias("start"))
-    return joins.locate_starts(lines, starts, "lemma_id", "seq")
+    return joins.locate_starts(lines, starts, "lemma_id", "seq").drop("found")
+
+
+def tagged_starts(spark, d):
+    """Lines of entries in which the starts of entries are wrapped in their marks."""
+    lines = entries(spark, d, "lines").select("lemma_id", F.explode("lines").alias("l")).select((F.col("lemma_id") * 1000 + F.col("l.seq")).alias("seq"), "l.text").where("text is not null")
+    starts = entries(spark, d, "lines").select("lemma_id", F.substring(F.get("lines", F.lit(0))["text"], 5, 24).alias("start"))
+    located = joins.locate_starts(lines, joins.untagged(starts, lines, "lemma_id"), "lemma_id", "seq")
+    return sinks.tagged_lines(lines, located.withColumnRenamed("lemma_id", "schutte_nr"), "seq").where(F.col("text").contains("<start ")).select("seq", "text")
 
 
 def segments(spark, d):
@@ -389,8 +477,9 @@ def segments(spark, d):
     df = entries(spark, d, "corpus", "schutte_nr", "text").where("text is not null")
     one = F.concat(F.lit('<start schuttenr="'), F.col("schutte_nr").cast("string"), F.lit('">x</start>'), F.replace("text", F.lit("\n"), F.lit("<br>")))
     raw = df.groupBy("corpus", F.floor(F.col("schutte_nr") / 10).alias("part")).agg(F.concat(F.lit("<root>"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("schutte_nr", "lemma_id", one.alias("x")))), lambda r: r["x"]), ""), F.lit("</root>")).alias("text"))
-    cut = pages.split_at_starts(raw).withColumnRenamed("segment", "text")
-    return pages.block_lines(cut).groupBy("corpus", "schutte_nr").agg(F.count("*").alias("n_lines"))
+    parts = pages.split_at_starts(raw).withColumnRenamed("segment", "text")
+    own = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda r: r["line"]), "\n")
+    return pages.block_lines(parts).groupBy("corpus", "schutte_nr").agg(F.count("*").alias("n_lines"), F.md5(own).alias("lines_md5"))
 
 
 def _hocr(spark, d):
@@ -407,13 +496,24 @@ def hocr_lines(spark, d):
     return df.select("lemma_id", "line_no", "x", "indent", "text", F.size(pages.low_confidence(F.col("words"))).alias("low"))
 
 
+def _both_readings(spark, d):
+    """The page text of an entry and its hOCR, paired by key: those without the other are passed over."""
+    html = entries(spark, d, "text").where("text is not null").select("lemma_id", T.html_text(F.replace("text", F.lit("\n"), F.lit("<br>"))).alias("a"))
+    lines = pages.hocr_lines(_hocr(spark, d))
+    hocr = lines.groupBy("lemma_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "text"))), lambda r: r["text"]), "\n").alias("b"), F.sum(F.size(pages.low_confidence(F.col("words")))).alias("low_conf"))
+    return html.join(hocr, "lemma_id")
+
+
 def ocr_quality(spark, d):
-    """Both readings of an entry side by side: how alike they are, and the lines of one only."""
-    df = entries(spark, d, "lines", "text").where("text is not null and lines is not null")
-    left = F.array_join(F.transform("lines", lambda r: F.coalesce(r["text"], F.lit(""))), "\n")
-    df = df.select("lemma_id", left.alias("a"), F.col("text").alias("b"))
-    diff = df.select("lemma_id", F.round(T.similarity("a", "b"), 6).alias("similarity"), T.line_difference("a", "b").alias("d"))
-    return diff.select("lemma_id", "similarity", F.size("d.only_left").alias("only_left"), F.size("d.only_right").alias("only_right"))
+    """Both readings of an entry side by side: how alike they are, the lines of one only, and words read with low confidence."""
+    diff = _both_readings(spark, d).select("lemma_id", "low_conf", F.round(T.similarity("a", "b"), 6).alias("similarity"), T.line_difference("a", "b").alias("d"))
+    return diff.select("lemma_id", "similarity", F.size("d.only_left").alias("only_left"), F.size("d.only_right").alias("only_right"), "low_conf")
+
+
+def ocr_lines(spark, d):
+    """Lines and words of low confidence of both readings of an entry."""
+    n = lambda c: F.when(F.col(c) == "", 0).otherwise(F.size(F.split(c, "\n")))
+    return _both_readings(spark, d).select("lemma_id", n("a").alias("html_lines"), n("b").alias("hocr_lines"), "low_conf")
 
 
 def repaired_rounds(spark, d):
@@ -434,7 +534,7 @@ def metadata_rows(spark, d):
     df = entries(spark, d, "corpus", "schutte_nr", "name", "givenname", "beginjaar", "eindjaar", "functie", "category")
     sheet = df.select("corpus", F.col("lemma_id").alias("row_seq"), F.concat(F.col("schutte_nr").cast("string"), F.lit(".0")).alias("schuttenr"), "name", "givenname", F.col("beginjaar").cast("string").alias("schutte_beginjaar"), F.lit("0").alias("derived_beginjaar"), F.col("eindjaar").cast("string").alias("derived_eindjaar"), F.col("functie").alias("schutte_functie"), "category")
     shaped = joins.last_wins(metadata.shape_metadata(sheet, "derived"), ["corpus", "schutte_nr"], ["row_seq"])
-    return shaped.select("corpus", "schutte_nr", "name", "givenname", "beginjaar", "eindjaar", "functie", "category")
+    return shaped.select("corpus", "schutte_nr", "name", "givenname", "beginjaar", "eindjaar", "functie", "category").orderBy("corpus", "schutte_nr")
 
 
 def new_pages(spark, d):
@@ -450,6 +550,7 @@ QUERIES = {
         page_lines, page_text, page_zones, line_zones, record_lines, record_periods, record_notes, records_nested, zone_carry, lookahead_reclass, carry_two_level, islands, display_blocks, trim_trailing, line_types, prev_next,
         toc_chapters, toc_levels, toc_join, overlay, meta_last_wins, year_precedence, page_refs, mentioned_in, ordered_distinct, person_lines, place_lines, role_index, chapters, search_index, timeline, decade_grid, corpus_counts,
         indent_histogram, page_tails, first_by_year, verify_status, verify_report, title_lookup, assembled_names, roman_links, loose_links, entry_links, inline_markup, inline_notes, page_hyphens, entry_xml, corpus_pages, start_locations, start_fragments, segments,
+        decoded_pages, records_enriched, role_persons, persons_sorted, places_sorted, survey_patterns, survey_pages, survey_anomalies, note_contexts, paired_pages, number_links, entry_xml_lines, tagged_starts, ocr_lines,
         hocr_lines, ocr_quality, repaired_rounds, streamed_pages, metadata_rows, new_pages,
     )
 }
@@ -459,8 +560,12 @@ decoded as (select corpus, page_nr, coalesce(try(decode(content)), array_to_stri
 plines as (select corpus, page_nr, unnest(string_split(t, '<br>')) as line, unnest(range(len(string_split(t, '<br>')))) as line_no from decoded)"""
 _INDENT = f"length(line) - length(regexp_replace(line, '^{_BLANK}+', ''))"
 _STRIP = f"regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g')"
+_SURVEY = f"""surveyed as (select *, case when indent <> 0 then null when regexp_matches(bare, '^\\d+[a-z]?\\.\\s') then 'footnote' when regexp_matches(bare, '^\\d{{4}}') then 'period_header' when regexp_matches(bare, '^\\d+\\.\\s{{3,6}}[A-Z]') then 'lemma_entry' else 'other' end as pattern
+  from (select corpus, page_nr, line_no, {_INDENT} as indent, regexp_replace(line, '^{_BLANK}+', '') as bare from plines where {_STRIP} <> '' and not regexp_matches({_STRIP}, '^\\d+$')))"""
 _LAND = "regexp_replace(coalesce(toc_chapter, ''), '^[IVXLCDM]+\\.\\s*', '')"
-_ROLE = """split as (select lemma_id, schutte_nr, beginjaar, unnest(string_split_regex(functie, '[,;]')) as part, unnest(range(len(string_split_regex(functie, '[,;]')))) as pos from lem where length(functie) <= 120)"""
+_ROLE = """split as (select lemma_id, schutte_nr, beginjaar, unnest(string_split_regex(functie, '[,;]')) as part, unnest(range(len(string_split_regex(functie, '[,;]')))) as pos from lem where length(functie) <= 120),
+roled as (select *, lower(role) as role_key from (select lemma_id, schutte_nr, beginjaar, pos, trim(regexp_replace(trim(regexp_replace(trim(part), '[ \\-.]+$', '')), '^\\s*(later|voorlopig)\\s+', '', 'i')) as role from split)
+  where role <> '' and regexp_matches(role, '(agent|ambassadeur|envoy[eé]|resident|minister|commissaris|consul|secretaris|zaakgelastigde|gedeputeerde|gezant)', 'i'))"""
 _TYPED = """tl0 as (select lemma_id, corpus, schutte_nr, unnest(string_split(text, chr(10))) as text, unnest(range(len(string_split(text, chr(10))))) as line_no from lem where text is not null),
 tl1 as (select *, case when regexp_matches(text, '^\\d+\\s{5,}') then 'paginahoofd' when regexp_matches(text, '^\\d+\\.\\s{2,}') then case when try_cast(regexp_extract(text, '^(\\d+)', 1) as int) = schutte_nr then 'loopbaan' else 'noot' end
   when regexp_matches(text, '^(N\\.N?\\.B\\.W\\.|Van der Aa|Nagtglas|Elias|N\\.P\\.|N\\.A\\.|N\\.L\\.|Jb\\.|Wap\\.|Boreel|Engelbrecht|De Haan\\b|Dek,|Van Limburg Brouwer|Feenstra|Leemans|Sicco van Goslinga,)') then 'bronnen'
@@ -480,31 +585,54 @@ _STATUS = """st as (select t.corpus, t.schutte_nr, case when e.corpus is null th
   from (select * from toc1 where deleted_at is null) t left join (select corpus, schutte_nr, max(toc_page) as toc_page, bool_or(text is not null) as has_text from lem group by all) e on t.corpus = e.corpus and t.schutte_nr = e.schutte_nr)"""
 
 
+_PLACE_LINES = _LISTING.format(source="geo_index", blank=_BLANK, see=f"regexp_matches(t, {_PLACE_SEE}, 'i')", pat=_PLACE_SEE) + f""",
+placed as (select doc_id, line_no::int as line_no, kind, case kind when 'see' then trim(regexp_extract(t, {_PLACE_SEE}, 1, 'i')) else rtrim(trim(regexp_extract(t, {_NUMS}, 1)), ',') end as place, case when kind = 'mention' then {_DIGITS.format(f"regexp_extract(t, {_NUMS}, 2)")} else '' end as pages,
+  case when kind = 'see' then trim(regexp_extract(t, {_PLACE_SEE}, 2, 'i')) end as see_also from (select *, case when see then 'see' when regexp_matches(t, {_NUMS}) then 'mention' end as kind from k) where kind is not null)"""
+_NESTED = """pr as (select corpus, entry_nr as schutte_nr, arg_min(period_now, (page_nr, line_no)) as period from sessions where entry_nr is not null and period_now <> '' group by all),
+ln as (select corpus, record_nr as schutte_nr, count(*) as n, md5(string_agg(concat_ws('|', record_zone, indent, text), chr(10) order by page_nr, line_no)) as lines_md5 from sessions where record_nr is not null and zone in ('lemma_entry', 'body', 'genealogy', 'sub_note') group by all),
+nt0 as (select corpus, owner as schutte_nr, fn_nr, arg_max(fn_text, (page_nr, line_no)) as fn_text from (select *, coalesce(record_nr, first_value(entry_nr ignore nulls) over (partition by corpus, page_nr order by line_no rows between current row and unbounded following)) as owner from sessions)
+  where zone = 'footnote' and fn_nr is not null and owner is not null group by all),
+nt as (select corpus, schutte_nr, count(*) as n, md5(string_agg(concat_ws('|', fn_nr, fn_text), chr(10) order by fn_nr)) as notes_md5 from nt0 group by all)"""
+_SYLLABLES = """(length(regexp_extract(regexp_extract({0}, '(\\S+)-$', 1), '\\p{{L}}+$')) >= 2 and regexp_matches(regexp_extract(regexp_extract({0}, '(\\S+)-$', 1), '\\p{{L}}+$'), '(?i)[""" + T._VOWEL + """]')
+  and regexp_matches(regexp_extract({1}, '^\\s*(\\S+)', 1), '^\\p{{L}}{{2}}') and regexp_matches(regexp_extract({1}, '^\\s*(\\S+)', 1), '(?i)^""" + T._ONSET + "[" + T._VOWEL + """]'))"""
+
+
+def _joined(left: str, right: str) -> str:
+    return f"case when regexp_matches({right}, '^\\p{{Lu}}') or trim({right}) = '' then {left} || ' ' || {right} when {_SYLLABLES.format(left, right)} then substring({left}, 1, length({left}) - 1) || {right} else {left} || ' ' || {right} end"
+
+
 def _with(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
 SQL = {
-    "page_lines": _with(_PAGES) + f"select corpus, page_nr, line_no::int as line_no, {_INDENT} as indent, length(line) as n_chars from plines",
-    "page_text": _with(_PAGES) + f"""select corpus, page_nr, coalesce(sum(case when s <> '' then 1 end), 0)::int as n_lines, coalesce(sum(case when s <> '' then length(s) + 1 end) - 1, 0)::int as n_chars from (
-        select corpus, page_nr, regexp_replace(l, '^{_BLANK}+|{_BLANK}+$', '', 'g') as s from (select corpus, page_nr, unnest(string_split(regexp_replace(regexp_replace(t, '<br\\s*/?>', chr(10), 'gi'), '<[^>]*>', '', 'g'), chr(10))) as l from decoded)) group by all""",
+    "page_lines": _with(_PAGES) + f"select corpus, page_nr, line_no::int as line_no, {_INDENT} as indent, md5(line) as line_md5 from plines",
+    "page_text": _with(_PAGES) + f"""select corpus, page_nr, (count(*) filter (where s <> ''))::int as n_lines, md5(coalesce(string_agg(s, chr(10) order by k) filter (where s <> ''), '')) as text_md5 from (
+        select corpus, page_nr, k, regexp_replace(l, '^{_BLANK}+|{_BLANK}+$', '', 'g') as s from (select corpus, page_nr, unnest(ls) as l, unnest(range(len(ls))) as k from (select corpus, page_nr, string_split(regexp_replace(regexp_replace(t, '<br\\s*/?>', chr(10), 'gi'), '<[^>]*>', '', 'g'), chr(10)) as ls from decoded))) group by all""",
+    "decoded_pages": """with pg as (select distinct on (corpus, page_nr) corpus, page_nr, content from page_html where content is not null),
+        cp as (select [8364, 65533, 8218, 402, 8222, 8230, 8224, 8225, 710, 8240, 352, 8249, 338, 65533, 381, 65533, 65533, 8216, 8217, 8220, 8221, 8226, 8211, 8212, 732, 8482, 353, 8250, 339, 65533, 382, 376] as high)
+        select corpus, page_nr, md5(coalesce(try(decode(content)), array_to_string(list_transform(list_transform(regexp_extract_all(hex(content), '..'), lambda h: ('0x' || h)::int), lambda v: chr(case when v between 128 and 159 then high[v - 127] else v end)), ''))) as text_md5 from pg, cp""",
     "page_zones": _with(_PAGES, "printed as (select corpus, page_nr, line_no, line from plines)", _ZONED.split("from lem) where v is not null),\n")[1]) + "select corpus, zone, count(*) as n from zoned group by all",
     "line_zones": _with(_ZONED) + "select corpus, page_nr, line_no, indent, zone, fn_nr from zoned",
-    "record_lines": _with(_SESSIONS) + "select corpus, record_nr as schutte_nr, record_zone, count(*) as n, min(line_no) as first_line from sessions where record_nr is not null and zone in ('lemma_entry', 'body', 'genealogy', 'sub_note') group by all",
+    "record_lines": _with(_SESSIONS) + "select corpus, record_nr as schutte_nr, page_nr, line_no, record_zone, md5(text) as text_md5 from sessions where record_nr is not null and zone in ('lemma_entry', 'body', 'genealogy', 'sub_note')",
     "record_periods": _with(_SESSIONS) + "select corpus, entry_nr as schutte_nr, arg_min(period_now, (page_nr, line_no)) as period from sessions where entry_nr is not null and period_now <> '' group by all",
     "record_notes": _with(_SESSIONS) + """select corpus, owner as schutte_nr, fn_nr, arg_max(fn_text, (page_nr, line_no)) as fn_text from (select *, coalesce(record_nr, first_value(entry_nr ignore nulls) over (partition by corpus, page_nr order by line_no rows between current row and unbounded following)) as owner from sessions)
         where zone = 'footnote' and fn_nr is not null and owner is not null group by all""",
-    "records_nested": _with(_SESSIONS) + """, pr as (select corpus, entry_nr as schutte_nr, arg_min(period_now, (page_nr, line_no)) as period from sessions where entry_nr is not null and period_now <> '' group by all),
-        ln as (select corpus, record_nr as schutte_nr, count(*) as n from sessions where record_nr is not null and zone in ('lemma_entry', 'body', 'genealogy', 'sub_note') group by all),
-        nt as (select corpus, owner as schutte_nr, count(distinct fn_nr) as n from (select *, coalesce(record_nr, first_value(entry_nr ignore nulls) over (partition by corpus, page_nr order by line_no rows between current row and unbounded following)) as owner from sessions) where zone = 'footnote' and fn_nr is not null and owner is not null group by all)
-        select t.corpus, t.schutte_nr, t.title, pr.period, coalesce(ln.n, 0) as n_lines, coalesce(nt.n, 0) as n_notes from toc1 t left join pr on t.corpus = pr.corpus and t.schutte_nr = pr.schutte_nr left join ln on t.corpus = ln.corpus and t.schutte_nr = ln.schutte_nr left join nt on t.corpus = nt.corpus and t.schutte_nr = nt.schutte_nr""",
+    "records_nested": _with(_SESSIONS, _NESTED) + """select t.corpus, t.schutte_nr, t.title, pr.period, coalesce(ln.n, 0) as n_lines, ln.lines_md5, coalesce(nt.n, 0) as n_notes, nt.notes_md5
+        from toc1 t left join pr on t.corpus = pr.corpus and t.schutte_nr = pr.schutte_nr left join ln on t.corpus = ln.corpus and t.schutte_nr = ln.schutte_nr left join nt on t.corpus = nt.corpus and t.schutte_nr = nt.schutte_nr""",
+    "records_enriched": _with(_SESSIONS, _NESTED, _EDGES, """mentions as (select s.corpus, s.schutte_nr, string_agg(concat_ws(':', e.person_seq, e.pos, e.schutte_nr), ',' order by e.person_seq, e.pos, e.schutte_nr) as m from idx s join edges e on s.person_seq = e.person_seq and s.corpus = e.corpus
+          where s.schutte_nr is not null and s.schutte_nr <> e.schutte_nr and exists (select 1 from lem where lem.corpus = s.corpus and lem.schutte_nr = s.schutte_nr) group by all),
+        meta as (select corpus, schutte_nr, name, beginjaar, eindjaar from lem qualify row_number() over (partition by corpus, schutte_nr order by lemma_id desc) = 1)""")
+    + """select t.corpus, t.schutte_nr, t.title, t.chapter, pr.period, me.name, me.beginjaar, me.eindjaar, coalesce(ln.n, 0) as n_lines, coalesce(nt.n, 0) as n_notes, md5(coalesce(mentions.m, '')) as mentions_md5
+        from toc1 t left join pr on t.corpus = pr.corpus and t.schutte_nr = pr.schutte_nr left join ln on t.corpus = ln.corpus and t.schutte_nr = ln.schutte_nr left join nt on t.corpus = nt.corpus and t.schutte_nr = nt.schutte_nr
+        left join meta me on t.corpus = me.corpus and t.schutte_nr = me.schutte_nr left join mentions on t.corpus = mentions.corpus and t.schutte_nr = mentions.schutte_nr""",
     "zone_carry": "select event_id, last_value(case when event_type <> 'view' then event_type end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as state from events",
     "lookahead_reclass": "select event_id, case when event_type = 'click' and nxt >= 10 then 'entry' else event_type end as kind from (select *, first_value(case when event_type <> 'view' then value end ignore nulls) over (partition by user_id order by ts, event_id rows between 1 following and unbounded following) as nxt from events)",
     "carry_two_level": "select event_id, last_value(case when event_type = 'signup' then event_id end ignore nulls) over (order by ts, event_id rows between unbounded preceding and current row) as record_id from events",
     "islands": """select user_id, block, min(event_type) as event_type, count(*) as n, min(event_id) as first_event from (select *, sum(turn) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row)::int as block from (
         select *, case when p is null or p <> event_type or event_type = 'error' or p = 'error' then 1 else 0 end as turn from (select *, lag(event_type) over (partition by user_id order by ts, event_id) as p from events))) group by all""",
     "trim_trailing": _with(_ONCE) + "select lemma_id, count(*) as n, max(seq) as last_seq from (select *, max(case when zone <> 'sub_note' then seq end) over (partition by lemma_id) as keep from (select lemma_id, l.zone as zone, l.seq as seq from (select lemma_id, unnest(lines) as l from lem))) where seq <= keep group by all",
-    "line_types": _with(_ONCE, _TYPED) + "select lemma_id, type, count(*) as n, min(line_no)::int as first_line from typed group by all",
+    "line_types": _with(_ONCE, _TYPED) + "select lemma_id, line_no::int as line_no, type, md5(text) as text_md5 from typed",
     "prev_next": _with(_ONCE) + "select corpus, schutte_nr, lag(schutte_nr) over (partition by corpus order by schutte_nr) as prev_nr, lead(schutte_nr) over (partition by corpus order by schutte_nr) as next_nr from (select distinct corpus, schutte_nr from lem)",
     "toc_join": _with(_ONCE) + "select t.corpus, t.schutte_nr, t.title, coalesce(e.n, 0) as n_lines from toc1 t left join (select corpus, schutte_nr, max(coalesce(len(lines), 0)) as n from lem group by all) e on t.corpus = e.corpus and t.schutte_nr = e.schutte_nr",
     "overlay": _with(_ONCE) + "select t.corpus, t.schutte_nr, case when coalesce(e.a, '') <> '' then e.a else t.title end as title, case when coalesce(e.b, '') <> '' then e.b else t.chapter end as chapter from toc1 t left join (select corpus, schutte_nr, max(toc_title) as a, max(toc_chapter) as b from lem group by all) e on t.corpus = e.corpus and t.schutte_nr = e.schutte_nr",
@@ -514,21 +642,24 @@ SQL = {
     "mentioned_in": _with(_ONCE, _EDGES) + "select s.corpus, s.schutte_nr as subject, e.schutte_nr, e.person_seq, e.pos::int as pos from idx s join edges e on s.person_seq = e.person_seq and s.corpus = e.corpus where s.schutte_nr is not null and s.schutte_nr <> e.schutte_nr and exists (select 1 from lem where lem.corpus = s.corpus and lem.schutte_nr = s.schutte_nr)",
     "ordered_distinct": _with(_ONCE) + "select person_seq, page, min(pos)::int as pos from (select person_seq, unnest(pages) as page, unnest(range(len(pages))) as pos from idx) where page is not null group by all",
     "person_lines": _with(_LISTING.format(source="person_index", blank=_BLANK, see=f"regexp_matches(t, {_SEE}, 'i')", pat=_SEE))
-    + f"""select doc_id, line_no::int as line_no, kind, trim(case kind when 'see' then regexp_extract(t, {_SEE}, 1, 'i') when 'entry' then regexp_extract(t, {_NR}, 1) when 'mention' then regexp_extract(t, {_NUMS}, 1) else t end) as name,
+    + f"""select doc_id, line_no::int as line_no, kind, trim(case kind when 'see' then regexp_extract(t, {_SEE}, 1, 'i') when 'entry' then regexp_extract(t, {_NR}, 1) when 'mention' then rtrim(trim(regexp_extract(t, {_NUMS}, 1)), ',') else t end) as name,
         case when kind = 'entry' then try_cast(regexp_extract(t, {_NR}, 2) as int) end as nr, case kind when 'entry' then {_DIGITS.format(f"regexp_extract(t, {_NR}, 3)")} when 'mention' then {_DIGITS.format(f"regexp_extract(t, {_NUMS}, 2)")} else '' end as pages,
         case when kind = 'see' then trim(regexp_extract(t, {_SEE}, 2, 'i')) end as see_also from (select *, case when see then 'see' when regexp_matches(t, {_NR}) then 'entry' when regexp_matches(t, {_NUMS}) then 'mention' when regexp_matches(t, '[A-Za-z]') then 'bare' end as kind from k) where kind is not null""",
-    "place_lines": _with(_LISTING.format(source="geo_index", blank=_BLANK, see=f"regexp_matches(t, {_PLACE_SEE}, 'i')", pat=_PLACE_SEE))
-    + f"""select doc_id, line_no::int as line_no, kind, trim(case kind when 'see' then regexp_extract(t, {_PLACE_SEE}, 1, 'i') else regexp_extract(t, {_NUMS}, 1) end) as place, case when kind = 'mention' then {_DIGITS.format(f"regexp_extract(t, {_NUMS}, 2)")} else '' end as pages,
-        case when kind = 'see' then trim(regexp_extract(t, {_PLACE_SEE}, 2, 'i')) end as see_also from (select *, case when see then 'see' when regexp_matches(t, {_NUMS}) then 'mention' end as kind from k) where kind is not null""",
-    "role_index": _with(_ONCE, _ROLE)
-    + """, r as (select lemma_id, schutte_nr, beginjaar, pos, trim(regexp_replace(trim(regexp_replace(trim(part), '[ \\-.]+$', '')), '^\\s*(later|voorlopig)\\s+', '', 'i')) as role from split),
-        k as (select lower(role) as role_key, role, count(*) as n, min((coalesce(nullif(beginjaar, 0), 9999), schutte_nr, lemma_id, pos)) as f from r where role <> '' and regexp_matches(role, '(agent|ambassadeur|envoy[eé]|resident|minister|commissaris|consul|secretaris|zaakgelastigde|gedeputeerde|gezant)', 'i') group by all)
-        select role_key, sum(n)::bigint as n, arg_min(role, (-n, f, role)) as role, min(f[1])::int as first_year from k group by role_key""",
-    "chapters": _with(_ONCE) + "select corpus, toc_chapter as chapter, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(toc_chapter, '^[IVXLCDM]+\\.\\s*', '', 'i')), '[^\\p{L}\\p{N}_]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'onbekend') as slug, count(*) as n, string_agg(schutte_nr::varchar, ',' order by coalesce(nullif(beginjaar, 0), 9999), schutte_nr) as numbers from lem where toc_chapter is not null group by corpus, toc_chapter",
-    "search_index": _with(_ONCE) + f"select corpus, schutte_nr, coalesce(toc_title, '') as title, {_LAND} as land, beginjaar as begin, eindjaar as \"end\", case when length(coalesce(functie, '')) <= 120 then substring(coalesce(functie, ''), 1, 100) else '' end as functie from lem",
-    "timeline": _with(_ONCE) + "select corpus, schutte_nr, coalesce(nullif(trim(toc_title), ''), nullif(trim(name), ''), 'Nr. ' || schutte_nr) as name, beginjaar as start, coalesce(nullif(eindjaar, 0), beginjaar) as \"end\", category, coalesce(functie, '') as functie from lem where beginjaar <> 0",
+    "place_lines": _with(_PLACE_LINES) + "select * from placed",
+    "role_index": _with(_ONCE, _ROLE) + """select role_key, sum(n)::bigint as n, arg_min(role, (-n, f, role)) as role, min(f[1])::int as first_year
+        from (select role_key, role, count(*) as n, min((coalesce(nullif(beginjaar, 0), 9999), schutte_nr, lemma_id, pos)) as f from roled group by all) group by role_key""",
+    "role_persons": _with(_ONCE, _ROLE) + """select role_key, row_number() over (partition by role_key order by coalesce(nullif(r.beginjaar, 0), 9999), r.schutte_nr, lemma_id, pos)::int as place, role, corpus, r.schutte_nr,
+        concat_ws(' ', nullif(trim(givenname), ''), nullif(trim(intraposition), ''), nullif(trim(name), '')) as name, nullif(r.beginjaar, 0) as begin, nullif(eindjaar, 0) as "end", coalesce(category, '') as category from roled r join lem using (lemma_id)""",
+    "chapters": _with(_ONCE, """meta as (select corpus, schutte_nr, nullif(beginjaar, 0) as begin, nullif(eindjaar, 0) as e, case when length(coalesce(functie, '')) <= 120 then substring(coalesce(functie, ''), 1, 80) else '' end as functie from lem qualify row_number() over (partition by corpus, schutte_nr order by lemma_id desc) = 1)""")
+    + """select t.corpus, t.chapter, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(t.chapter, '^[IVXLCDM]+\\.\\s*', '', 'i')), '[^\\p{L}\\p{N}_]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'onbekend') as slug,
+        row_number() over (partition by t.corpus, t.chapter order by coalesce(m.begin, 9999), t.schutte_nr)::int as place, t.schutte_nr, coalesce(t.full_title, '') as title, m.begin, m.e as "end", coalesce(m.functie, '') as functie
+        from toc1 t left join meta m on t.corpus = m.corpus and t.schutte_nr = m.schutte_nr where t.chapter is not null and t.schutte_nr <> 0""",
+    "persons_sorted": _with(_ONCE) + "select name, person_seq, corpus, schutte_nr from idx order by name, person_seq",
+    "places_sorted": _with(_PLACE_LINES) + "select place, doc_id, line_no, pages from placed order by place, doc_id, line_no",
+    "search_index": _with(_ONCE) + "select corpus, schutte_nr, coalesce(toc_title, '') as title, coalesce(toc_chapter, '') as land, nullif(beginjaar, 0) as begin, nullif(eindjaar, 0) as \"end\", case when length(coalesce(functie, '')) <= 120 then substring(coalesce(functie, ''), 1, 100) else '' end as functie from lem",
+    "timeline": _with(_ONCE) + "select corpus, schutte_nr, coalesce(nullif(trim(toc_title), ''), nullif(trim(name), ''), 'Nr. ' || schutte_nr) as name, beginjaar as start, nullif(eindjaar, 0) as \"end\", coalesce(category, '') as category, coalesce(functie, '') as functie from lem where beginjaar <> 0",
     "decade_grid": _with(_ONCE) + f"select corpus, {_LAND} as land, (beginjaar // 10 * 10)::int as decade, count(*) as n from lem where beginjaar > 0 group by all",
-    "corpus_counts": _with(_ONCE) + "select corpus, count(*) as n, 'entries' as what from lem group by all union all select corpus, count(*), 'persons' from idx group by all union all select corpus, count(*), 'pages' from (select distinct corpus, page_nr from page_html) group by all",
+    "corpus_counts": _with(_ONCE, _PLACE_LINES) + "select corpus, count(*) as n, 'entries' as what from lem group by all union all select corpus, count(*), 'persons' from idx group by all union all select corpus, count(*), 'pages' from (select distinct corpus, page_nr from page_html) group by all union all select corpus, count(*), 'places' from placed join documents using (doc_id) group by all",
     "indent_histogram": _with(_PAGES) + f"select corpus, {_INDENT} as indent, count(*) as n from plines group by all",
     "page_tails": _with(_PAGES) + f"select corpus, page_nr, row_number() over (partition by corpus, page_nr order by line_no desc)::int as from_end, line_no::int as line_no from plines where {_STRIP} <> '' qualify from_end <= 8",
     "first_by_year": _with(_ONCE) + "select corpus, schutte_nr, coalesce(nullif(beginjaar, 0), 9999) as year from lem order by year, schutte_nr, corpus limit 20",
@@ -540,9 +671,40 @@ SQL = {
         from (select p_partkey, [4, 4, 2, null, null, 10, 2, 8][p_partkey % 8 + 1] as v, 'N.N.B.W. ' || ['IV', 'ïv', 'lT', 'XI', 'IIII', 'X', 'II', 'VIII'][p_partkey % 8 + 1] || ', ' || p_partkey as c from part)""",
     "loose_links": """select p_partkey, case when p_partkey % 2 = 0 then '<a href="https://example.org/nnbw/#source=4&page=' || p_partkey || '">nnbw iv, ' || p_partkey || '</a>' else 'nnbw XI, ' || p_partkey end as linked from part""",
     "inline_notes": "select p_partkey, concat_ws(',', p_size::varchar, case when p_partkey < 1000 then p_partkey || 'a' end) as notes from part",
-    "page_hyphens": _with(_ONCE) + "select lemma_id, seq, case when regexp_matches(nxt, '^\\p{Lu}') then text || ' ' || nxt else substring(text, 1, length(text) - 1) || nxt end as joined from (select *, lead(text) over (partition by lemma_id order by seq) as nxt from (select lemma_id, l.seq as seq, l.text as text from (select lemma_id, unnest(lines) as l from lem)) where text is not null) where text like '%-' and length(text) > 1 and nxt is not null",
-    "entry_xml": _with(_ONCE, _TYPED) + "select corpus, schutte_nr, case type when 'loopbaan' then 'body' when 'personalia' then 'genealogy' when 'bronnen' then 'bronnen' when 'hoofd' then 'period_header' when 'noot' then 'footnote' end as zone, count(*) as n from typed where type <> 'paginahoofd' group by all",
-    "corpus_pages": _with(_PRINTED) + f"""select corpus, page_nr, (sum(length(replace(replace(replace(s, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))) + 4 * (count(*) - 1) + 23 + length(page_nr::varchar) + case when page_nr is null then null else 0 end)::int as n_chars from (select corpus, page_nr, {_STRIP} as s from printed) group by corpus, page_nr""",
+    "page_hyphens": _with(_ONCE) + f"select lemma_id, seq, {_joined('text', 'nxt')} as joined from (select *, lead(text) over (partition by lemma_id order by seq) as nxt from (select lemma_id, l.seq as seq, l.text as text from (select lemma_id, unnest(lines) as l from lem)) where text is not null) where text like '%-' and length(text) > 1 and nxt is not null",
+    "display_blocks": "with recursive " + _ONCE + f""",
+        ls as (select lemma_id, l.zone as zone, l.text as text, l.seq as seq from (select lemma_id, unnest(lines) as l from lem) where l.text is not null),
+        turned as (select *, case when lag(1) over w is null or zone is distinct from lag(zone) over w then 1 else 0 end as turn from ls window w as (partition by lemma_id order by seq)),
+        blocked as (select *, sum(turn) over (partition by lemma_id order by seq rows between unbounded preceding and current row)::int as block from turned),
+        placed as (select *, row_number() over (partition by lemma_id, block order by seq, text) as k from blocked),
+        folded as (select lemma_id, block, k, text from placed where k = 1
+          union all select p.lemma_id, p.block, p.k, case when f.text like '%-' then {_joined('f.text', 'p.text')} else f.text || ' ' || p.text end from folded f join placed p on f.lemma_id = p.lemma_id and f.block = p.block and p.k = f.k + 1)
+        select f.lemma_id, f.block, any_value(zone) as zone, count(distinct p.k) as n_lines, arg_max(f.text, f.k) as text from folded f join placed p on f.lemma_id = p.lemma_id and f.block = p.block group by f.lemma_id, f.block""",
+    "entry_xml": _with(_ONCE, _TYPED, """esc as (select corpus, schutte_nr, line_no, '<line type="' || type || '">' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</line>' as x from typed),
+        bodies as (select corpus, schutte_nr, string_agg(x, chr(10) order by line_no, x) as body from esc group by all),
+        meta as (select corpus, schutte_nr, [['schuttenr', schutte_nr::varchar], ['corpus', corpus], ['name', name], ['givenname', givenname], ['begin', beginjaar::varchar], ['eind', eindjaar::varchar], ['functie', functie]] as a from lem qualify row_number() over (partition by corpus, schutte_nr order by lemma_id desc) = 1)""")
+    + """select b.corpus, b.schutte_nr, md5('<lemma ' || array_to_string(list_transform(list_filter(a, lambda p: coalesce(trim(p[2]), '') <> ''), lambda p: p[1] || '="' || replace(replace(replace(replace(p[2], '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '"'), ' ') || '>' || chr(10) || body || chr(10) || '</lemma>') as xml_md5
+        from bodies b join meta m on b.corpus = m.corpus and b.schutte_nr = m.schutte_nr""",
+    "entry_xml_lines": _with(_ONCE, _TYPED) + "select corpus, schutte_nr, case type when 'loopbaan' then 'body' when 'personalia' then 'genealogy' when 'bronnen' then 'bronnen' when 'hoofd' then 'period_header' when 'noot' then 'footnote' end as zone, count(*) as n from typed where type <> 'paginahoofd' group by all",
+    "corpus_pages": _with(_PRINTED) + f"""select corpus, page_nr, md5('<page number="' || page_nr || '">' || string_agg(replace(replace(replace(s, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '<br>' order by line_no, s) || '</page>') as xml_md5 from (select corpus, page_nr, line_no, {_STRIP} as s from printed) group by corpus, page_nr""",
+    "tagged_starts": _with(_ONCE) + """, li as (select base + l.seq as seq, l.text as text from (select lemma_id * 1000 as base, unnest(lines) as l from lem) where l.text is not null),
+        st as (select lemma_id, regexp_replace(substring(lines[1].text, 5, 24), '^[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{202F}]+|[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{202F}]+$', '', 'g') as start from lem),
+        met as (select lemma_id, start, min(seq) as seq from st join li on contains(text, start) where start <> '' group by all),
+        one as (select seq, arg_min(start, lemma_id) as start, min(lemma_id) as nr from met group by seq)
+        select seq, substring(text, 1, instr(text, start) - 1) || '<start schuttenr="' || nr || '">' || start || '</start>' || substring(text, instr(text, start) + length(start)) as text from li join one using (seq)""",
+    "survey_patterns": _with(_PAGES, _SURVEY) + "select corpus, pattern, count(*) as n, count(distinct page_nr) as n_pages from surveyed where pattern is not null group by all",
+    "survey_pages": _with(_PAGES, _SURVEY) + "select corpus, count(*) filter (where has) as with_notes, count(*) filter (where not has) as without_notes from (select d.corpus, d.page_nr, exists (select 1 from surveyed s where s.corpus = d.corpus and s.page_nr = d.page_nr and pattern = 'footnote') as has from decoded d) group by all",
+    "survey_anomalies": _with(_PAGES, _SURVEY) + "select corpus, page_nr, line_no::int as line_no, substring(bare, 1, 50) as begins from surveyed where pattern = 'other'",
+    "note_contexts": _with(_ONCE) + """, c as (select lemma_id, string_split_regex(text, '[\\p{L}\\p{N}_]\\d+[a-z]?\\s*[;,.\\s]') as parts, regexp_extract_all(text, '[\\p{L}\\p{N}_]\\d+[a-z]?\\s*[;,.\\s]') as marks from lem where text is not null),
+        e as (select lemma_id, unnest(marks) as mark, unnest(range(len(marks))) as pos, unnest(list_transform(range(len(marks)), lambda k: (list_sum(list_transform(parts[1:k + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(marks[1:k], lambda x: length(x))), 0))::int)) as begun from c)
+        select lemma_id, pos::int as pos, mark, substring(text, greatest(begun - 5, 0) + 1, begun + length(mark) + 5 - greatest(begun - 5, 0)) as context from e join lem using (lemma_id)""",
+    "paired_pages": """with p as (select distinct corpus, page_nr from page_html), n as (select corpus, page_nr, row_number() over (partition by corpus order by page_nr) as k from p)
+        select a.k::int as k, a.page_nr as nl, b.page_nr as bl from n a join n b on a.k = b.k where a.corpus = 'nl' and b.corpus = 'bl'""",
+    "number_links": _with(_ONCE) + """, t as (select lemma_id, corpus, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&#34;'), chr(39), '&#39;') || ' (zie sub nr.  ' || schutte_nr || '), nr.' || lemma_id as s from lem where text is not null),
+        c as (select lemma_id, corpus, string_split_regex(s, '(?:zie sub\\s+)?nr\\.\\s*\\d+') as parts, regexp_extract_all(s, '(?:zie sub\\s+)?nr\\.\\s*\\d+') as found from t),
+        made as (select lemma_id, parts, list_transform(found, lambda m: case when starts_with(m, 'zie sub') then 'zie sub ' else '' end || '<a href="' || corpus || '/' || lpad(regexp_extract(m, '(\\d+)$', 1)::int::varchar, greatest(4, length(regexp_extract(m, '(\\d+)$', 1)::int::varchar))::int, '0')
+          || '/index.html" title="Ga naar lemma ' || regexp_extract(m, '(\\d+)$', 1)::int || '">nr.' || chr(160) || regexp_extract(m, '(\\d+)$', 1)::int || '</a>') as links from c)
+        select lemma_id, md5(array_to_string(list_transform(range(len(parts)), lambda k: parts[k + 1] || coalesce(links[k + 1], '')), '')) as html_md5 from made""",
     "start_locations": _with(_ONCE) + """, li as (select base + l.seq as seq, regexp_replace(trim(l.text), '\\s+', ' ', 'g') as f from (select lemma_id * 1000 as base, unnest(lines) as l from lem) where l.text is not null)
         select s.lemma_id, m.seq from (select lemma_id, regexp_replace(trim(lines[1].text), '\\s+', ' ', 'g') as f from lem where trim(lines[1].text) <> '') s left join (select f, min(seq) as seq from li group by f) m on s.f = m.f""",
     "start_fragments": _with(_ONCE) + """, li as (select base + l.seq as seq, l.text as text from (select lemma_id * 1000 as base, unnest(lines) as l from lem) where l.text is not null),
@@ -550,7 +712,11 @@ SQL = {
         st as (select lemma_id, regexp_replace(case when lemma_id % 2 = 0 then substring(lines[1].text, 11, 1000) || chr(10) || substring(lines[2].text, 1, 8) else substring(lines[1].text, 5, 24) end, '^[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{202F}]+|[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{202F}]+$', '', 'g') as start from lem),
         found as (select lemma_id, nullif(instr(doc, start), 0) as at from st, doc where start <> '')
         select lemma_id, seq from found asof left join places on found.at >= places.place""",
-    "segments": _with(_ONCE) + "select corpus, schutte_nr, count(*) as n_lines from (select corpus, schutte_nr, trim(unnest(string_split('x' || arg_max(text, lemma_id), chr(10)))) as t from lem where text is not null group by corpus, schutte_nr) where t <> '' group by all",
+    "segments": _with(_ONCE) + f"""select corpus, schutte_nr, count(*) as n_lines, md5(string_agg(t, chr(10) order by k)) as lines_md5 from (select corpus, schutte_nr, k, regexp_replace(regexp_replace(l, '<[^>]*>', '', 'g'), '^{_BLANK}+|{_BLANK}+$', '', 'g') as t
+        from (select corpus, schutte_nr, unnest(ls) as l, unnest(range(len(ls))) as k from (select corpus, schutte_nr, string_split('x' || arg_max(text, lemma_id), chr(10)) as ls from lem where text is not null group by corpus, schutte_nr))) where t <> '' group by all""",
+    "ocr_lines": _with(_ONCE) + f"""select a.lemma_id, html_lines, hocr_lines, low_conf from
+        (select lemma_id, (count(*) filter (where t <> ''))::int as html_lines from (select lemma_id, regexp_replace(regexp_replace(l, '<[^>]*>', '', 'g'), '^{_BLANK}+|{_BLANK}+$', '', 'g') as t from (select lemma_id, unnest(string_split(regexp_replace(text, '<br\\s*/?>', chr(10), 'gi'), chr(10))) as l from lem where text is not null)) group by all) a
+        join (select lemma_id, count(*)::int as hocr_lines, sum(len(list_filter(ws, lambda s: 60 + (length(s) * 7) % 40 < 80)))::bigint as low_conf from (select lemma_id, r.indent as indent, list_filter(string_split(coalesce(r.text, ''), ' '), lambda s: s <> '') as ws from (select lemma_id, unnest(lines) as r from lem)) where 100 + indent * 50 <= 600 and len(ws) > 0 group by all) b using (lemma_id)""",
     "hocr_lines": _with(_ONCE) + """, h as (select lemma_id, unnest(list_sort(list_transform(lines, lambda r: {'seq': r.seq, 'text': coalesce(r.text, ''), 'indent': r.indent}))) as r, unnest(range(len(lines))) as line_no from lem where len(lines) > 0),
         w as (select lemma_id, line_no, 100 + r.indent * 50 as x, list_filter(string_split(r.text, ' '), lambda s: s <> '') as ws from h),
         k as (select * from w where x <= 600 and len(ws) > 0),

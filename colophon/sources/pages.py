@@ -43,8 +43,7 @@ def split_at_starts(texts: DataFrame, text: str = "text") -> DataFrame:
     return marked.groupBy(*kept, "schutte_nr").agg(F.max_by("segment", "seq").alias("segment"))
 
 
-# hOCR
-
+# fixed values: marks of hOCR
 LINE_MARK = "class='ocr_line'"
 WORD = r"class='ocrx_word'[^>]*title='[^']*x_wconf\s+(\d+)[^']*'>([^<]+)<"
 

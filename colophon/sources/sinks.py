@@ -44,7 +44,15 @@ def corpus_xml(lines: DataFrame, part: list[str], order: str) -> DataFrame:
 
 
 def tagged_lines(lines: DataFrame, starts: DataFrame, seq: str, text: str = "text") -> DataFrame:
-    """Lines in which a start was located, wrapped in its mark; of several starts on a line the least number wraps it."""
-    first = starts.where(F.col(seq).isNotNull()).groupBy(seq).agg(F.min("schutte_nr").alias("_nr"))
-    mark = F.concat(F.lit('<start schuttenr="'), F.col("_nr").cast("string"), F.lit('">'), F.col(text), F.lit("</start>"))
-    return lines.join(first, seq, "left").withColumn(text, F.when(F.col("_nr").isNotNull(), mark).otherwise(F.col(text))).drop("_nr")
+    """Lines in which a start was located (``schutte_nr``, and ``found``, its form there), with the start wrapped in its mark.
+
+    Of several starts on a line the least number is wrapped.  A start that runs over the line's end, or whose blanks differ, wraps the line from where it
+    is sure to begin: the whole of it.
+    """
+    first = starts.where(F.col(seq).isNotNull()).groupBy(seq).agg(F.min(F.struct("schutte_nr", "found")).alias("_first"))
+    line, found = F.col(text), F.col("_first.found")
+    at = F.instr(line, found)
+    mark = F.concat(F.lit('<start schuttenr="'), F.col("_first.schutte_nr").cast("string"), F.lit('">'))
+    inside = F.concat(F.substring(line, F.lit(1), at - 1), mark, found, F.lit("</start>"), F.substring(line, at + F.length(found), F.length(line)))
+    tagged = F.when(F.col("_first").isNull(), line).when(at > 0, inside).otherwise(F.concat(mark, line, F.lit("</start>")))
+    return lines.join(first, seq, "left").withColumn(text, tagged).drop("_first")

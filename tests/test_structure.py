@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colophon.functions import text as T
-from colophon.operators import carry, joins, records, refs, roles, rules
+from colophon.operators import carry, features, joins, records, refs, roles, rules
 from colophon.sources import pages, sinks
 from colophon.streaming import ingest
 
@@ -92,7 +92,11 @@ def test_scalars(spark):
 def test_markup_and_xml(spark):
     df = spark.createDataFrame([("nl", 'zie sub nr. 12, "a" agent1 en graaf11.', ["1", "11"])], "corpus string, t string, k array<string>")
     got = df.select(T.inline_markup(F.col("t"), F.col("corpus"), F.col("k")).alias("x")).first().x
-    assert got == 'zie sub <a href="nl/0012">nr.\xa012</a>, &quot;a&quot; agent<sup><a href="#fn-1">1</a></sup> en graaf<sup><a href="#fn-11">11</a></sup>.'
+    note = lambda k: f'<sup><a href="#fn-{k}" id="ref-{k}">{k}</a></sup>'
+    assert got == f'zie sub <a href="nl/0012/index.html" title="Ga naar lemma 12">nr.\xa012</a>, &#34;a&#34; agent{note("1")} en graaf{note("11")}.'
+    # keys are plain text
+    odd = spark.createDataFrame([("nl", "agent*$1 en graaf+ en x(2", ["*$1", "+", "(2", "a\\\\E"])], "corpus string, t string, k array<string>")
+    assert odd.select(T.inline_markup(F.col("t"), F.col("corpus"), F.col("k")).alias("x")).first().x == f"agent{note('*$1')} en graaf{note('+')} en x{note('(2')}"
     import xml.etree.ElementTree as ET
 
     lines = spark.createDataFrame([("nl", 3, 1, 'een "<b>" & N.N.B.W. IV, 2', "bronnen"), ("nl", 3, 2, "x", "noot")], "corpus string, schutte_nr int, seq int, text string, type string")
@@ -102,8 +106,47 @@ def test_markup_and_xml(spark):
 
 
 def test_hyphens(spark):
-    df = spark.createDataFrame([("opge-", "volgd"), ("Jan-", "Pieter"), ("-", "x")], "a string, b string")
-    assert [r.x for r in df.select(T.join_hyphen(F.col("a"), F.col("b")).alias("x")).collect()] == ["opgevolgd", "Jan- Pieter", "x"]
+    cases = [("opge-", "volgd", "opgevolgd"), ("Jan-", "Pieter", "Jan- Pieter"), ("-", "x", "- x"), ("de commis-", "saris ging", "de commissaris ging"), ("ambas-", "sadeur", "ambassadeur"), ("pen-", "sio", "pensio"), ("Ka-", "tho", "Katho"), ("Poi-", "tou", "Poitou"), ("Groene-", "velt", "Groenevelt"), ("ver-", "t", "ver- t"), ("conf-", "lict", "conflict"), ("st-", "aten", "st- aten"), ("verd-", "rtien", "verd- rtien"), ("een-", "", "een- "), ("één-", "Één", "één- Één")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
+    assert [r.x for r in df.select("i", T.join_hyphen(F.col("a"), F.col("b")).alias("x")).orderBy("i").collect()] == [c[2] for c in cases]
+    assert df.where("i = 9").select(T.join_hyphen(F.col("a"), F.col("b"), F.lit(True)).alias("x")).first().x == "vert"
+
+
+def test_declared_encodings(spark):
+    cases = [(b'<?xml version="1.0" encoding="cp1250"?>\xe8', '<?xml version="1.0" encoding="cp1250"?>č'), ("één".encode(), "één"), (b"caf\xe9 \x80\x81", "café €\ufffd"), (b"encoding='nonsense' \xe9", "encoding='nonsense' é"), (b"", ""), (None, None), (b" " * 300 + b"encoding='cp1250'\xe8", " " * 300 + "encoding='cp1250'è")]
+    assert column(spark, [None if c is None else bytearray(c) for c, _ in cases], T.decode_declared, "binary") == [w for _, w in cases]
+
+
+def test_index_names_lose_their_comma(spark):
+    df = spark.createDataFrame([(0, "Berg, 12"), (1, "Berg, A.,, 12, 13"), (2, "Dal, (3) 4")], "i int, line string")
+    assert {r.i: r["name"] for r in rules.parse_person_lines(df).collect()} == {0: "Berg", 1: "Berg, A.", 2: "Dal,"}
+    assert {r.i: r.place for r in rules.parse_place_lines(df).collect()}[0] == "Berg"
+
+
+def test_neighbours_over_chunks(spark):
+    rng = random.Random(6)
+    values = {c: sorted(rng.sample(range(-5000, 9000), 40)) for c in ("nl", "bl")} | {"x": [7]}
+    df = spark.createDataFrame([(c, v) for c, vs in values.items() for v in vs], "corpus string, nr int")
+    got = {(r.corpus, r.nr): (r.prev_nr, r.next_nr) for r in carry.neighbours(df, "nr", ["corpus"], chunk=500).collect()}
+    assert got == {(c, v): (vs[k - 1] if k else None, vs[k + 1] if k + 1 < len(vs) else None) for c, vs in values.items() for k, v in enumerate(vs)}
+
+
+def test_survey_and_contexts(spark):
+    rows = [("nl", 1, k, t) for k, t in enumerate(["1. Noot", "1598 agent", "5.    Anna", "Iets anders", "   12 ", "", "     tekst", "2.  x"])] + [("nl", 2, 0, "geen")]
+    lines = features.surveyed(spark.createDataFrame(rows, "corpus string, page_nr int, line_no int, line string"))
+    assert {r.line_no: r.pattern for r in lines.where("page_nr = 1").collect()} == {0: "footnote", 1: "period_header", 2: "footnote", 3: "other", 6: None, 7: "footnote"}
+    assert features.survey_pages(lines, spark.createDataFrame([("nl", 1), ("nl", 2), ("bl", 1)], "corpus string, page_nr int")).where("corpus = 'nl'").first()[1:] == (1, 1)
+    found = features.note_contexts(spark.createDataFrame([(1, "de rapport12, en x7b. 1593 y"), (2, None)], "i int, text string")).collect()
+    assert [(r.pos, r.mark, r.context) for r in found] == [(0, "t12,", "apport12, en x"), (1, "x7b.", ", en x7b. 1593"), (2, "1593 ", "x7b. 1593 y")]
+
+
+def test_starts_are_wrapped_where_they_stand(spark):
+    lines = spark.createDataFrame([(1, "7. Anna Berg werd agent"), (2, 'al <start schuttenr="9">9. Otto</start>'), (3, "8.  Jan Dal"), (4, "niets")], "seq bigint, text string")
+    starts = spark.createDataFrame([(7, "Anna Berg"), (9, "9. Otto"), (8, "8. Jan Dal"), (5, None)], "schutte_nr int, start string")
+    left = joins.untagged(starts, lines, "schutte_nr")
+    assert sorted(r.schutte_nr for r in left.collect()) == [5, 7, 8]
+    tagged = {r.seq: r.text for r in sinks.tagged_lines(lines, joins.locate_starts(lines, left, "schutte_nr", "seq", flexible=True), "seq").collect()}
+    assert tagged == {1: '7. <start schuttenr="7">Anna Berg</start> werd agent', 2: 'al <start schuttenr="9">9. Otto</start>', 3: '<start schuttenr="8">8.  Jan Dal</start>', 4: "niets"}
 
 
 def test_hocr(spark):
@@ -278,7 +321,7 @@ def test_contents_tables(spark, tmp_path):
     spark.createDataFrame(rows, "toc_id bigint, corpus string, volume string, item_format string, item string, received_at timestamp_ntz").write.parquet(str(tmp_path / "toc.parquet"))
     got = sorted((r.item_seq, r.schutte_nr, r.title, r.chapter, r.page_nr, r.source_file) for r in structure.toc_chapters(spark, str(tmp_path)).collect())
     # an item whose number is none has number 0, so it names the chapter if it has a title
-    assert got == [(2, 3, "Berg, A.", "I. Land & zee", 7, "0012"), (3, 4, "Dal", "I. Land & zee", 0, "0000"), (5, 5, "Los", "I. Land & zee", 0, "0000")]
+    assert got == [(2, 3, "Berg, A.", "I. Land & zee", 7, "0012"), (3, 4, "Dal", "I. Land & zee", 0, "0001"), (5, 5, "Los", "I. Land & zee", 0, "0001")]
     levels = sorted((r.item_seq, r.schutte_nr, r.chapter_seq, r.chapter, r.slug) for r in structure.toc_levels(spark, str(tmp_path)).collect())
     assert levels == [(2, 3, 1, "I. Land & zee", "land-zee"), (3, 4, 1, "I. Land & zee", "land-zee")]
     direct = sorted((r.item_seq, r.schutte_nr) for r in structure.toc_levels(spark, str(tmp_path), direct=True).collect())
