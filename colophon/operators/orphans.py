@@ -4,7 +4,8 @@ Keys are integers within a corpus and a target table.  Per key range (2^15 keys)
 keys of valid targets first seen in that month.  ``reference AND NOT (valid targets of earlier months)`` leaves the keys that
 can lack a target; only these surviving bits are decoded and joined back to the referring records, where the exact times decide.
 Bitmaps are built with map-side combination, so a key that a third of all references name costs one bit, and they cross the
-shuffle under the session's compression codec, which squeezes the empty ranges.
+shuffle under the session's compression codec, which squeezes the empty ranges.  In the join back, keys that more than a fixed part of all
+references name are split, by their counts; there can be no more of them than that part allows.
 
 Defined results: null arrays, null elements and a null corpus or number refer to nothing; a repeated element or delivery counts
 once; a record without any time has a null month and is never late.
@@ -19,8 +20,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colophon.session import cut
+
 RANGE_BITS = 15
-SALTS = 8
+# a key is hot that holds this part of all references, and so many at least; it is split into parts of that size
+HOT_SHARE, HOT_ROWS = 1e-4, 100_000
 
 
 def month_index(ts: Column) -> Column:
@@ -68,18 +72,22 @@ def _and_not(key: tuple, refs: pd.DataFrame, valid: pd.DataFrame) -> pd.DataFram
     return pd.DataFrame({"target": target, "target_corpus": corpus, "target_nr": nr, "month": np.concatenate(out_month).astype(np.int32)})
 
 
-def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
+def orphan_references(refs: DataFrame, parents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distinct references whose target is missing, deleted or later than the reference; see the module text."""
-    refs = refs.groupBy("ref_table", "ref_field", "target", "ref_id", "target_corpus", "target_nr").agg(F.min("ref_ts").alias("ref_ts")).withColumn("month", month_index(F.col("ref_ts")))
+    # used twice: made once
+    refs = cut(refs.groupBy("ref_table", "ref_field", "target", "ref_id", "target_corpus", "target_nr").agg(F.min("ref_ts").alias("ref_ts")).withColumn("month", month_index(F.col("ref_ts"))))
     parents = parents.where("target_corpus is not null and target_nr is not null").groupBy("target", "target_corpus", "target_nr").agg(F.min("t_ts").alias("t_ts"), F.max("gone").alias("gone"))
-    named = _bitmaps(refs, F.col("month"), "bits").groupBy("target", "target_corpus", "bucket")
+    key = ["target", "target_corpus", "target_nr"]
+    named_keys = cut(refs.groupBy(*key, "month").agg(F.count("*").alias("_n")))
+    named = _bitmaps(named_keys, F.col("month"), "bits").groupBy("target", "target_corpus", "bucket")
     valid = _bitmaps(parents.where("not gone and t_ts is not null"), month_index(F.col("t_ts")), "bits").groupBy("target", "target_corpus", "bucket")
     alive = named.cogroup(valid).applyInPandas(_and_not, "target string, target_corpus string, target_nr int, month int")
-    key = ["target", "target_corpus", "target_nr"]
-    judged = alive.join(parents, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    # a hot key may hold a third of all references: its rows are spread over the salts
+    part = max(hot_rows, int((named_keys.agg(F.sum("_n")).first()[0] or 0) * HOT_SHARE))
+    hot = F.broadcast(named_keys.where(F.col("_n") > part).select(*key, "month", F.ceil(F.col("_n") / part).cast("int").alias("_parts")))
+    split = lambda rows: rows.join(hot, [*key, "month"], "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    judged = split(alive.join(parents, key, "left")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
     return (
-        refs.withColumn("salt", F.pmod(F.xxhash64("ref_id"), F.lit(SALTS)).cast("int"))
+        split(refs).withColumn("salt", F.pmod(F.xxhash64("ref_id"), F.col("_parts")).cast("int"))
         .join(judged, [*key, "month", "salt"])
         .withColumn("state", F.when(F.col("gone").isNull(), "missing").when(F.col("gone"), "deleted").when(F.col("t_ts") > F.col("ref_ts"), "late"))
         .where("state is not null")

@@ -10,9 +10,9 @@ REF = "corpus string, id bigint, nr int, received_at timestamp_ntz, state string
 TGT = "corpus string, nr int, received_at timestamp_ntz, deleted_at timestamp_ntz"
 
 
-def run(spark, refs, targets):
+def run(spark, refs, targets, hot=orphans.HOT_ROWS):
     r, t = spark.createDataFrame(refs, REF), spark.createDataFrame(targets, TGT)
-    found = orphans.orphan_references(orphans.references(r, "r", "f", "t", "id", F.col("corpus"), F.col("nr")), orphans.targets(t, "t", "nr"))
+    found = orphans.orphan_references(orphans.references(r, "r", "f", "t", "id", F.col("corpus"), F.col("nr")), orphans.targets(t, "t", "nr"), hot)
     return sorted(tuple(x) for x in found.select("ref_id", "target_corpus", "target_nr", "state", "ref_month").collect())
 
 
@@ -42,6 +42,8 @@ def test_against_brute_force(spark):
     refs += refs[:50] + [("nl", i, 3, T[i % 12], None) for i in range(100, 400)]  # a hot key
     targets = [(rng.choice(corpora), key(), rng.choice([*T, None]), rng.choice([None, None, T[0]])) for _ in range(60)]
     assert run(spark, refs, targets) == brute(refs, targets)
+    # hot keys are split: every key named more than ten times in a month
+    assert run(spark, refs, targets, 10) == brute(refs, targets)
 
 
 def test_empty_sides(spark):
