@@ -245,40 +245,37 @@ class Evidence:
 
     def __call__(self, batch: pa.RecordBatch, counts: Counter) -> None:
         sources = batch.column(self.source).to_pylist()
-        bigrams: dict[str | None, Counter] = {}
+        # words recur: each is looked into once a batch and counts as often as it occurs; blanks and line feeds are alike at its ends
+        words: dict[str | None, Counter] = {src: Counter() for src in set(sources)}
         for field in self.fields:
             for src, text in zip(sources, batch.column(field).to_pylist()):
-                if not text:
-                    continue
-                plain = bigrams.get(src)
-                if plain is None:
-                    plain = bigrams[src] = Counter()
-                if text.isascii():
-                    plain.update(zip("\n" + text, text + "\n"))
-                    continue
-                # the ends of a text are line feeds
-                at, text = 0, f"\n{composed(text)}\n"
-                found = list(units(text))
+                if text:
+                    words[src].update(text.replace("\n", " ").split(" "))
+        for src, own in words.items():
+            plain: Counter = Counter()
+            for word, n in own.items():
+                at, text = 0, f" {word if word.isascii() else composed(word)} "
+                found = [] if word.isascii() else list(units(text))
                 for k, (start, end, symbol) in enumerate(found):
                     # what touches another symbol has no letter beside it
                     before = "" if k and found[k - 1][1] == start else text[start - 1]
                     after = "" if k + 1 < len(found) and found[k + 1][0] == end else text[end]
-                    counts["s", src, symbol, before, after] += 1
-                    self._plain(text[at:start], src, plain, counts)
+                    counts["s", src, symbol, before, after] += n
+                    self._plain(text[at:start], n, src, plain, counts)
                     at = end
-                self._plain(text[at:], src, plain, counts)
-        for src, plain in bigrams.items():
+                self._plain(text[at:], n, src, plain, counts)
             for (a, b), n in plain.items():
                 counts["b", src, None, a, b] += n
 
     @staticmethod
-    def _plain(part: str, src: str | None, plain: Counter, counts: Counter) -> None:
-        plain.update(zip(part, part[1:]))
+    def _plain(part: str, n: int, src: str | None, plain: Counter, counts: Counter) -> None:
+        for pair in zip(part, part[1:]):
+            plain[pair] += n
         if not part.isascii():
             for m in _HIGH.finditer(part):
                 k = m.start()
                 if _in_word(part, k, k + 1):
-                    counts["1", src, part[k], part[k - 1 : k] or "\n", part[k + 1 : k + 2] or "\n"] += 1
+                    counts["1", src, part[k], part[k - 1 : k] or " ", part[k + 1 : k + 2] or " "] += n
 
 
 class Language:

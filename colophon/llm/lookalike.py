@@ -137,11 +137,15 @@ class Letters:
         for field in self.fields:
             for text in batch.column(field).to_pylist():
                 if text:
-                    words.update(_WORD.findall(text))
-        for w, n in words.items():
-            if not mixed(w):
-                for pair in zip(" " + w, w + " "):
-                    counts["l", None, None, *pair] += n
+                    words.update(text.split())
+        pairs: Counter = Counter()
+        for word, n in words.items():
+            for w in _WORD.findall(word):
+                if not mixed(w):
+                    for pair in zip(" " + w, w + " "):
+                        pairs[pair] += n
+        for (a, b), n in pairs.items():
+            counts["l", None, None, a, b] += n
 
 
 def letter_bigrams(counts: DataFrame) -> dict[tuple[str, str], float]:
