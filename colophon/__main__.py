@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import SparkSession
 
@@ -13,7 +14,12 @@ STEPS = {"assemble": "corpus_pages", "tag": "start_locations", "extract": "entry
 
 def main(argv: list[str] | None = None) -> None:
     queries = {**structure.QUERIES, **hygiene.QUERIES}
-    parser = argparse.ArgumentParser(prog="colophon", description=__doc__)
+    more = argparse.ArgumentParser(add_help=False)
+    more.add_argument("--queries", action="append", default=[], metavar="MODULE", help="a module whose QUERIES are added, such as that of a subpackage")
+    known, _ = more.parse_known_args(argv)
+    for module in known.queries:
+        queries |= importlib.import_module(module).QUERIES
+    parser = argparse.ArgumentParser(prog="colophon", description=__doc__, parents=[more])
     parser.add_argument("step", choices=[*STEPS, "all", *queries])
     parser.add_argument("sf_dir")
     parser.add_argument("out")

@@ -391,12 +391,18 @@ def _citation(n):
     return F.concat(F.lit("zie N.N.B.W. "), numeral, F.lit(", "), n.cast("string"), F.lit("; Van der Aa XII, 1, "), n.cast("string"))
 
 
+def _cited(spark, d):
+    """Texts of entries with citations after them, in all the spellings above."""
+    return entries(spark, d, "schutte_nr", "text").select("lemma_id", F.concat(F.coalesce("text", F.lit("")), F.lit("\n"), _citation(F.col("schutte_nr"))).alias("text"))
+
+
 def roman_links(spark, d):
-    return table(spark, d, "part").select("p_partkey", T.link_citations(_citation(F.col("p_partkey"))).alias("linked"))
+    return _cited(spark, d).select("lemma_id", F.md5(T.link_citations(F.col("text"))).alias("linked_md5"))
 
 
 def loose_links(spark, d):
-    return table(spark, d, "part").select("p_partkey", T.link_citations_loosely(F.concat(F.lit("nnbw "), F.element_at(F.array(F.lit("iv"), F.lit("XI")), (F.pmod("p_partkey", F.lit(2)) + 1).cast("int")), F.lit(", "), F.col("p_partkey").cast("string"))).alias("linked"))
+    text = F.concat("text", F.lit("; van der Aa, Biogr. Woordenb. der Nederlanden, dl. 007, 12 en A.a., biogr woordenb., IX, 3; Aa, Biogr. Woordenb.; nnbw iv, 9"))
+    return _cited(spark, d).select("lemma_id", F.md5(T.link_citations_loosely(text)).alias("linked_md5"))
 
 
 def entry_links(spark, d):
@@ -420,8 +426,10 @@ def number_links(spark, d):
 
 
 def inline_notes(spark, d):
-    text = F.concat(F.lit("rapport"), F.col("p_size").cast("string"), F.lit(" van"), F.col("p_partkey").cast("string"), F.lit("a en x"), (F.col("p_partkey") + 10000).cast("string"))
-    return table(spark, d, "part").select("p_partkey", F.array_join(T.inline_notes(text), ",").alias("notes"))
+    """Note keys glued to words in the texts of entries."""
+    df = entries(spark, d, "schutte_nr", "text").where("text is not null")
+    text = F.concat("text", F.lit(" rapport"), F.col("schutte_nr").cast("string"), F.lit("a en brief12a3, x10000b en (zie)7"))
+    return df.select("lemma_id", F.array_join(T.inline_notes(text), ",").alias("notes"))
 
 
 def page_hyphens(spark, d):
@@ -560,6 +568,28 @@ decoded as (select corpus, page_nr, coalesce(try(decode(content)), array_to_stri
 plines as (select corpus, page_nr, unnest(string_split(t, '<br>')) as line, unnest(range(len(string_split(t, '<br>')))) as line_no from decoded)"""
 _INDENT = f"length(line) - length(regexp_replace(line, '^{_BLANK}+', ''))"
 _STRIP = f"regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g')"
+_CITED = """cited as (select lemma_id, coalesce(text, '') || chr(10) || 'zie N.N.B.W. ' || ['IV', 'ïv', 'lT', 'XI', 'IIII', 'X', 'II', 'VIII'][schutte_nr % 8 + 1] || ', ' || schutte_nr || '; Van der Aa XII, 1, ' || schutte_nr as s from lem)"""
+_P_NNBW = r"N\.?\s*N\.?\s*B\.?\s*W\.?\s+([IVXivxïÏlT]+),\s*(\d+)"
+_P_VDAA = r"Van der Aa\s+([IVXivxïÏlT]+),\s*(?:\d+,\s*)?(\d+)"
+_P_LOOSE = r"(?i)N\.?\s*N\.?\s*B\.?\s*W\.?\s+([IVX]+),\s*(\d+)"
+_P_WORK = r"(?i)(?:Aa|A\.?\s*a\.?),?\s*Biogr\.?\s*Woordenb\.?\s*(?:der\s*Nederlanden)?(?:,\s*(?:dl\.?\s*|d\.?\s*)?([\p{L}\p{N}_]+))?(?:,\s*(\d+))?"
+
+
+def _linked(source: str, name: str, pattern: str, most: int, path: str, ampersand: str, loose: bool = False) -> tuple[str, str]:
+    """Two tables of SQL: the matches of a citation in ``source``, and the text with a link for each that has a known volume and a page."""
+    said = f"regexp_extract(m, '{pattern}', 1)"
+    numeral = f"upper({said})" if loose else f"translate({said}, 'ïÏilTvx', 'IIIIIVX')"
+    volume = f"nullif(list_position([{', '.join(repr(r) for r in T.ROMAN[:most])}], {numeral}), 0)::varchar"
+    if loose:
+        volume = f"coalesce({volume}, case when regexp_matches({said}, '^[0-9]+$') then regexp_replace({said}, '^0+([0-9])', '\\1') end)"
+    page = f"regexp_extract(m, '{pattern}', 2)"
+    link = f"case when {volume} is null or {page} = '' then m else '<a href=\"https://example.org/{path}/#source=' || {volume} || '{ampersand}page=' || {page} || '\">' || m || '</a>' end"
+    return (
+        f"{name}_m as (select lemma_id, string_split_regex(s, '{pattern}') as parts, list_transform(regexp_extract_all(s, '{pattern}'), lambda m: {link}) as links from {source})",
+        f"{name} as (select lemma_id, array_to_string(list_transform(range(len(parts)), lambda k: parts[k + 1] || coalesce(links[k + 1], '')), '') as s from {name}_m)",
+    )
+
+
 _SURVEY = f"""surveyed as (select *, case when indent <> 0 then null when regexp_matches(bare, '^\\d+[a-z]?\\.\\s') then 'footnote' when regexp_matches(bare, '^\\d{{4}}') then 'period_header' when regexp_matches(bare, '^\\d+\\.\\s{{3,6}}[A-Z]') then 'lemma_entry' else 'other' end as pattern
   from (select corpus, page_nr, line_no, {_INDENT} as indent, regexp_replace(line, '^{_BLANK}+', '') as bare from plines where {_STRIP} <> '' and not regexp_matches({_STRIP}, '^\\d+$')))"""
 _LAND = "regexp_replace(coalesce(toc_chapter, ''), '^[IVXLCDM]+\\.\\s*', '')"
@@ -667,10 +697,11 @@ SQL = {
     "verify_report": _with(_ONCE, _STATUS) + "select corpus, status, count(*) as n, min(schutte_nr) as first_nr from st group by all",
     "title_lookup": _with(_ONCE) + "select lemma_id, coalesce(nullif(trim(t.title), ''), nullif(trim(name), ''), 'Nr. ' || lem.schutte_nr) as title from lem left join toc1 t on lem.corpus = t.corpus and lem.schutte_nr = t.schutte_nr",
     "assembled_names": _with(_ONCE) + "select lemma_id, concat_ws(' ', nullif(trim(givenname), ''), nullif(trim(intraposition), ''), nullif(trim(name), '')) as full_name, lpad(schutte_nr::varchar, greatest(4, length(schutte_nr::varchar))::int, '0') as nr from lem",
-    "roman_links": """select p_partkey, 'zie ' || case when v is null then c else '<a href="https://example.org/nnbw/#source=' || v || '&amp;page=' || p_partkey || '">' || c || '</a>' end || '; <a href="https://example.org/vdaa/#source=12&amp;page=' || p_partkey || '">Van der Aa XII, 1, ' || p_partkey || '</a>' as linked
-        from (select p_partkey, [4, 4, 2, null, null, 10, 2, 8][p_partkey % 8 + 1] as v, 'N.N.B.W. ' || ['IV', 'ïv', 'lT', 'XI', 'IIII', 'X', 'II', 'VIII'][p_partkey % 8 + 1] || ', ' || p_partkey as c from part)""",
-    "loose_links": """select p_partkey, case when p_partkey % 2 = 0 then '<a href="https://example.org/nnbw/#source=4&page=' || p_partkey || '">nnbw iv, ' || p_partkey || '</a>' else 'nnbw XI, ' || p_partkey end as linked from part""",
-    "inline_notes": "select p_partkey, concat_ws(',', p_size::varchar, case when p_partkey < 1000 then p_partkey || 'a' end) as notes from part",
+    "roman_links": _with(_ONCE, _CITED, "s0 as (select lemma_id, s from cited)", *_linked("s0", "s1", _P_NNBW, 10, "nnbw", "&amp;"), *_linked("s1", "s2", _P_VDAA, 21, "vdaa", "&amp;")) + "select lemma_id, md5(s) as linked_md5 from s2",
+    "loose_links": _with(_ONCE, _CITED, "s0 as (select lemma_id, s || '; van der Aa, Biogr. Woordenb. der Nederlanden, dl. 007, 12 en A.a., biogr woordenb., IX, 3; Aa, Biogr. Woordenb.; nnbw iv, 9' as s from cited)", *_linked("s0", "s1", _P_LOOSE, 10, "nnbw", "&", True), *_linked("s1", "s2", _P_WORK, 10, "vdaa", "&", True))
+    + "select lemma_id, md5(s) as linked_md5 from s2",
+    "inline_notes": _with(_ONCE) + """, m as (select lemma_id, regexp_replace(regexp_replace(text || ' rapport' || schutte_nr || 'a en brief12a3, x10000b en (zie)7', '([A-Za-z)])(\\d+)', '\\1⟦\\2⟧', 'g'), '⟧([a-z])([^0-9⟦]|$)', '\\1⟧\\2', 'g') as s from lem where text is not null)
+        select lemma_id, array_to_string(list_filter(regexp_extract_all(s, '⟦([^⟧]*)⟧', 1), lambda k: not regexp_matches(k, '^\\d{4,}')), ',') as notes from m""",
     "page_hyphens": _with(_ONCE) + f"select lemma_id, seq, {_joined('text', 'nxt')} as joined from (select *, lead(text) over (partition by lemma_id order by seq) as nxt from (select lemma_id, l.seq as seq, l.text as text from (select lemma_id, unnest(lines) as l from lem)) where text is not null) where text like '%-' and length(text) > 1 and nxt is not null",
     "display_blocks": "with recursive " + _ONCE + f""",
         ls as (select lemma_id, l.zone as zone, l.text as text, l.seq as seq from (select lemma_id, unnest(lines) as l from lem) where l.text is not null),
