@@ -82,6 +82,9 @@ class Trie:
         """
         n = len(token)
         found: dict[str, int] = {}
+        if n and not other and token[0] not in self.root and token[0] not in _BY_FIRST and token[0] != garbled.LOST:
+            # no state leaves the root
+            return []
         reads = [[(r, p) for r, p in _BY_FIRST.get(c, ()) if token.startswith(r, k)] for k, c in enumerate(token)]
 
         def closed(states: dict[tuple[int, str], int]) -> dict[tuple[int, str], int]:
