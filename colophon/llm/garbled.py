@@ -8,8 +8,8 @@ substitution cipher, source by source.  There are two sorts of cipher symbols:
   were one letter, however many times it was decoded.  Candidates of a piece are what any pages make of it, and itself, as a
   unit may also be two honest characters.
 * *Single symbols* come from one single-byte page read as another one: a character outside ASCII beside a letter that the other
-  sources do not use in such places.  Candidates are all letters of the language, and itself.  Pages agree in ASCII, so a symbol that stands
-  for an ASCII letter (a look-alike, a slip of scanning) is no product of wrong decoding and stays.
+  sources do not use in such places.  Candidates are the letters of the language that any two pages make of it, and itself; the pages are
+  hidden and shared by the symbols of a source.  Pages agree in ASCII, so a lone odd character (a look-alike, a slip of scanning) stays.
 
 Per source, expectation-maximisation weighs the candidates by the bigrams of the language around each occurrence; the bigrams are counted over
 the text outside of units, for single symbols over the other sources.  The learned mapping is applied with ``translate`` (symbols
@@ -38,15 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colophon.llm import counting
+from colophon.llm.shapes import LOOKS
 from colophon.session import cut
 
 FIELDS = ("text", "name", "givenname")
 LOST = "�"
 ZERO_WIDTH = "​‌‍⁠﻿"
 _FLOOR = 1e-7
-# a letter of the language makes up this part of its text; a single symbol stands for one if so many of its places become bigrams of
-# the language, and has been seen so often
-LETTER_SHARE, FIT, SEEN = 1e-5, 0.9, 3
+# a letter of the language makes up this part of its text; a single symbol stands for one if it has been seen so often, so many of its places become bigrams
+# of the language, and so many symbols agree on the pages
+LETTER_SHARE, SEEN, FIT, AGREED = 1e-5, 3, 0.5, 2
 # pages tried first; the order decides nothing but which of equal readings cuts a run
 _FIRST = ("cp1252", "latin_1")
 
@@ -73,6 +74,7 @@ def _byte_tables() -> list[dict[str, int]]:
 
 
 TABLES = _byte_tables()
+_CHARACTERS = [{b: c for c, b in t.items()} for t in TABLES]
 _LEADS: dict[str, list[int]] = {}
 for _k, _t in enumerate(TABLES):
     for _c, _b in _t.items():
@@ -374,7 +376,8 @@ def learn_single(contexts: list[tuple[str, str, str, int]], language: Language,
     places: dict[str, list[tuple[str, str, int]]] = {}
     for symbol, before, after, n in contexts:
         places.setdefault(symbol, []).append((before, after, n))
-    letters = [c for c, p in language.lone.items() if p >= LETTER_SHARE and c.isalpha()]
+    # pages agree in ASCII, so what stands for an ASCII letter is no product of wrong decoding
+    letters = {c for c, p in language.lone.items() if p >= LETTER_SHARE and c.isalpha() and not c.isascii()}
 
     def fits(c: str, seen: list[tuple[str, str, int]]) -> tuple[int, int]:
         """How many of the letters beside its places the letter goes with, and how many there are."""
@@ -382,21 +385,42 @@ def learn_single(contexts: list[tuple[str, str, str, int]], language: Language,
         return sum(n for ok, n in sides if ok), sum(n for _, n in sides)
 
     def alien(symbol: str) -> bool:
+        """Whether the other sources do not use the symbol in such places; what looks like an ASCII letter or a blank is a disguise and no symbol."""
         hit, of = fits(symbol, places[symbol])
-        return symbol in _IN_PAGES and of >= SEEN and 2 * hit < of and unicodedata.category(symbol)[0] != "M" and symbol not in ZERO_WIDTH + LOST
+        disguise = symbol in LOOKS or (symbol.isalpha() or symbol.isspace()) and unicodedata.normalize("NFKC", symbol).isascii()
+        return symbol in _IN_PAGES and not disguise and of >= SEEN and 2 * hit < of and unicodedata.category(symbol)[0] != "M" and symbol not in ZERO_WIDTH + LOST
 
     strange = {c: places[c] for c in places if alien(c)}
-    score: dict[str, dict[str, list[float]]] = {}
-    weight: dict[str, list[int]] = {}
-    for symbol, seen in strange.items():
-        # what stands beside another such symbol has no letter there
-        seen = [("" if a in strange else a, "" if b in strange else b, n) for a, b, n in seen]
-        good = [c for c in letters for hit, of in (fits(c, seen),) if of >= SEEN and hit >= FIT * of]
-        if good:
-            score[symbol] = {c: [language.path(a, c, b) for a, b, _ in seen] for c in good}
-            weight[symbol] = [n for _, _, n in seen]
-    best = {symbol: max(options.items(), key=lambda x: (x[1], x[0]))[0] for symbol, options in _maximised(score, weight, rounds).items()}
-    return {symbol: letter for symbol, letter in best.items() if not letter.isascii()}
+    # what stands beside another such symbol has no letter there
+    seen = {c: [("" if a in strange else a, "" if b in strange else b, n) for a, b, n in own] for c, own in strange.items()}
+    # pages written and read in, by what they make of these symbols; the first is that nothing is wrong
+    ciphers = [{c: c for c in strange}, *({c: w for c in strange if (w := written.get(r.get(c, -1), c)) in letters} for r in TABLES for written in _CHARACTERS)]
+    ciphers = [dict(x) for x in dict.fromkeys(tuple(sorted(c.items())) for c in ciphers)]
+    own = {(c, w): sum(n * language.path(a, w, b) for a, b, n in seen[c]) for cipher in ciphers for c, w in cipher.items()}
+    least = {c: sum(n * 2 * math.log(_FLOOR) for _, _, n in seen[c]) for c in strange}
+    # expectation-maximisation: symbols say which cipher the source is in, and the cipher what each symbol is
+    theta = [1.0] * len(ciphers)
+    best: dict[str, str] = {}
+    for _ in range(rounds if strange else 0):
+        expected = [0.1] * len(ciphers)
+        for c in strange:
+            logs = [math.log(t) + own.get((c, x.get(c)), least[c]) for t, x in zip(theta, ciphers)]
+            top = max(logs)
+            shares = [math.exp(x - top) for x in logs]
+            whole = sum(shares)
+            by: Counter = Counter()
+            for k, x in enumerate(shares):
+                expected[k] += x / whole
+                by[ciphers[k].get(c, c)] += x
+            best[c] = max(by.items(), key=lambda x: (x[1], x[0]))[0]
+        theta = [x / sum(expected) for x in expected]
+
+    def sure(c: str) -> bool:
+        hit, of = fits(best[c], seen[c])
+        return best[c] != c and of >= SEEN and hit >= FIT * of
+
+    kept = {c: w for c, w in best.items() if sure(c)}
+    return kept if len(kept) >= AGREED else {}
 
 
 def _learn_source(bigrams: dict[tuple[str, str], int]):

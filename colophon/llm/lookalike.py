@@ -22,18 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colophon.llm import counting, garbled
+from colophon.llm.shapes import LOOKS
 from colophon.session import cut
 
 FIELDS = ("text", "toc_title")
 ZERO_WIDTH = "​‌‍⁠﻿᠎­"
 
-# fixed values: letters of other scripts and the Latin letters they look like
-CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһԛԝ", "ABESIJKMHOPCTYXaesijopcyxdhqw"))
-GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονιαυρκ", "ABEZHIKMNOPTYXoviaupk"))
-ARMENIAN = dict(zip("օսհոցՏՍՕԼ", "ouhngSUOL"))
-CHEROKEE = dict(zip("ᎪᏴᏟᎠᎬᏀᎻᏆᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ", "ABCDEGHIJKLMPRSTVWZ"))
-LOOKS = CYRILLIC | GREEK | ARMENIAN | CHEROKEE
-
 _WIDE = re.compile("[！-｠￠-￦　]")
 _MARK = re.compile("[̀-ͯ᪰-᫿᷀-᷿]")
 _ZERO = re.compile(f"[{ZERO_WIDTH}]")

@@ -69,7 +69,7 @@ def test_distribution_nulls_and_redeliveries(spark):
 
 @pytest.mark.parametrize("written, read", [("cp850", "cp1252"), ("mac_roman", "cp1252"), ("cp437", "latin_1"), ("cp1252", "cp850"), ("cp1252", "cp1251"), ("hp_roman8", "cp1252")])
 def test_single_byte_swaps_are_undone(written, read):
-    clean = ["Günther en Thérèse te Köln, één van de coördinatoren", "de financiële crisis en het café", "Réaumur, geïnstrueerd, België, voilà pourquoi"] * 30
+    clean = ["Günther en Thérèse te Köln, één van de coördinatoren", "de financiële crisis en het café", "Réaumur, geïnstrueerd, België, geëerd"] * 30
     known = dict(zip(bytes(range(128, 256)).decode(written, "replace"), (bytes([b]).decode(read, "ignore") or chr(b) for b in range(128, 256))))
     swap = lambda t: "".join(known.get(c, c) for c in t)
     mapping = learn([swap(t) for t in clean], clean)

@@ -1,7 +1,7 @@
 import math
 from collections import Counter
 
-from colophon.llm import garbled, lookalike
+from colophon.llm import garbled, lookalike, shapes
 
 CLEAN = ["Hendrik van den Berg schreef een brief", "de Staten van Holland", "het woord градъ", "λόγος τοῦ θεωροῦ", "40 m² en 12½ ¹", "Thérèse Löwe — „zo”", "één keer"]
 
@@ -53,9 +53,9 @@ def test_distribution(spark):
 
 
 def test_tables_do_not_clash():
-    tables = (lookalike.CYRILLIC, lookalike.GREEK, lookalike.ARMENIAN, lookalike.CHEROKEE)
-    assert len(lookalike.LOOKS) == sum(map(len, tables)) and all(lookalike.script(c) not in ("", "L") for c in lookalike.LOOKS)
-    assert all(v.isascii() for v in lookalike.LOOKS.values())
+    tables = (shapes.CYRILLIC, shapes.GREEK, shapes.ARMENIAN, shapes.CHEROKEE)
+    assert len(shapes.LOOKS) == sum(map(len, tables)) and all(lookalike.script(c) not in ("", "L") for c in shapes.LOOKS)
+    assert all(v.isascii() for v in shapes.LOOKS.values())
     assert garbled.ZERO_WIDTH and all(len(c) == 1 for c in garbled.ZERO_WIDTH)
 
 
