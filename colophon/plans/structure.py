@@ -34,7 +34,8 @@ def index_once(spark: SparkSession, d: str) -> DataFrame:
 def printed_lines(spark: SparkSession, d: str) -> DataFrame:
     """Entries as they stood in print: a period at the margin, the lines as they were indented, then the notes."""
     df = entries(spark, d, "corpus", "schutte_nr", "toc_page", "period", "lines", "footnotes")
-    base = (F.col("schutte_nr") * F.lit(100000)).cast("bigint")
+    # numbers above 21474 times 100,000 are no ints
+    base = F.col("schutte_nr").cast("bigint") * 100000
     key = ["corpus", F.col("toc_page").alias("page_nr")]
     body = df.select(*key, base.alias("base"), F.explode("lines").alias("l")).where("l.text is not null").select("corpus", "page_nr", (F.col("base") + F.col("l.seq")).alias("line_no"), F.concat(F.repeat(F.lit(" "), F.col("l.indent")), F.col("l.text")).alias("line"))
     heads = df.where("period is not null").select(*key, base.alias("line_no"), F.col("period").alias("line"))
