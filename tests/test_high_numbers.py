@@ -42,3 +42,8 @@ def against_sql(spark, d, name):
 
 def test_corpus_pages(spark, high):
     assert [r[1] for r in against_sql(spark, high, "corpus_pages")] == [8, 9]
+
+
+def test_record_notes(spark, high):
+    # a number of four figures begins a period, so all notes are those of entry 9
+    assert against_sql(spark, high, "record_notes") == [("nl", 9, "1", "Res. fol. 3"), ("nl", 9, "2a", "Zie daar")]
