@@ -47,3 +47,7 @@ def test_corpus_pages(spark, high):
 def test_record_notes(spark, high):
     # a number of four figures begins a period, so all notes are those of entry 9
     assert against_sql(spark, high, "record_notes") == [("nl", 9, "1", "Res. fol. 3"), ("nl", 9, "2a", "Zie daar")]
+
+
+def test_records_nested(spark, high):
+    assert len(against_sql(spark, high, "records_nested")) == len(NUMBERS)
