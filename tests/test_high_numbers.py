@@ -51,3 +51,7 @@ def test_record_notes(spark, high):
 
 def test_records_nested(spark, high):
     assert len(against_sql(spark, high, "records_nested")) == len(NUMBERS)
+
+
+def test_line_zones(spark, high):
+    assert len(against_sql(spark, high, "line_zones")) == 6 * len(NUMBERS)
