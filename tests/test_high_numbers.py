@@ -55,3 +55,7 @@ def test_records_nested(spark, high):
 
 def test_line_zones(spark, high):
     assert len(against_sql(spark, high, "line_zones")) == 6 * len(NUMBERS)
+
+
+def test_record_periods(spark, high):
+    assert against_sql(spark, high, "record_periods")
