@@ -59,3 +59,7 @@ def test_line_zones(spark, high):
 
 def test_record_periods(spark, high):
     assert against_sql(spark, high, "record_periods")
+
+
+def test_record_lines(spark, high):
+    assert {r[3] // 100000 for r in against_sql(spark, high, "record_lines")} >= {30000}
