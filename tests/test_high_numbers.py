@@ -63,3 +63,7 @@ def test_record_periods(spark, high):
 
 def test_record_lines(spark, high):
     assert {r[3] // 100000 for r in against_sql(spark, high, "record_lines")} >= {30000}
+
+
+def test_records_enriched(spark, high):
+    assert len(against_sql(spark, high, "records_enriched")) == len(NUMBERS)
