@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions import text as T
-from colophon.session import cut
+from colophon.session import cut, ship_file, shipped
 
 
 def last_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -41,22 +45,43 @@ def pair_in_order(left: DataFrame, right: DataFrame, part: list[str], order: str
     return numbered(left).join(numbered(right), [*part, "_k"]).withColumnRenamed("_k", "k")
 
 
-# characters of a chunk of text, and (shortest start, letters of an anchor, window): every window of so many anchors gives its least
+# characters of a chunk of text; lengths of grams: a start is looked for by its first and its last letters, as many as the longest gram it can hold
 CHUNK = 16_384
-CLASSES = ((24, 8, 17), (8, 8, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+GRAMS = (64, 48, 40, 32, 28, 24, 22, 20, 18, 16, 14, 12, 10, 8, 6, 4, 3, 2, 1)
+# bits a gram of the filter that texts are held against before the shuffle, and the most bits it may have (16 MB): beyond that it lets more through, and loses nothing
+FILTER_BITS, MOST_BITS = 32, 1 << 27
 
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
-def _anchors(text: str, letters: int, window: int) -> np.ndarray:
-    """The least hash of each window of runs of letters; empty if the text is shorter than one window."""
+
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.full(n, base, np.uint64))
+
+
+def _sums(text: str) -> np.ndarray:
+    """Sums of letters times powers of the base, from which ``_hashes`` has those of any gram."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(points) - letters + 1
-    if n < window:
-        return np.empty(0, np.int64)
-    runs = np.zeros(n, np.uint64)
-    for k in range(letters):
-        runs = (runs + points[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        runs ^= runs >> np.uint64(29)
-    return np.lib.stride_tricks.sliding_window_view(runs.view(np.int64), window).min(axis=1)
+    size = 1 << max(len(points), 1).bit_length()
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(1)) * _powers(_BASE, size)[: len(points)])])
+
+
+def _hashes(sums: np.ndarray, at: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
+    """Hashes of the grams from ``at`` to ``end``, wherever in a text they stand."""
+    runs = (sums[end] - sums[at]) * _powers(_INVERSE, 1 << len(sums).bit_length())[at]
+    runs ^= runs >> np.uint64(32)
+    runs *= np.uint64(0xD6E8FEB86659FD93)
+    return runs ^ runs >> np.uint64(29)
+
+
+def _bits(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of the filter that each hash has."""
+    return hashes & np.uint64(bits - 1), hashes >> np.uint64(32) & np.uint64(bits - 1)
+
+
+def _set(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) == 1
 
 
 def _chunks(it: Iterator[pa.RecordBatch], between: str) -> Iterator[pa.RecordBatch]:
@@ -91,22 +116,51 @@ def _following(it: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunks, pa.int64()), "after": pa.array(out, pa.string())})
 
 
-def _text_anchors(it: Iterator[pa.RecordBatch], classes: list[int]) -> Iterator[pa.RecordBatch]:
+def _text_grams(it: Iterator[pa.RecordBatch], grams: list[int], name: str) -> Iterator[pa.RecordBatch]:
+    """The grams of chunks that are likely wanted."""
+    words = np.load(shipped(name), mmap_mode="r")
     for batch in it:
         for chunk, text, after in zip(*(batch.column(c).to_pylist() for c in ("chunk", "text", "after"))):
-            for c in classes:
-                found = np.unique(_anchors(text + after, *CLASSES[c][1:]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), c, np.int32)), pa.array(found), pa.array(np.full(len(found), chunk, np.int64))], names=["class", "anchor", "chunk"])
+            sums = _sums(text + after)
+            for g in grams:
+                if (n := len(sums) - g) > 0:
+                    found = _hashes(sums, slice(0, n), slice(g, g + n))
+                    one, two = _bits(found, 64 * len(words))
+                    near = np.flatnonzero(_set(words, one))
+                    found = found[near[_set(words, two[near])]]
+                    found = np.unique(found).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), g, np.int32)), pa.array(found), pa.array(np.full(len(found), chunk, np.int64))], names=["letters", "gram", "chunk"])
+
+
+def _start_grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and the last gram of a start: a text has both where the start stands."""
+    sizes = np.array(GRAMS[::-1])
+    for batch in it:
+        for k in range(0, batch.num_rows, 512):
+            texts = batch.column(0).slice(k, 512)
+            said = texts.to_pylist()
+            n = np.array([len(x) for x in said])
+            ends, sums = np.cumsum(n), _sums("".join(said))
+            g = sizes[np.searchsorted(sizes, n, "right") - 1]
+            first, last = _hashes(sums, ends - n, ends - n + g), _hashes(sums, ends - g, ends)
+            yield pa.RecordBatch.from_arrays([pa.chunked_array([texts, texts]).combine_chunks(), pa.array(np.tile(g, 2), pa.int32()), pa.array(np.concatenate([first, last]).view(np.int64))], names=["_f", "letters", "gram"])
 
 
-def _start_anchors(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The anchors of a start: a text has every one of them where the start stands, as it has the same windows."""
+def _filter_words(it: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for batch in it:
-        out: list[tuple] = []
-        for x in batch.column(0).to_pylist():
-            c = next(c for c, (least, _, _) in enumerate(CLASSES) if len(x) >= least)
-            out += [(x, c, int(h)) for h in np.unique(_anchors(x, *CLASSES[c][1:]))]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["_f", "class", "anchor"])
+        at = np.concatenate(_bits(batch.column(0).to_numpy().view(np.uint64), bits))
+        yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["word", "mask"])
+
+
+def _ship_filter(wanted: DataFrame) -> str:
+    """A file with the bits of all wanted grams, for the workers."""
+    bits = min(MOST_BITS, 1 << max(16, (FILTER_BITS * wanted.count()).bit_length()))
+    masks = wanted.select("gram").mapInArrow(lambda it: _filter_words(it, bits), "word int, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    words[masks.column("word").to_numpy()] = masks.column("mask").to_numpy().view(np.uint64)
+    path = os.path.join(tempfile.mkdtemp(prefix="colophon-grams-"), f"grams-{uuid.uuid4().hex}.npy")
+    np.save(path, words)
+    return ship_file(wanted.sparkSession, path)
 
 
 def _find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,20 +176,23 @@ def _find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def first_places(lines: DataFrame, starts: DataFrame, between: str) -> DataFrame:
     """(_f, _at): the first line in which each distinct text ``_f`` begins, wherever in the line and over line ends.
 
-    ``lines`` are (seq, text).  A start meets the chunks of text that have its rarest anchor, and only these are searched; so neither
-    is every start held against every line nor are starts sent to all workers.  In one task pass only the beginnings of chunks.
+    ``lines`` are (seq, text).  A start meets the chunks of text that have the rarer of its first and last grams, and only these are searched; so neither
+    is every start held against every line nor are starts sent to all workers, only a filter of bounded size.  Grams are as long as the start
+    allows, as those of a few letters (given names) stand in every chunk.  In one task pass only the beginnings of chunks.
     """
-    wanted = cut(starts.select("_f").distinct().mapInArrow(_start_anchors, "_f string, class int, anchor bigint"))
-    classes = sorted(r[0] for r in wanted.select("class").distinct().collect())
+    key = ["letters", "gram"]
+    wanted = cut(starts.select("_f").distinct().mapInArrow(_start_grams, "_f string, letters int, gram bigint"))
+    grams = sorted(r[0] for r in wanted.select("letters").distinct().collect())
     longest = wanted.agg(F.max(F.length("_f"))).first()[0] or 0
+    name = _ship_filter(wanted)
     chunks = cut(lines.repartitionByRange("seq").sortWithinPartitions("seq").mapInArrow(lambda it: _chunks(it, between), "chunk bigint, text string, places array<int>, seqs array<bigint>"))
     heads = chunks.select("chunk", F.substring("text", 1, longest).alias("head")).coalesce(1).sortWithinPartitions(F.desc("chunk"))
     chunks = chunks.join(heads.mapInArrow(lambda it: _following(it, longest), "chunk bigint, after string"), "chunk")
-    held = chunks.select("chunk", "text", "after").mapInArrow(lambda it: _text_anchors(it, classes), "class int, anchor bigint, chunk bigint")
-    held = cut(held.join(wanted.select("class", "anchor").distinct(), ["class", "anchor"], "left_semi"))
-    seen = wanted.join(held.groupBy("class", "anchor").agg(F.count("*").alias("n")), ["class", "anchor"], "left")
-    rarest = seen.groupBy("_f").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "class", "anchor")).alias("r")).where("r.n > 0").select("_f", "r.class", "r.anchor")
-    met = held.join(rarest, ["class", "anchor"]).groupBy("chunk").agg(F.collect_list("_f").alias("starts"))
+    held = chunks.select("chunk", "text", "after").mapInArrow(lambda it: _text_grams(it, grams, name), "letters int, gram bigint, chunk bigint")
+    held = cut(held.join(wanted.select(*key).distinct(), key, "left_semi"))
+    seen = wanted.join(held.groupBy(*key).agg(F.count("*").alias("n")), key, "left")
+    rarest = seen.groupBy("_f").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), *key)).alias("r")).where("r.n > 0").select("_f", "r.letters", "r.gram")
+    met = held.join(rarest, key).groupBy("chunk").agg(F.collect_list("_f").alias("starts"))
     return chunks.join(met, "chunk").mapInArrow(_find, "_f string, _at bigint").groupBy("_f").agg(F.min("_at").alias("_at"))
 
 

@@ -371,6 +371,28 @@ def test_locate_against_plain_search(spark, monkeypatch):
     assert got == {k: first(x.strip()) for k, x in starts if x.strip()}
 
 
+def test_common_names_lead_to_few_chunks(spark, monkeypatch):
+    rng, kept, cut = random.Random(7), [], joins.cut
+    monkeypatch.setattr(joins, "CHUNK", 100)
+    monkeypatch.setattr(joins, "cut", lambda df: kept.append(cut(df)) or kept[-1])
+    texts = ["Nicolaas van der " + "".join(rng.sample("bcdfghklmnprstvwz", 6)) + ", gezant" for _ in range(200)]
+    starts = spark.createDataFrame([(k, t[1:24]) for k, t in enumerate(texts[:100])], "nr int, start string")
+    got = joins.locate_starts(spark.createDataFrame(list(enumerate(texts)), "seq int, text string"), starts, "nr", "seq").collect()
+    assert {r.nr: r.seq for r in got} == {k: k for k in range(100)}
+    # what of the text is held against starts: not the names that stand in every chunk
+    held = next(d for d in kept if "chunk" in d.columns and "text" not in d.columns)
+    assert held.count() <= 2 * 100
+
+
+def test_starts_of_every_length_and_none(spark):
+    text = "é" + "".join(random.Random(8).choice("abcdefghij ") for _ in range(400)) + "z"
+    lines = spark.createDataFrame([(1, "niets"), (2, text)], "seq int, text string")
+    starts = [(n, text[:n].strip()) for n in range(1, 150)] + [(200 + n, text[-n:].strip()) for n in range(1, 150)] + [(500, text + "x")]
+    got = {r.nr: r.seq for r in joins.locate_starts(lines, spark.createDataFrame(starts, "nr int, start string"), "nr", "seq").collect()}
+    assert got == {k: 2 if k != 500 else None for k, _ in starts}
+    assert joins.locate_starts(lines, spark.createDataFrame([(1, " "), (2, None)], "nr int, start string"), "nr", "seq").collect() == []
+
+
 def test_older_citations_of_van_der_aa(spark):
     said = [
         "zie Aa, Biogr. Woordenb. der Nederlanden, dl. IV, 123 en nnbw iv, 5", "A.a. biogr woordenb, d. 12, 7", "AA, BIOGR. WOORDENB., dl. x, 8", "Aa, Biogr. Woordenb., dl. XI, 9", "Aa, Biogr. Woordenb. der Nederlanden, IV",
