@@ -475,8 +475,10 @@ def start_fragments(spark, d):
 
 def tagged_starts(spark, d):
     """Lines of entries in which the starts of entries are wrapped in their marks."""
-    lines = entries(spark, d, "lines").select("lemma_id", F.explode("lines").alias("l")).select((F.col("lemma_id") * 1000 + F.col("l.seq")).alias("seq"), "l.text").where("text is not null")
-    starts = entries(spark, d, "lines").select("lemma_id", F.substring(F.get("lines", F.lit(0))["text"], 5, 24).alias("start"))
+    # the lines are read five times
+    once = cut(entries(spark, d, "lines"))
+    lines = once.select("lemma_id", F.explode("lines").alias("l")).select((F.col("lemma_id") * 1000 + F.col("l.seq")).alias("seq"), "l.text").where("text is not null")
+    starts = once.select("lemma_id", F.substring(F.get("lines", F.lit(0))["text"], 5, 24).alias("start"))
     located = joins.locate_starts(lines, joins.untagged(starts, lines, "lemma_id"), "lemma_id", "seq")
     return sinks.tagged_lines(lines, located.withColumnRenamed("lemma_id", "schutte_nr"), "seq").where(F.col("text").contains("<start ")).select("seq", "text")
 
